@@ -12,15 +12,13 @@ a hot key that holds a third of the table costs nothing extra):
   window, so Catalyst inserts ``WindowGroupLimit`` on both sides of the
   shuffle and only the top rows of each input partition move.
 * ``top_products`` is a ``TakeOrderedAndProject``: each task keeps n rows.
-* ``top_products_with_discount`` takes the top n *before* the lookup join
-  (a left join on a unique key keeps rows one to one), and derives the
-  category lookup from the same product-level aggregate instead of a second
-  pass over the fact table.
+* ``top_products_with_discount`` reads the fact table once: the category
+  lookup is rolled up from the product aggregate, not recomputed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import age_group, money, year_month
@@ -205,36 +203,89 @@ def category_discount_lookup(partials: DataFrame) -> DataFrame:
     merged = partials.groupBy("category").agg(
         F.sum("_disc_sum").alias("s"), F.sum("_disc_n").alias("k")
     )
-    return merged.select(
+    return merged.select("category", _avg_discount("s", "k").alias("avg_discount"))
+
+
+def _avg_discount(s: str, k: str) -> Column:
+    return money(F.when(F.col(k) > 0, F.col(s) / F.col(k)))
+
+
+def top_products_with_discount(df: DataFrame, n: int = 20) -> DataFrame:
+    """Top products plus their category's average discount, in one pass.
+
+    Same rows as a left join of ``top_products`` with the per-category
+    average discount (a NULL category matches nothing, so its discount is
+    NULL), planned as a single linear chain over the fact table, with no
+    second pass and nothing broadcast:
+
+    1. one grouping-sets aggregate yields the (category, product) rows and
+       the per-category rows together (partial aggregation in every task);
+    2. per category, ``row_number <= n + 1`` keeps the category row (ordered
+       first) and that category's top ``n`` products.  The global top ``n`` is
+       contained in the union of the per-category ones, and Catalyst runs
+       this filter as ``WindowGroupLimit`` before the shuffle, so at most
+       ``n + 1`` rows per category leave each task;
+    3. a second window on the same partitioning copies the category average
+       onto its product rows, and a final top ``n`` picks the answer.
+
+    The tuned report keeps the reference's shape instead (a persisted
+    category table and a size-checked broadcast join):
+    ``top_products_with_lookup``.
+    """
+    levels = df.groupingSets(
+        [["category", "product_name"], ["category"]], "category", "product_name"
+    ).agg(
+        F.grouping_id().alias("_gid"),
+        F.sum("total_amount").alias("_revenue"),
+        F.sum("quantity").alias("units_sold"),
+        F.sum("discount_pct").alias("_disc_sum"),
+        F.count("discount_pct").alias("_disc_n"),
+    )
+    staged = levels.select(
         "category",
-        money(F.when(F.col("k") > 0, F.col("s") / F.col("k"))).alias("avg_discount"),
+        "product_name",
+        (F.col("_gid") != 0).alias("_is_cat"),
+        money("_revenue").alias("revenue"),
+        "units_sold",
+        _avg_discount("_disc_sum", "_disc_n").alias("_avg"),
+    )
+    ranked = Window.partitionBy("category").orderBy(
+        F.desc("_is_cat"), F.desc("revenue"), F.asc("product_name")
+    )
+    cat_avg = F.max(F.when(F.col("_is_cat"), F.col("_avg"))).over(
+        Window.partitionBy("category")
+    )
+    return (
+        staged.withColumn("_rn", F.row_number().over(ranked))
+        .filter(F.col("_rn") <= n + 1)
+        .withColumn("avg_discount", F.when(F.col("category").isNotNull(), cat_avg))
+        .filter(~F.col("_is_cat"))
+        .select("category", "product_name", "revenue", "units_sold", "avg_discount")
+        .orderBy(*_top_order())
+        .limit(n)
     )
 
 
-def top_products_with_discount(
+def top_products_with_lookup(
     df: DataFrame,
+    category_stats: DataFrame,
     n: int = 20,
-    category_stats: DataFrame | None = None,
     broadcast_max_rows: int | None = None,
 ) -> DataFrame:
-    """Top products plus their category's average discount (left join).
-
-    ``category_stats`` may be a ``sales_by_category`` result that the caller
-    already holds (the tuned report persists one); otherwise the lookup is
-    merged from the product aggregate.  A broadcast hint is added only when
-    ``broadcast_max_rows`` is given and the lookup is proven below it;
-    otherwise AQE picks the join from measured sizes.  The left side is at
-    most ``n`` rows either way.
+    """The reference's formulation: top products LEFT JOIN a category table.
+
+    ``category_stats`` is a ``sales_by_category`` result the caller already
+    holds (the tuned report persists one).  It is hinted for broadcast only
+    when ``broadcast_max_rows`` is given and the table is proven below it;
+    otherwise the planner, and AQE from measured sizes, choose the join.
+    The left side is the top ``n`` rows, taken before the join: a left join
+    on a unique key keeps rows one to one, so the order does not matter.
     """
-    partials = _product_partials(df)
-    if category_stats is None:
-        lookup = category_discount_lookup(partials)
-    else:
-        lookup = category_stats.select("category", "avg_discount")
+    lookup = category_stats.select("category", "avg_discount")
     if broadcast_max_rows is not None:
         lookup = broadcast_if_small(lookup, broadcast_max_rows)
     return (
-        _top(partials, n)
+        top_products(df, n)
         .join(lookup, on="category", how="left")
         .select("category", "product_name", "revenue", "units_sold", "avg_discount")
         .orderBy(*_top_order())
