@@ -6,7 +6,8 @@ from tillroll.functions.columns import (
     age_group,
     line_total,
     money,
+    to_cents,
     year_month,
 )
 
-__all__ = ["AGE_BANDS", "AGE_DEFAULT", "age_group", "line_total", "money", "year_month"]
+__all__ = ["AGE_BANDS", "AGE_DEFAULT", "age_group", "line_total", "money", "to_cents", "year_month"]

@@ -40,12 +40,25 @@ def money(total: Column | str, digits: int = 2) -> Column:
     return F.round(total, digits)
 
 
+def to_cents(amount: Column) -> Column:
+    """A non-negative amount in hundredths, rounded half up, as bigint.
+
+    ``floor(x * 100 + 0.5)`` is plain IEEE arithmetic: every engine gets the
+    same integer, and Spark keeps it in generated code.  (``round`` on a
+    double goes through ``BigDecimal`` per row, and engines disagree on
+    exact halves after scaling.)
+    """
+    return F.floor(amount * 100 + 0.5)
+
+
 def line_total(price: Column, discount: Column) -> Column:
-    """Net line amount, rounded per row to cents in decimal arithmetic.
+    """Net line amount: price less discount, rounded half up to cents.
 
-    Per-row ``round`` on binary doubles differs between engines at exact
-    halves, so the rounding is done on decimals and only the result is
-    turned back into a double.
+    Computed in integer cents: ``(cents * (100 - pct) + 50) div 100``.  The
+    division by 100 is exact in a double for any value below 2^53, so the
+    floor of it is the integer quotient.
     """
-    gross = price.cast("decimal(18,2)")
-    return F.round(gross * (F.lit(1) - discount.cast("decimal(4,2)")), 2).cast("double")
+    gross = to_cents(price)
+    pct = to_cents(discount)
+    net_cents = F.floor((gross * (F.lit(100) - pct) + 50) / 100)
+    return net_cents.cast("double") / 100

@@ -11,13 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions import line_total
-from tillroll.operators.joins import broadcast_if_small
-from tillroll.schemas import TRANSACTION_COLUMNS, TRANSACTIONS
-
-# nation x region: 25 rows in every TPC-H scale; checked, not assumed.
-_GEO_MAX_ROWS = 10_000
-
+from tillroll.functions import line_total, to_cents
+from tillroll.schemas import TPCH, TRANSACTION_COLUMNS, TRANSACTIONS
 
 def read_transactions(
     spark: SparkSession,
@@ -43,7 +38,11 @@ def read_transactions(
 
 
 def testdata_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the TPC-H-like tables, read with its declared schema."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if name in TPCH:
+        return spark.read.schema(TPCH[name]).parquet(path)
+    return spark.read.parquet(path)
 
 
 def testdata_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,16 +50,20 @@ def testdata_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Mapping: id = order key, date = order date, category = part type,
     product = part name, price = part retail price, discount in whole
-    percent, total = extended price net of discount (per-row decimal
-    rounding), region = the customer's region, age = 18 + custkey mod 58,
-    payment method = order priority.
+    percent, total = extended price net of discount (integer cents, rounded
+    half up per row), region = the customer's region, age = 18 + custkey
+    mod 58, payment method = order priority.
 
     Join order is written out on purpose (Catalyst keeps it without CBO):
     the two tiny geography tables are folded into ``customer`` first, the
     enriched customers into ``orders``, and only then is ``lineitem`` (the
-    one big side) shuffled, once on the order key and once on the part key.
-    Column pruning reaches every scan, so a step that needs three columns
-    reads three columns (plus the join keys).
+    one big side) joined, on the order key and then on the part key.  No
+    join is hinted: the planner broadcasts a side only when its size, known
+    from the file statistics, is under ``spark.sql.autoBroadcastJoinThreshold``
+    (nation and region always are); everything else is a sort-merge join,
+    which AQE may still turn into a broadcast from measured sizes, and whose
+    skewed partitions it splits.  Column pruning reaches every scan, so a
+    step that needs three columns reads three columns plus the join keys.
     """
     t = lambda name: testdata_table(spark, sf_dir, name)
 
@@ -69,7 +72,6 @@ def testdata_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "r_name"
     )
-    geo = broadcast_if_small(geo, _GEO_MAX_ROWS)
 
     customer = (
         t("customer")
@@ -101,7 +103,7 @@ def testdata_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("product_name"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("p_retailprice").alias("unit_price"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
+        to_cents(F.col("l_discount")).cast("int").alias("discount_pct"),
         line_total(F.col("l_extendedprice"), F.col("l_discount")).alias("total_amount"),
         "region",
         "customer_age",
@@ -115,9 +117,10 @@ TRANSACTIONS_VIEW_SQL = """
 SELECT l.l_orderkey AS transaction_id, CAST(o.o_orderdate AS DATE) AS date,
   p.p_type AS category, p.p_name AS product_name,
   CAST(l.l_quantity AS INT) AS quantity, p.p_retailprice AS unit_price,
-  CAST(ROUND(l.l_discount * 100) AS INT) AS discount_pct,
-  CAST(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2))
-     * (1 - CAST(l.l_discount AS DECIMAL(4,2))), 2) AS DOUBLE) AS total_amount,
+  CAST(FLOOR(l.l_discount * 100 + 0.5) AS INT) AS discount_pct,
+  CAST((CAST(FLOOR(l.l_extendedprice * 100 + 0.5) AS BIGINT)
+     * (100 - CAST(FLOOR(l.l_discount * 100 + 0.5) AS BIGINT)) + 50) // 100 AS DOUBLE) / 100
+     AS total_amount,
   r.r_name AS region, CAST(18 + c.c_custkey % 58 AS INT) AS customer_age,
   o.o_orderpriority AS payment_method
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
