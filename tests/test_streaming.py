@@ -1,0 +1,38 @@
+"""The live listener log, driven to completion over a folder of log files."""
+
+import os
+
+from tillroll.operators import joblog as J
+from tillroll.streaming.listener_log import event_lines, start_listener_log
+
+FIXTURE = os.path.join(os.path.dirname(__file__), "fixtures", "eventlog", "app-events.json")
+
+
+def test_stream_picks_up_new_files(spark, tmp_path):
+    src = tmp_path / "log"
+    src.mkdir()
+    lines = open(FIXTURE).read().splitlines(keepends=True)
+    half = len(lines) // 2
+    (src / "events_1").write_text("".join(lines[:half]))
+    q = start_listener_log(spark, str(src), query_name="live_log",
+                           checkpoint=str(tmp_path / "ckpt"), trigger_seconds=None)
+    try:
+        q.processAllAvailable()
+        first = spark.table("live_log").count()
+        (src / "events_2").write_text("".join(lines[half:]))
+        q.processAllAvailable()
+        out = spark.table("live_log").collect()
+    finally:
+        q.stop()
+    assert 0 < first < len(out) == len(lines)
+    msgs = [r["message"] for r in out]
+    assert "job 0 started, stages=[0, 1]" in msgs
+    assert any(m.startswith("job 3 finished, status=failed(") for m in msgs)
+    assert any(m.startswith("stage 5 completed") and "status=failed: " in m for m in msgs)
+
+
+def test_batch_lines_match_job_log(spark):
+    ev = J.read_event_log(spark, FIXTURE)
+    lines = {r["id"]: r["message"] for r in event_lines(ev).filter("event = 'SparkListenerJobEnd'").collect()}
+    for r in J.job_log(ev).collect():
+        assert lines[r["job_id"]].endswith("status=" + r["status"])

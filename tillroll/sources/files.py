@@ -6,14 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def file_sizes(spark: SparkSession, paths: list[str], fmt: str = "parquet") -> DataFrame:
+def file_sizes(
+    spark: SparkSession,
+    paths: list[str],
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
+) -> DataFrame:
     """One row per data file: path, size in bytes and MB, and its row count.
 
     Only the hidden metadata column is selected, so parquet answers the row
-    count from footers and no column data is decoded.  The group-by is per
+    count from footers and no column data is decoded.  ``options`` go to the
+    reader (``{"header": "true"}`` for CSV with a header line).  The group-by is per
     file: as many output rows as files, merged partially in every task.
     """
-    frames = [spark.read.format(fmt).load(p) for p in paths]
+    frames = [spark.read.format(fmt).options(**(options or {})).load(p) for p in paths]
     sized = None
     for df in frames:
         part = df.select(

@@ -1,0 +1,5 @@
+"""Streaming: a live job and stage log over Spark's rolled event log.
+
+The reference has no streaming data path; its only live component is the
+scheduler listener, re-expressed here as a stateless streaming query.
+"""

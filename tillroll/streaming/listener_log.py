@@ -1,0 +1,100 @@
+"""A live job and stage log, as a Structured Streaming query.
+
+The reference logs each job and stage event as it happens.  Here the same
+lines come from Spark's own event log read as a stream: with
+``spark.eventLog.rolling.enabled=true`` an application's log is cut into
+files that appear one after another in its folder, and the file source picks
+each new file up.  Each event maps to one line on its own (no state), so the
+query runs in append mode with no watermark, and restarts from its
+checkpoint after a failure without repeating or losing lines.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tillroll.operators.joblog import (
+    JOB_END,
+    JOB_START,
+    JOB_SUCCEEDED,
+    REASON_CHARS,
+    STAGE_COMPLETED,
+    STAGE_SUBMITTED,
+)
+from tillroll.schemas import EVENT_LOG
+from tillroll.session import scratch_path
+
+
+def _c(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+def event_lines(events: DataFrame) -> DataFrame:
+    """Map job and stage events to (event, id, message) lines.
+
+    Works on a batch or a streaming frame of event-log rows.
+    """
+    ev = _c("Event")
+    info = F.col("`Stage Info`")
+    stage_ids = F.concat(F.lit("["), F.array_join(_c("Stage IDs").cast("array<string>"), ", "), F.lit("]"))
+    result = F.col("`Job Result`.Result")
+    job_status = F.when(result == JOB_SUCCEEDED, F.lit("success")).otherwise(
+        F.concat(F.lit("failed("), F.coalesce(F.col("`Job Result`.Exception.Message"), result), F.lit(")"))
+    )
+    reason = info["Failure Reason"]
+    stage_status = F.when(reason.isNull(), F.lit("done")).otherwise(
+        F.concat(F.lit("failed: "), F.substring(reason, 1, REASON_CHARS))
+    )
+    name = F.concat(F.lit("'"), info["Stage Name"], F.lit("'"))
+    message = (
+        F.when(ev == JOB_START, F.concat(F.lit("job "), _c("Job ID").cast("string"),
+                                         F.lit(" started, stages="), stage_ids))
+        .when(ev == JOB_END, F.concat(F.lit("job "), _c("Job ID").cast("string"),
+                                      F.lit(" finished, status="), job_status))
+        .when(ev == STAGE_SUBMITTED, F.concat(
+            F.lit("stage "), info["Stage ID"].cast("string"), F.lit(" submitted, name="), name,
+            F.lit(", tasks="), info["Number of Tasks"].cast("string")))
+        .when(ev == STAGE_COMPLETED, F.concat(
+            F.lit("stage "), info["Stage ID"].cast("string"), F.lit(" completed, name="), name,
+            F.lit(", status="), stage_status))
+    )
+    kinds = [JOB_START, JOB_END, STAGE_SUBMITTED, STAGE_COMPLETED]
+    return events.filter(ev.isin(kinds)).select(
+        ev.alias("event"),
+        F.coalesce(_c("Job ID"), info["Stage ID"]).alias("id"),
+        message.alias("message"),
+    )
+
+
+def start_listener_log(
+    spark: SparkSession,
+    log_dir: str,
+    sink: str = "memory",
+    query_name: str = "listener_log",
+    out_path: str | None = None,
+    checkpoint: str | None = None,
+    trigger_seconds: int | None = 5,
+) -> StreamingQuery:
+    """Stream ``log_dir`` (an event-log folder) into ``sink``.
+
+    ``sink`` is ``memory`` (queryable as ``query_name``), ``console``, or a
+    file format such as ``parquet``/``json`` written to ``out_path``.  The
+    checkpoint goes under the shared checkpoint folder unless given.
+    """
+    stream = spark.readStream.schema(EVENT_LOG).json(log_dir)
+    writer = (
+        event_lines(stream)
+        .writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{query_name}"))
+    )
+    if trigger_seconds:
+        writer = writer.trigger(processingTime=f"{trigger_seconds} seconds")
+    if sink == "memory":
+        return writer.format("memory").queryName(query_name).start()
+    if sink == "console":
+        return writer.format("console").option("truncate", False).start()
+    if out_path is None:
+        raise ValueError("out_path is required for a file sink")
+    return writer.format(sink).option("path", out_path).start()
