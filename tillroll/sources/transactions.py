@@ -57,13 +57,12 @@ def testdata_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     Join order is written out on purpose (Catalyst keeps it without CBO):
     the two tiny geography tables are folded into ``customer`` first, the
     enriched customers into ``orders``, and only then is ``lineitem`` (the
-    one big side) joined, on the order key and then on the part key.  No
-    join is hinted: the planner broadcasts a side only when its size, known
-    from the file statistics, is under ``spark.sql.autoBroadcastJoinThreshold``
-    (nation and region always are); everything else is a sort-merge join,
-    which AQE may still turn into a broadcast from measured sizes, and whose
-    skewed partitions it splits.  Column pruning reaches every scan, so a
-    step that needs three columns reads three columns plus the join keys.
+    one big side) joined, on the order key and then on the part key, both
+    as sort-merge joins.  The other joins are the planner's: it broadcasts a
+    side only when its size, known from the file statistics, is under
+    ``spark.sql.autoBroadcastJoinThreshold`` (nation and region always are).
+    Column pruning reaches every scan, so a step that needs three columns
+    reads three columns plus the join keys.
     """
     t = lambda name: testdata_table(spark, sf_dir, name)
 
@@ -93,9 +92,15 @@ def testdata_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"
     )
 
-    fact = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        part, F.col("l_partkey") == F.col("p_partkey")
-    )
+    # lineitem is the table that grows without bound: both of its joins are
+    # shuffle (sort-merge) joins at every size, so the plan tested on a
+    # laptop is the plan that runs at 100 TB, the join work is spread over
+    # all shuffle partitions even when an input file is a single row group,
+    # and AQE can split a skewed key (a hot order or part) on the lineitem
+    # side.  The smaller joins are left to the planner.
+    fact = lineitem.join(
+        orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
+    ).join(part.hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
     return fact.select(
         F.col("l_orderkey").alias("transaction_id"),
         F.col("o_orderdate").cast("date").alias("date"),
