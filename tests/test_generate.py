@@ -15,7 +15,7 @@ def test_invariants(spark):
         assert df.select(F.count_distinct("transaction_id")).first()[0] == 20_000
         assert df.agg(F.min("transaction_id"), F.max("transaction_id")).first() == (1, 20_000)
         got = {(r[0], r[1]) for r in df.select("category", "product_name").distinct().collect()}
-        allowed = {(c, p) for c, ps in zip(CATEGORIES, PRODUCTS) for p in ps}
+        allowed = {(c, p) for c, ps in PRODUCTS.items() for p in ps}
         assert got <= allowed and len(got) == 36
         for (cat, lo, hi) in df.groupBy("category").agg(F.min("unit_price"), F.max("unit_price")).collect():
             c_lo, c_hi = PRICE_CENTS[CATEGORIES.index(cat)]

@@ -198,14 +198,6 @@ def top_products(df: DataFrame, n: int = 20) -> DataFrame:
     return _top(_product_partials(df), n)
 
 
-def category_discount_lookup(partials: DataFrame) -> DataFrame:
-    """(category, avg_discount) merged from product partials."""
-    merged = partials.groupBy("category").agg(
-        F.sum("_disc_sum").alias("s"), F.sum("_disc_n").alias("k")
-    )
-    return merged.select("category", _avg_discount("s", "k").alias("avg_discount"))
-
-
 def _avg_discount(s: str, k: str) -> Column:
     return money(F.when(F.col(k) > 0, F.col(s) / F.col(k)))
 

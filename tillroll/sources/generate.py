@@ -14,26 +14,36 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # These must equal the reference generator's lists.
-# Day offsets cover 730 days from 2022-01-01.  Prices are in whole cents,
-# inclusive bounds per category, in the category order below.
 START_DATE = "2022-01-01"
 DAYS = 730
 CATEGORIES = ["Electronics", "Clothing", "Food & Beverages", "Books", "Sports & Outdoors", "Home & Garden"]
-PRODUCTS = [
-    ["Laptop", "Smartphone", "Tablet", "Headphones", "Smart Watch", "Camera"],
-    ["T-Shirt", "Jeans", "Dress", "Jacket", "Shoes", "Hat"],
-    ["Coffee", "Tea", "Snacks", "Juice", "Energy Drink", "Water"],
-    ["Novel", "Textbook", "Magazine", "Comic", "Cookbook", "Biography"],
-    ["Running Shoes", "Yoga Mat", "Bicycle", "Tent", "Backpack", "Weights"],
-    ["Plant Pot", "Tool Set", "Lamp", "Cushion", "Curtains", "Rug"],
-]
-PRICE_CENTS = [(5000, 200000), (1000, 20000), (100, 3000), (500, 8000), (1500, 50000), (500, 15000)]
 REGIONS = ["North", "South", "East", "West", "Central"]
 PAYMENT_METHODS = ["Cash", "Credit Card", "Debit Card", "Online Transfer", "Mobile Payment"]
+PRODUCTS = {
+    "Electronics": ["Laptop", "Smartphone", "Tablet", "Headphones", "Smart Watch", "Camera"],
+    "Clothing": ["T-Shirt", "Jeans", "Dress", "Jacket", "Shoes", "Hat"],
+    "Food & Beverages": ["Coffee", "Tea", "Snacks", "Juice", "Energy Drink", "Water"],
+    "Books": ["Novel", "Textbook", "Magazine", "Comic", "Cookbook", "Biography"],
+    "Sports & Outdoors": ["Running Shoes", "Yoga Mat", "Bicycle", "Tent", "Backpack", "Weights"],
+    "Home & Garden": ["Plant Pot", "Tool Set", "Lamp", "Cushion", "Curtains", "Rug"],
+}
+PRICE_RANGES = {
+    "Electronics": (50.0, 2000.0),
+    "Clothing": (10.0, 200.0),
+    "Food & Beverages": (1.0, 30.0),
+    "Books": (5.0, 80.0),
+    "Sports & Outdoors": (15.0, 500.0),
+    "Home & Garden": (5.0, 150.0),
+}
 DISCOUNTS = [0, 5, 10, 15, 20, 25]
 QUANTITY_MAX = 10
 AGE_MIN, AGE_MAX = 18, 75
 
+# Derived, in category order: products per category slot, and each price
+# range in whole cents with inclusive bounds.
+_PRODUCT_LISTS = [PRODUCTS[c] for c in CATEGORIES]
+PRICE_CENTS = [(round(PRICE_RANGES[c][0] * 100), round(PRICE_RANGES[c][1] * 100)) for c in CATEGORIES]
+
 # (salt, block) of each draw; a block is 8 hex digits of the digest.
 _DRAWS = {
     "day": ("a", 0),
@@ -58,14 +68,27 @@ def _lit_array(values: list) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
+# Rows per generating task when the caller does not choose: large enough
+# to amortise task start, small enough that one task's output (~100 bytes a
+# row) stays well under a typical 128 MB file split.
+ROWS_PER_TASK = 1_000_000
+
+
 def gen_transactions(
     spark: SparkSession, n: int, partitions: int | None = None
 ) -> DataFrame:
-    """``n`` transactions with ids 1..n, spread over ``partitions`` tasks."""
+    """``n`` transactions with ids 1..n, spread over ``partitions`` tasks.
+
+    By default the task count grows with ``n`` (one per ``ROWS_PER_TASK``
+    rows, at least the cluster's default parallelism), so generating 100x
+    the rows uses 100x the tasks, not 100x longer tasks.
+    """
+    if partitions is None:
+        partitions = max(spark.sparkContext.defaultParallelism, -(-n // ROWS_PER_TASK))
     ids = spark.range(1, n + 1, 1, partitions).withColumnRenamed("id", "transaction_id")
     tid = F.col("transaction_id")
     cat_idx = (_draw(tid, "category") % len(CATEGORIES)).cast("int")
-    products = F.array(*[_lit_array(p) for p in PRODUCTS])
+    products = F.array(*[_lit_array(p) for p in _PRODUCT_LISTS])
     lo = _lit_array([c[0] for c in PRICE_CENTS])
     hi = _lit_array([c[1] for c in PRICE_CENTS])
 
@@ -128,7 +151,7 @@ def _sql_draw(name: str) -> str:
 
 def generated_transactions_sql(count_table: str = "lineitem") -> str:
     """DuckDB text for ``gen_transactions`` with n = rows of ``count_table``."""
-    products = "[" + ", ".join(_sql_list(p) for p in PRODUCTS) + "]"
+    products = "[" + ", ".join(_sql_list(p) for p in _PRODUCT_LISTS) + "]"
     lo = _sql_list([c[0] for c in PRICE_CENTS])
     hi = _sql_list([c[1] for c in PRICE_CENTS])
     return f"""SELECT transaction_id,
