@@ -53,6 +53,11 @@ ORDER BY revenue DESC NULLS LAST, category ASC NULLS FIRST,
   product_name ASC NULLS FIRST
 LIMIT 20"""
 
+_TOP_WITH_DISCOUNT = f"""SELECT t.category, t.product_name, t.revenue, t.units_sold, c.avg_discount
+FROM ({_TOP_PRODUCTS}) t
+LEFT JOIN ({_SALES_BY_CATEGORY}) c ON t.category = c.category
+ORDER BY t.revenue DESC NULLS LAST, t.category, t.product_name"""
+
 ORACLE_SQL: dict[str, str] = {
     "load_shape": _T
     + "SELECT CAST(COUNT(*) AS BIGINT) AS row_count, CAST(11 AS BIGINT) AS column_count "
@@ -65,11 +70,8 @@ ORACLE_SQL: dict[str, str] = {
   ROUND(AVG(customer_age), 1) AS avg_age
 FROM transactions GROUP BY region ORDER BY total_revenue DESC""",
     "top_products": _T + _TOP_PRODUCTS,
-    "top_products_with_discount": _T
-    + f"""SELECT t.category, t.product_name, t.revenue, t.units_sold, c.avg_discount
-FROM ({_TOP_PRODUCTS}) t
-LEFT JOIN ({_SALES_BY_CATEGORY}) c ON t.category = c.category
-ORDER BY t.revenue DESC NULLS LAST, t.category, t.product_name""",
+    "top_products_with_discount": _T + _TOP_WITH_DISCOUNT,
+    "top_products_with_broadcast": _T + _TOP_WITH_DISCOUNT,
     "monthly_trends": _T
     + """SELECT strftime(date, '%Y-%m') AS year_month,
   COUNT(transaction_id) AS transactions, ROUND(SUM(total_amount), 2) AS revenue
