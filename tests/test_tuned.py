@@ -31,6 +31,7 @@ def test_tuned_equals_plain(spark, storage):
                 got = sorted(got)
             assert got == expect, name
         assert rows(t.load_shape())[0][:2] == shape
+        assert rows(t.window_ranking(persist_ranked=True)) == plain["window_ranking"]
 
 
 def test_runner_records_every_step(spark, tmp_path):
