@@ -25,6 +25,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillroll.plans.run import run_report  # noqa: E402
+from tillroll.plans.sizing import size_shuffles  # noqa: E402
 from tillroll.session import build_session  # noqa: E402
 from tillroll.sources.transactions import testdata_transactions  # noqa: E402
 
@@ -41,6 +42,9 @@ def main() -> None:
         conf={"spark.driver.memory": "8g", "spark.ui.enabled": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
+    # Shuffle width from the input size (at least one partition per core).
+    tables = ["region", "nation", "customer", "part", "orders", "lineitem"]
+    partitions = size_shuffles(spark, [f"{sf_dir}/{t}.parquet" for t in tables], min_partitions=cpus)
     load = lambda: testdata_transactions(spark, sf_dir)
 
     # Warm the JVM (class loading, codegen caches) on a throwaway query, so
@@ -72,6 +76,7 @@ def main() -> None:
         "rows_per_sec": round(tuned["row_count"] / tuned["total_time_s"]),
         "storage": storage,
         "cpus": cpus,
+        "shuffle_partitions": partitions,
         "sf": os.path.basename(sf_dir).removeprefix("sf"),
         "when": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()),
     }

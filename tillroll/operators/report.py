@@ -121,12 +121,16 @@ def sales_by_region(df: DataFrame) -> DataFrame:
 
 
 def monthly_trends(df: DataFrame) -> DataFrame:
+    """Per ``yyyy-MM`` label.  Rows are grouped by the month's first day (a
+    4-byte date) and only the aggregated rows are formatted as text: the
+    same groups and the same lexical order, without a string per input row."""
     return (
-        df.groupBy(year_month("date").alias("year_month"))
+        df.groupBy(F.trunc("date", "month").alias("_month"))
         .agg(
             F.count("transaction_id").alias("transactions"),
             money(F.sum("total_amount")).alias("revenue"),
         )
+        .select(year_month("_month").alias("year_month"), "transactions", "revenue")
         .orderBy("year_month")
     )
 
