@@ -1,6 +1,5 @@
 """The driver contract: entry, queries and their oracles agree (sf0.001)."""
 
-import os
 
 import duckdb
 import pytest

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.session import default_parallelism
 from tillroll.sources.files import file_sizes
 
 # Target bytes per shuffle partition: large enough to keep task overhead
@@ -42,7 +43,7 @@ def size_shuffles(
     parallelism (or ``min_partitions``), so every core has work.  AQE's
     advisory size is set to the same target, so coalescing aims at it.
     """
-    floor = min_partitions or spark.sparkContext.defaultParallelism
+    floor = min_partitions or default_parallelism(spark)
     n = max(floor, -(-input_bytes(spark, paths, fmt) // target_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))

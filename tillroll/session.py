@@ -54,18 +54,36 @@ def checkpoint_root(spark: SparkSession) -> str:
     executor can reach.  Only when it is unset (local tests) do we create a
     folder of our own and register it, so ``DataFrame.checkpoint`` works too.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = sc.getCheckpointDir()
-    if not root:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tillroll-ckpt-"))
-        root = sc.getCheckpointDir()
+        root = tempfile.mkdtemp(prefix="tillroll-ckpt-")
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir()
+        else:
+            spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores the session can run tasks on (shuffle width as a fallback)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/tillroll/{name}-{uuid.uuid4().hex}"

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.session import default_parallelism
+
 # These must equal the reference generator's lists.
 START_DATE = "2022-01-01"
 DAYS = 730
@@ -84,7 +86,7 @@ def gen_transactions(
     the rows uses 100x the tasks, not 100x longer tasks.
     """
     if partitions is None:
-        partitions = max(spark.sparkContext.defaultParallelism, -(-n // ROWS_PER_TASK))
+        partitions = max(default_parallelism(spark), -(-n // ROWS_PER_TASK))
     ids = spark.range(1, n + 1, 1, partitions).withColumnRenamed("id", "transaction_id")
     tid = F.col("transaction_id")
     cat_idx = (_draw(tid, "category") % len(CATEGORIES)).cast("int")
