@@ -10,8 +10,11 @@ from tillroll.sources.transactions import testdata_transactions
 from conftest import SF_SMALL, rows
 
 
-@pytest.mark.parametrize("storage", ["cache", "table", "checkpoint", None])
-def test_tuned_equals_plain(spark, storage):
+@pytest.mark.parametrize("storage,one_pass", [
+    ("cache", False), ("table", False), ("checkpoint", False), (None, False),
+    ("table", True), ("cache", True),
+])
+def test_tuned_equals_plain(spark, storage, one_pass):
     fact = testdata_transactions(spark, SF_SMALL)
     plain = {
         "sales_by_category": rows(report.sales_by_category(fact)),
@@ -24,7 +27,7 @@ def test_tuned_equals_plain(spark, storage):
         "basic_stats": sorted(rows(report.column_profile(fact))),
     }
     shape = rows(report.load_shape(fact))[0][:2]
-    with tuned_report(fact, storage=storage, broadcast_max_rows=1000) as t:
+    with tuned_report(fact, storage=storage, broadcast_max_rows=1000, one_pass_groups=one_pass) as t:
         for name, expect in plain.items():
             got = rows(getattr(t, name)())
             if name == "basic_stats":
@@ -42,3 +45,13 @@ def test_runner_records_every_step(spark, tmp_path):
     names = [s["name"] for s in rec2["steps"]]
     assert names[0] == "load_and_cache" and "top_products_with_broadcast" in names
     assert rec["row_count"] == rec2["row_count"] > 0
+
+
+def test_onepass_runner_matches_plain_results(spark, tmp_path):
+    load = lambda: testdata_transactions(spark, SF_SMALL)
+    _, plain = run_report(spark, load, "basic_t", mode="plain", out_path=str(tmp_path / "p"))
+    rec, onep = run_report(spark, load, "one_t", mode="onepass", out_path=str(tmp_path / "o"))
+    assert "grouped_aggregate" in [s["name"] for s in rec["steps"]]
+    for name in ["sales_by_category", "sales_by_region", "monthly_trends",
+                 "age_group_analysis", "payment_analysis", "window_ranking", "top_products"]:
+        assert onep[name] == plain[name], name
