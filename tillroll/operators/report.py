@@ -170,38 +170,19 @@ def _top_order() -> list:
     return [F.desc("revenue"), F.asc("category"), F.asc("product_name")]
 
 
-def _product_partials(df: DataFrame) -> DataFrame:
-    """One aggregate per (category, product) that feeds both product steps.
-
-    Discount sum and count ride along so the per-category average discount
-    can be merged from it exactly (integer sums) without rescanning.
-    """
-    return df.groupBy("category", "product_name").agg(
-        F.sum("total_amount").alias("_revenue"),
-        F.sum("quantity").alias("units_sold"),
-        F.sum("discount_pct").alias("_disc_sum"),
-        F.count("discount_pct").alias("_disc_n"),
-    )
-
-
-def _top(partials: DataFrame, n: int) -> DataFrame:
+def top_products(df: DataFrame, n: int = 20) -> DataFrame:
+    """Top ``n`` (category, product) pairs by rounded revenue."""
     return (
-        partials.select(
-            "category",
-            "product_name",
-            money("_revenue").alias("revenue"),
-            "units_sold",
+        df.groupBy("category", "product_name")
+        .agg(
+            money(F.sum("total_amount")).alias("revenue"),
+            F.sum("quantity").alias("units_sold"),
         )
         .orderBy(*_top_order())
         .limit(n)
     )
 
 
-def top_products(df: DataFrame, n: int = 20) -> DataFrame:
-    """Top ``n`` (category, product) pairs by rounded revenue."""
-    return _top(_product_partials(df), n)
-
-
 def _avg_discount(s: str, k: str) -> Column:
     return money(F.when(F.col(k) > 0, F.col(s) / F.col(k)))
 
@@ -306,15 +287,3 @@ def window_ranking(df: DataFrame, top: int = 3) -> DataFrame:
         )
         .orderBy("category", "rank")
     )
-
-
-STEPS = {
-    "basic_stats": column_profile,
-    "sales_by_category": sales_by_category,
-    "sales_by_region": sales_by_region,
-    "top_products": top_products,
-    "monthly_trends": monthly_trends,
-    "age_group_analysis": age_group_analysis,
-    "payment_analysis": payment_analysis,
-    "window_ranking": window_ranking,
-}
