@@ -26,6 +26,11 @@ def test_generate_then_report(keep_session, tmp_path, capsys):
     assert record["row_count"] == 3000 and len(record["steps"]) == 10
     back = keep_session.read.json(f"{out}/metrics")
     assert back.first()["experiment"] == "basic_local"
+    out2 = str(tmp_path / "out2")
+    assert cli.main(["report", "--input", gen, "--mode", "tuned", "--storage", "table",
+                     "--one-pass-groups", "--output", out2, "--show", "1"]) == 0
+    record2 = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert record2["experiment"] == "opt_local" and record2["row_count"] == 3000
 
 
 def test_compare_and_joblog(keep_session, capsys):

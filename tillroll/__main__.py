@@ -32,11 +32,12 @@ def cmd_report(spark, args) -> int:
     from tillroll.plans.run import metrics_frame, run_report
     from tillroll.sources.sinks import write_json
 
-    experiment = f"{'basic' if args.mode == 'plain' else 'opt'}_{args.setup}"
+    experiment = f"{'opt' if args.mode == 'tuned' else 'basic'}_{args.setup}"
     out = args.output or scratch_path(spark, experiment)
     record, results = run_report(
         spark, _load_fn(spark, args), experiment, mode=args.mode,
         out_path=f"{out}/category_stats", storage=args.storage,
+        one_pass_groups=args.one_pass_groups,
     )
     for step, rows in results.items():
         print(f"-- {step}")
@@ -102,7 +103,9 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--testdata", help="folder with the TPC-H-like parquet tables")
     r.add_argument("--format", default="csv", choices=["csv", "parquet", "json"])
     r.add_argument("--infer-schema", action="store_true")
-    r.add_argument("--mode", default="plain", choices=["plain", "tuned"])
+    r.add_argument("--mode", default="plain", choices=["plain", "tuned", "onepass"])
+    r.add_argument("--one-pass-groups", action="store_true",
+                   help="tuned mode: the five group-bys from one shared aggregate")
     r.add_argument("--storage", default="cache", choices=["cache", "table", "checkpoint", "none"])
     r.add_argument("--setup", default="local", help="label in the experiment name")
     r.add_argument("--output", help="result folder (default: under spark.checkpoint.dir)")
