@@ -1,5 +1,6 @@
-"""A hot key holding a third of all line items: results stay exact, and the
-view's sort-merge join is split by AQE instead of landing in one task.
+"""A hot order and a hot part, each holding a third of all line items:
+results stay exact, and both of the view's sort-merge joins are split by AQE
+instead of landing in one task.
 
 AQE's skew thresholds are in bytes (256 MB by default), far above test data,
 so this test lowers them for its own duration only.  AQE splits a skewed
@@ -37,11 +38,15 @@ def skewed_dir(spark, tmp_path_factory):
         df = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
         if t == "lineitem":
             hot_order = df.agg(F.min("l_orderkey")).first()[0]
-            # every third line item moves to one order (and one part)
-            hot = F.abs(F.hash("l_orderkey", "l_linenumber", "l_partkey")) % 3 == 0
             hot_part = df.agg(F.min("l_partkey")).first()[0]
-            df = df.withColumn("l_orderkey", F.when(hot, F.lit(hot_order)).otherwise(F.col("l_orderkey")))
-            df = df.withColumn("l_partkey", F.when(hot, F.lit(hot_part)).otherwise(F.col("l_partkey")))
+            # every third line item moves to one order and one part
+            hot = F.abs(F.hash("l_orderkey", "l_linenumber", "l_partkey")) % 3 == 0
+            df = (
+                df.withColumn("_hot", hot)
+                .withColumn("l_orderkey", F.when(F.col("_hot"), F.lit(hot_order)).otherwise(F.col("l_orderkey")))
+                .withColumn("l_partkey", F.when(F.col("_hot"), F.lit(hot_part)).otherwise(F.col("l_partkey")))
+                .drop("_hot")
+            )
             # several files: AQE splits a skewed partition along map outputs
             df = df.repartition(8)
         df.write.parquet(str(out / f"{t}.parquet"))
@@ -62,12 +67,14 @@ def test_hot_key_is_split_and_results_exact(spark, skewed_dir):
     try:
         fact = testdata_transactions(spark, skewed_dir)
         li = spark.read.parquet(f"{skewed_dir}/lineitem.parquet")
-        top = li.groupBy("l_orderkey").count().orderBy(F.desc("count")).first()[1]
-        assert top >= li.count() / 4
+        for key in ("l_orderkey", "l_partkey"):
+            top = li.groupBy(key).count().orderBy(F.desc("count")).first()[1]
+            assert top >= li.count() / 4
         df = report.sales_by_category(fact)
         got = df.collect()
         plan = _final_plan(df)
-        assert "skew=true" in plan
+        # both lineitem joins (order key, part key) were split
+        assert plan.count("SortMergeJoin(skew=true)") == 2
     finally:
         for k, v in old.items():
             if v is None:
