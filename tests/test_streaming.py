@@ -36,3 +36,22 @@ def test_batch_lines_match_job_log(spark):
     lines = {r["id"]: r["message"] for r in event_lines(ev).filter("event = 'SparkListenerJobEnd'").collect()}
     for r in J.job_log(ev).collect():
         assert lines[r["job_id"]].endswith("status=" + r["status"])
+
+
+def test_restart_from_checkpoint_neither_repeats_nor_loses(spark, tmp_path):
+    src, out, ckpt = tmp_path / "log", tmp_path / "out", tmp_path / "ckpt"
+    src.mkdir()
+    lines = open(FIXTURE).read().splitlines(keepends=True)
+    half = len(lines) // 2
+    (src / "events_1").write_text("".join(lines[:half]))
+    kw = dict(sink="parquet", out_path=str(out), checkpoint=str(ckpt), trigger_seconds=None)
+    q = start_listener_log(spark, str(src), query_name="restart_a", **kw)
+    q.processAllAvailable()
+    q.stop()  # as if the driver died after the first file
+    (src / "events_2").write_text("".join(lines[half:]))
+    q = start_listener_log(spark, str(src), query_name="restart_b", **kw)
+    q.processAllAvailable()
+    q.stop()
+    written = spark.read.parquet(str(out))
+    assert written.count() == len(lines)
+    assert written.distinct().count() == written.count()
