@@ -55,3 +55,11 @@ def test_onepass_runner_matches_plain_results(spark, tmp_path):
     for name in ["sales_by_category", "sales_by_region", "monthly_trends",
                  "age_group_analysis", "payment_analysis", "window_ranking", "top_products"]:
         assert onep[name] == plain[name], name
+
+
+def test_repartition_before_caching(spark):
+    fact = testdata_transactions(spark, SF_SMALL)
+    want = rows(report.sales_by_region(fact))
+    with tuned_report(fact, storage="cache", partitions=4) as t:
+        assert rows(t.load_shape())[0][2] == 4
+        assert rows(t.sales_by_region()) == want
