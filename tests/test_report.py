@@ -153,3 +153,33 @@ def test_plans_keep_the_scalable_operators(spark):
     # Only the needed columns reach the lineitem scan.
     scan = plan_text(report.sales_by_region(fact))
     assert "l_extendedprice" in scan and "l_quantity" not in scan
+
+
+@pytest.mark.parametrize("sample_rows", [30, 300, 3000, 10**9])
+def test_ranking_with_sampled_bounds_is_exact(spark, sample_rows):
+    fact = testdata_transactions(spark, SF_SMALL).cache()
+    try:
+        n = fact.count()
+        want = rows(report.window_ranking(fact))
+        bounds = report.amount_bounds(fact, 3, sample_rows, n)
+        assert rows(report.window_ranking(fact, bounds=bounds)) == want
+    finally:
+        fact.unpersist()
+
+
+def test_ranking_bounds_edge_cases(spark):
+    recs = []
+    # hot category with ties at the cut, NULL amounts, a NULL category, a
+    # category with fewer rows than the cut
+    for i, a in enumerate([9.0, 9.0, 8.0, 7.0, 7.0, 7.0, 1.0, None, None] * 5):
+        recs.append({"transaction_id": i, "category": "hot", "product_name": f"p{i % 4}", "total_amount": a})
+    for i, a in enumerate([5.0, None, 4.0, 4.0, 3.0]):
+        recs.append({"transaction_id": 100 + i, "category": None, "product_name": "n", "total_amount": a})
+    recs += [{"transaction_id": 200, "category": "tiny", "product_name": "t", "total_amount": None},
+             {"transaction_id": 201, "category": "tiny", "product_name": "u", "total_amount": 2.0}]
+    df = txn(spark, recs)
+    want = rows(report.window_ranking(df))
+    for sample_rows in (5, 20, 10**6):
+        for seed in (1, 2, 3):
+            bounds = report.amount_bounds(df, 3, sample_rows, len(recs), seed=seed)
+            assert rows(report.window_ranking(df, bounds=bounds)) == want

@@ -63,3 +63,16 @@ def test_repartition_before_caching(spark):
     with tuned_report(fact, storage="cache", partitions=4) as t:
         assert rows(t.load_shape())[0][2] == 4
         assert rows(t.sales_by_region()) == want
+
+
+def test_tuned_ranking_prunes_large_tables_exactly(spark, monkeypatch):
+    from tillroll.plans import tuned as tuned_mod
+
+    monkeypatch.setattr(tuned_mod, "PRUNE_MIN_ROWS", 0)
+    monkeypatch.setattr(tuned_mod, "BOUND_SAMPLE_ROWS", 500)
+    fact = testdata_transactions(spark, SF_SMALL)
+    want = rows(report.window_ranking(fact))
+    with tuned_report(fact, storage="cache") as t:
+        ranked = t.window_ranking()
+        assert rows(ranked) == want
+        assert t._held[-1].count() > 0  # the bound table was used

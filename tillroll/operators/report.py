@@ -272,7 +272,33 @@ def top_products_with_lookup(
 # -- ranking ---------------------------------------------------------------
 
 
-def window_ranking(df: DataFrame, top: int = 3) -> DataFrame:
+def amount_bounds(
+    df: DataFrame, top: int, sample_rows: int, total_rows: int, seed: int = 7
+) -> DataFrame:
+    """Per category, a lower bound on its ``top``-th largest amount.
+
+    The bound is the ``top``-th largest non-NULL amount of a Bernoulli sample
+    of about ``sample_rows`` rows.  A subset's k-th largest value can never
+    exceed the whole set's k-th largest, so every row with ``rank <= top``
+    has an amount at or above the bound: rows below it can be dropped
+    before ranking without changing the answer.  The sample only decides
+    what is *safe to skip*, never what is returned.  A category with fewer
+    than ``top`` sampled rows gets no bound (all its rows are kept).
+    Output: (_bound_category, _bound), one row per bounded category.
+    """
+    fraction = min(1.0, sample_rows / max(total_rows, 1))
+    w = Window.partitionBy("category").orderBy(F.desc("total_amount"))
+    return (
+        df.select("category", "total_amount")
+        .filter(F.col("total_amount").isNotNull())
+        .sample(fraction=fraction, seed=seed)
+        .withColumn("_rn", F.row_number().over(w))
+        .filter(F.col("_rn") == top)
+        .select(F.col("category").alias("_bound_category"), F.col("total_amount").alias("_bound"))
+    )
+
+
+def window_ranking(df: DataFrame, top: int = 3, bounds: DataFrame | None = None) -> DataFrame:
     """Top ``top`` transactions per category by amount, ties kept (``rank``).
 
     The ``rank <= top`` filter sits directly on the window, so Catalyst
@@ -280,7 +306,17 @@ def window_ranking(df: DataFrame, top: int = 3) -> DataFrame:
     its top rows per category (plus ties at the cut), and a hot category
     costs no more than a cold one.  Ties are part of the answer; if a huge
     number of rows tie at the cut, the output itself is that large.
+
+    ``bounds`` (from ``amount_bounds``) prunes rows that provably rank below
+    ``top`` before the per-task sort, which otherwise sorts every row.  It
+    is joined null-safely on category (a NULL category is a group too); a
+    NULL amount in a bounded category ranks after at least ``top`` non-NULL
+    amounts, so it is dropped, as the window would.
     """
+    if bounds is not None:
+        df = df.join(
+            bounds, df["category"].eqNullSafe(bounds["_bound_category"]), "left"
+        ).filter(F.col("_bound").isNull() | (F.col("total_amount") >= F.col("_bound")))
     w = Window.partitionBy("category").orderBy(F.desc("total_amount"))
     return (
         df.select("category", "product_name", "total_amount")

@@ -33,12 +33,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.operators import report
-from tillroll.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
+from tillroll.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
 from tillroll.plans.onepass import grouped_aggregate, split_results
 from tillroll.session import checkpoint_root, scratch_path
 from tillroll.sources.sinks import write_csv
 
 
+# Ranking prunes with a sampled bound only above this many rows: below it
+# one sort of everything is cheaper than the extra sample pass.
+PRUNE_MIN_ROWS = 2_000_000
+# Target sample size for the bound: about this many rows in total.
+BOUND_SAMPLE_ROWS = 1_000_000
+
+
 @dataclass
 class TunedReport:
     fact: DataFrame
@@ -46,6 +53,7 @@ class TunedReport:
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
     _held: list[DataFrame] = field(default_factory=list)
     grouped: dict[str, DataFrame] | None = None
+    row_count: int | None = None
 
     def _group(self, name: str, fn) -> DataFrame:
         return self.grouped[name] if self.grouped else fn(self.fact)
@@ -88,7 +96,7 @@ class TunedReport:
         ``WindowGroupLimit``, and the result is read once anyway.
         """
         if not persist_ranked:
-            return report.window_ranking(self.fact)
+            return report.window_ranking(self.fact, bounds=self._ranking_bounds())
         w = Window.partitionBy("category").orderBy(F.desc("total_amount"))
         ranked = self.fact.withColumn("rank", F.rank().over(w)).persist(
             StorageLevel.MEMORY_AND_DISK
@@ -100,6 +108,22 @@ class TunedReport:
             .orderBy("category", "rank")
         )
 
+    def _ranking_bounds(self) -> DataFrame | None:
+        """Sampled lower bounds for the ranking, on large tables only.
+
+        The materialized table is cheap to read twice, so a sample pass that
+        lets the ranking skip sorting almost every row pays off.  The bound
+        table (one row per category) is persisted, and broadcast only when
+        its row count is proven small.
+        """
+        if self.row_count is None or self.row_count < PRUNE_MIN_ROWS:
+            return None
+        bounds = report.amount_bounds(
+            self.fact, 3, BOUND_SAMPLE_ROWS, self.row_count
+        ).persist(StorageLevel.MEMORY_AND_DISK)
+        self._held.append(bounds)
+        return broadcast_if_small(bounds, self.broadcast_max_rows)
+
     def save(self, path: str) -> str:
         return write_csv(self.category_stats, path, single_file=True)
 
@@ -140,7 +164,7 @@ def tuned_report(
     fact = materialize(df, storage, partitions)
     held = [fact] if storage == "cache" else []
     try:
-        fact.count()  # fills the cache (or is answered from parquet footers)
+        row_count = fact.count()  # fills the cache (or reads parquet footers)
         grouped = None
         if one_pass_groups:
             agg = grouped_aggregate(fact).persist(StorageLevel.MEMORY_AND_DISK)
@@ -150,7 +174,7 @@ def tuned_report(
         else:
             cat_stats = report.sales_by_category(fact).persist(StorageLevel.MEMORY_ONLY)
             held.append(cat_stats)
-        yield TunedReport(fact, cat_stats, broadcast_max_rows, held, grouped)
+        yield TunedReport(fact, cat_stats, broadcast_max_rows, held, grouped, row_count)
     finally:
         for frame in held:
             frame.unpersist()
