@@ -53,3 +53,13 @@ def test_testdata_view_keeps_every_line_item(spark):
     assert fact.count() == lineitem.count()
     assert fact.columns == TRANSACTION_COLUMNS
     assert fact.filter(F.col("transaction_id").isNull()).count() == 0
+
+
+def test_json_round_trip(spark, tmp_path):
+    from tillroll.sources.sinks import write_json
+
+    df = gen_transactions(spark, 1_500, partitions=2)
+    path = write_json(df, str(tmp_path / "js"))
+    back = read_transactions(spark, path, fmt="json")
+    assert back.columns == TRANSACTION_COLUMNS
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
