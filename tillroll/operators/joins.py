@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A lookup side above this many rows is never hinted; the planner (and AQE at
-# run time, from real shuffle sizes) then chooses the join on its own.
+# run time, from real shuffle sizes) then chooses the join on its own.  The
+# lookups here are narrow (a key and one or two numbers, ~50 bytes a row),
+# so the bound keeps a broadcast to a few MB.
 DEFAULT_BROADCAST_MAX_ROWS = 100_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has no more than ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows, so the check stays cheap even when
-    the answer is no.
+    Stops after ``max_rows + 1`` rows.  Meant for frames that are already
+    materialized (persisted or checkpointed), where that is cheap: on a lazy
+    aggregate it would first compute the aggregate.
     """
     return df.limit(max_rows + 1).count() <= max_rows
 
