@@ -4,10 +4,14 @@ from tillroll.functions.columns import (
     AGE_BANDS,
     AGE_DEFAULT,
     age_group,
+    exact_avg,
+    exact_avg_from_sums,
     line_total,
     money,
     to_cents,
     year_month,
 )
 
-__all__ = ["AGE_BANDS", "AGE_DEFAULT", "age_group", "line_total", "money", "to_cents", "year_month"]
+__all__ = [
+    "AGE_BANDS", "AGE_DEFAULT", "age_group", "exact_avg", "exact_avg_from_sums", "line_total", "money", "to_cents", "year_month",
+]

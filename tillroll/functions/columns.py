@@ -62,3 +62,31 @@ def line_total(price: Column, discount: Column) -> Column:
     pct = to_cents(discount)
     net_cents = F.floor((gross * (F.lit(100) - pct) + 50) / 100)
     return net_cents.cast("double") / 100
+
+
+def exact_avg(values: Column | str, digits: int, unit: int = 1) -> Column:
+    """Aggregate: the average, rounded half up to ``digits``, computed exactly.
+
+    For columns whose values are whole multiples of ``1/unit`` (cents:
+    ``unit=100``; whole numbers: ``unit=1``).  The scaled values are summed
+    as integers, and the rounded average is the integer quotient
+    ``(2*S*10^d + n*unit) div (2*n*unit)``, taken in 38-digit decimals.  So
+    nothing is rounded on the way, the result does not depend on summation
+    order or partitioning, and any engine gets the same digits.  (``round``
+    of a double ``avg`` disagrees between engines, and even between runs,
+    when the true average sits on a half.)  NULL when there are no values.
+    """
+    x = F.col(values) if isinstance(values, str) else values
+    scaled = x if unit == 1 else F.floor(x * unit + 0.5)
+    total = F.sum(scaled.cast("long")).cast("decimal(38,0)")
+    n = F.count(x).cast("decimal(38,0)")
+    return exact_avg_from_sums(total, n, digits, unit)
+
+
+def exact_avg_from_sums(total: Column, n: Column, digits: int, unit: int = 1) -> Column:
+    """``exact_avg`` from an integer sum of scaled values and their count."""
+    total = total.cast("decimal(38,0)")
+    n = n.cast("decimal(38,0)")
+    scale = 10**digits
+    quotient = F.call_function("div", total * (2 * scale) + n * unit, n * (2 * unit))
+    return F.when(n > 0, quotient.cast("double") / scale)

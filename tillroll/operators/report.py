@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions import age_group, money, year_month
+from tillroll.functions import age_group, exact_avg, exact_avg_from_sums, money, year_month
 from tillroll.operators.joins import broadcast_if_small
 
 PROFILE_COLUMNS = ["unit_price", "quantity", "total_amount", "customer_age"]
@@ -101,8 +101,8 @@ def sales_by_category(df: DataFrame) -> DataFrame:
         .agg(
             F.count("transaction_id").alias("transactions"),
             money(F.sum("total_amount")).alias("total_revenue"),
-            money(F.avg("total_amount")).alias("avg_transaction"),
-            money(F.avg("discount_pct")).alias("avg_discount"),
+            exact_avg("total_amount", 2, 100).alias("avg_transaction"),
+            exact_avg("discount_pct", 2).alias("avg_discount"),
         )
         .orderBy(F.desc("total_revenue"))
     )
@@ -114,7 +114,7 @@ def sales_by_region(df: DataFrame) -> DataFrame:
         .agg(
             F.count("transaction_id").alias("transactions"),
             money(F.sum("total_amount")).alias("total_revenue"),
-            money(F.avg("customer_age"), 1).alias("avg_age"),
+            exact_avg("customer_age", 1).alias("avg_age"),
         )
         .orderBy(F.desc("total_revenue"))
     )
@@ -140,7 +140,7 @@ def age_group_analysis(df: DataFrame) -> DataFrame:
         df.groupBy(age_group("customer_age").alias("age_group"))
         .agg(
             F.count("transaction_id").alias("transactions"),
-            money(F.avg("total_amount")).alias("avg_spend"),
+            exact_avg("total_amount", 2, 100).alias("avg_spend"),
             money(F.sum("total_amount")).alias("total_spend"),
         )
         .orderBy("age_group")
@@ -153,7 +153,7 @@ def payment_analysis(df: DataFrame) -> DataFrame:
         .agg(
             F.count("transaction_id").alias("count"),
             money(F.sum("total_amount")).alias("total_revenue"),
-            money(F.avg("total_amount")).alias("avg_amount"),
+            exact_avg("total_amount", 2, 100).alias("avg_amount"),
         )
         .orderBy(F.desc("count"))
     )
@@ -184,7 +184,7 @@ def top_products(df: DataFrame, n: int = 20) -> DataFrame:
 
 
 def _avg_discount(s: str, k: str) -> Column:
-    return money(F.when(F.col(k) > 0, F.col(s) / F.col(k)))
+    return exact_avg_from_sums(F.col(s), F.col(k), 2)
 
 
 def top_products_with_discount(df: DataFrame, n: int = 20) -> DataFrame:

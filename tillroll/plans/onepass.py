@@ -21,7 +21,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import age_group, money, year_month
+from tillroll.functions import age_group, exact_avg, money, year_month
 
 # (step, grouping column), in grouping-set order
 _KEYS = [
@@ -58,9 +58,9 @@ def grouped_aggregate(df: DataFrame) -> DataFrame:
         F.grouping_id().alias("_gid"),
         F.count("transaction_id").alias("_n"),
         F.sum("total_amount").alias("_sum"),
-        F.avg("total_amount").alias("_avg"),
-        F.avg("discount_pct").alias("_disc"),
-        F.avg("customer_age").alias("_age"),
+        exact_avg("total_amount", 2, 100).alias("_avg"),
+        exact_avg("discount_pct", 2).alias("_disc"),
+        exact_avg("customer_age", 1).alias("_age"),
     )
 
 
@@ -73,8 +73,8 @@ def split_results(agg: DataFrame) -> dict[str, DataFrame]:
             "category",
             F.col("_n").alias("transactions"),
             money("_sum").alias("total_revenue"),
-            money("_avg").alias("avg_transaction"),
-            money("_disc").alias("avg_discount"),
+            F.col("_avg").alias("avg_transaction"),
+            F.col("_disc").alias("avg_discount"),
         )
         .orderBy(F.desc("total_revenue")),
         "sales_by_region": part["sales_by_region"]
@@ -82,7 +82,7 @@ def split_results(agg: DataFrame) -> dict[str, DataFrame]:
             "region",
             F.col("_n").alias("transactions"),
             money("_sum").alias("total_revenue"),
-            money("_age", 1).alias("avg_age"),
+            F.col("_age").alias("avg_age"),
         )
         .orderBy(F.desc("total_revenue")),
         "monthly_trends": part["monthly_trends"]
@@ -96,7 +96,7 @@ def split_results(agg: DataFrame) -> dict[str, DataFrame]:
         .select(
             "age_group",
             F.col("_n").alias("transactions"),
-            money("_avg").alias("avg_spend"),
+            F.col("_avg").alias("avg_spend"),
             money("_sum").alias("total_spend"),
         )
         .orderBy("age_group"),
@@ -105,12 +105,46 @@ def split_results(agg: DataFrame) -> dict[str, DataFrame]:
             "payment_method",
             F.col("_n").alias("count"),
             money("_sum").alias("total_revenue"),
-            money("_avg").alias("avg_amount"),
+            F.col("_avg").alias("avg_amount"),
         )
         .orderBy(F.desc("count")),
     }
 
 
+# Dimension names of ``grouped_sales``, in grouping-set order.
+DIMENSIONS = ["category", "region", "month", "age_group", "payment_method"]
+
+
+def grouped_sales(df: DataFrame) -> DataFrame:
+    """The five groupings as one long table, from one pass.
+
+    One row per (dimension, member): the member is the group's key as text
+    (a month as ``yyyy-MM``), with transactions, revenue, average amount,
+    average discount and average age.  Same aggregate as ``one_pass``, with
+    no persisted state, so it can be returned as a single DataFrame.
+    """
+    agg = grouped_aggregate(df)
+    dimension = F.element_at(
+        F.create_map(*[x for i, d in enumerate(DIMENSIONS) for x in (F.lit(_gid(i)), F.lit(d))]),
+        F.col("_gid"),
+    )
+    member = F.coalesce(
+        *[
+            F.when(F.col("_gid") == _gid(i), F.col(k) if k != "_month" else year_month(k))
+            for i, (_, k) in enumerate(_KEYS)
+        ]
+    )
+    return agg.select(
+        dimension.alias("dimension"),
+        member.alias("member"),
+        F.col("_n").alias("transactions"),
+        money("_sum").alias("total_revenue"),
+        F.col("_avg").alias("avg_amount"),
+        F.col("_disc").alias("avg_discount"),
+        F.col("_age").alias("avg_age"),
+    ).orderBy("dimension", "member")
+
+
 @contextmanager
 def one_pass(df: DataFrame) -> Iterator[dict[str, DataFrame]]:
     """Compute the five groupings once; yield their results; release."""

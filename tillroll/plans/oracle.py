@@ -2,8 +2,9 @@
 
 The text runs in DuckDB over the driver's tables.  Column names equal the
 Spark side's aliases.  Engine differences handled here: ``sum`` of an int is
-HUGEINT in DuckDB (cast to BIGINT), NULL ordering is spelled out, and ties
-before a LIMIT are broken the same way as in Spark.
+HUGEINT in DuckDB (cast to BIGINT), NULL ordering is spelled out, ties
+before a LIMIT are broken the same way as in Spark, and averages are
+computed exactly (integer sums, half-up integer quotient) on both sides.
 """
 
 from __future__ import annotations
@@ -39,6 +40,30 @@ def _profile_sql(cols: list[str], digits: int = 6) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _exact_avg(col: str, digits: int, unit: int = 1) -> str:
+    """SQL twin of ``functions.exact_avg``: integer sum, exact half-up quotient."""
+    scaled = col if unit == 1 else f"CAST(FLOOR({col} * {unit} + 0.5) AS BIGINT)"
+    total = f"CAST(SUM({scaled}) AS HUGEINT)"
+    n = f"CAST(COUNT({col}) AS HUGEINT)"
+    return (
+        f"CASE WHEN COUNT({col}) > 0 THEN CAST(({total} * {2 * 10**digits} + {n} * {unit})"
+        f" // ({n} * {2 * unit}) AS DOUBLE) / {10**digits} END"
+    )
+
+
+_AVERAGES = {
+    "ROUND(AVG(total_amount), 2)": _exact_avg("total_amount", 2, 100),
+    "ROUND(AVG(discount_pct), 2)": _exact_avg("discount_pct", 2),
+    "ROUND(AVG(customer_age), 1)": _exact_avg("customer_age", 1),
+}
+
+
+def _exact(sql: str) -> str:
+    for plain, exact in _AVERAGES.items():
+        sql = sql.replace(plain, exact)
+    return sql
+
+
 _SALES_BY_CATEGORY = """SELECT category, COUNT(transaction_id) AS transactions,
   ROUND(SUM(total_amount), 2) AS total_revenue,
   ROUND(AVG(total_amount), 2) AS avg_transaction,
@@ -87,10 +112,28 @@ FROM transactions GROUP BY payment_method ORDER BY count DESC""",
     CAST(RANK() OVER (PARTITION BY category ORDER BY total_amount DESC NULLS LAST) AS BIGINT) AS rnk
   FROM transactions) r
 WHERE rnk <= 3 ORDER BY category, rnk""",
+    "grouped_sales": "\nUNION ALL\n".join(
+        f"""SELECT '{dim}' AS dimension, CAST({key} AS VARCHAR) AS member,
+  COUNT(transaction_id) AS transactions, ROUND(SUM(total_amount), 2) AS total_revenue,
+  ROUND(AVG(total_amount), 2) AS avg_amount, ROUND(AVG(discount_pct), 2) AS avg_discount,
+  ROUND(AVG(customer_age), 1) AS avg_age
+FROM transactions GROUP BY {key}"""
+        for dim, key in [
+            ("category", "category"),
+            ("region", "region"),
+            ("month", "strftime(date, '%Y-%m')"),
+            ("age_group", _AGE),
+            ("payment_method", "payment_method"),
+        ]
+    ),
     # The CSV written by the sink and read back equals the aggregate.
     "csv_round_trip": _SALES_BY_CATEGORY,
 }
 
+# Averages are written as ROUND(AVG(..)) above for reading, and computed
+# exactly (as the Spark side does) in the text that runs.
+STEP_SQL = {name: _exact(sql) for name, sql in STEP_SQL.items()}
+
 ORACLE_SQL: dict[str, str] = {
     **{name: _T + sql for name, sql in STEP_SQL.items()},
     "gen_transactions": generated_transactions_sql(),

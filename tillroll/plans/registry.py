@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import report
 from tillroll.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
+from tillroll.plans.onepass import grouped_sales
 from tillroll.session import checkpoint_root, scratch_path
 from tillroll.sources.generate import gen_like_table
 from tillroll.sources.sinks import write_csv
@@ -89,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "age_group_analysis": _on_transactions(report.age_group_analysis),
     "payment_analysis": _on_transactions(report.payment_analysis),
     "window_ranking": _on_transactions(report.window_ranking),
+    "grouped_sales": _on_transactions(grouped_sales),
     "csv_round_trip": _csv_round_trip,
     "gen_transactions": _generated,
     "gen_head": _gen_head,
