@@ -8,6 +8,8 @@ data the checks and the benchmark run on.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +47,9 @@ def testdata_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def testdata_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def testdata_transactions(
+    spark: SparkSession, sf_dir: str, read: Callable[[str], DataFrame] | None = None
+) -> DataFrame:
     """One transaction per line item of the TPC-H-like tables.
 
     Mapping: id = order key, date = order date, category = part type,
@@ -63,8 +67,12 @@ def testdata_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` (nation and region always are).
     Column pruning reaches every scan, so a step that needs three columns
     reads three columns plus the join keys.
+
+    ``read`` maps a table name to a DataFrame, for inputs laid out
+    differently (``tillroll.sources.layout.bucket_testdata``: a lineitem
+    bucketed on the order key joins orders without being shuffled).
     """
-    t = lambda name: testdata_table(spark, sf_dir, name)
+    t = read or (lambda name: testdata_table(spark, sf_dir, name))
 
     region = t("region").select("r_regionkey", "r_name")
     nation = t("nation").select("n_nationkey", "n_regionkey")
