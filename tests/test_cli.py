@@ -38,3 +38,12 @@ def test_compare_and_joblog(keep_session, capsys):
     assert cli.main(["joblog", "--eventlog", os.path.join(FIXTURES, "eventlog")]) == 0
     text = capsys.readouterr().out
     assert "1.19" in text and "bad_cast" in text
+
+
+def test_report_on_bucketed_testdata(keep_session, tmp_path, capsys):
+    from conftest import SF_SMALL
+
+    assert cli.main(["report", "--testdata", SF_SMALL, "--bucketed", str(tmp_path / "b"),
+                     "--buckets", "4", "--output", str(tmp_path / "o"), "--show", "1"]) == 0
+    record = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert record["row_count"] > 0

@@ -24,7 +24,12 @@ def _load_fn(spark, args):
     from tillroll.sources.transactions import read_transactions, testdata_transactions
 
     if args.testdata:
-        return lambda: testdata_transactions(spark, args.testdata)
+        read = None
+        if args.bucketed:
+            from tillroll.sources.layout import bucket_testdata
+
+            read = bucket_testdata(spark, args.testdata, args.bucketed, args.buckets)
+        return lambda: testdata_transactions(spark, args.testdata, read=read)
     return lambda: read_transactions(spark, args.input, fmt=args.format, infer_schema=args.infer_schema)
 
 
@@ -101,6 +106,9 @@ def main(argv: list[str] | None = None) -> int:
     src = r.add_mutually_exclusive_group(required=True)
     src.add_argument("--input", help="transactions file or folder")
     src.add_argument("--testdata", help="folder with the TPC-H-like parquet tables")
+    r.add_argument("--bucketed", help="with --testdata: write lineitem bucketed on the "
+                   "order key to this folder first, and join from it")
+    r.add_argument("--buckets", type=int, default=64)
     r.add_argument("--format", default="csv", choices=["csv", "parquet", "json"])
     r.add_argument("--infer-schema", action="store_true")
     r.add_argument("--mode", default="plain", choices=["plain", "tuned", "onepass"])
