@@ -183,3 +183,13 @@ def test_ranking_bounds_edge_cases(spark):
         for seed in (1, 2, 3):
             bounds = report.amount_bounds(df, 3, sample_rows, len(recs), seed=seed)
             assert rows(report.window_ranking(df, bounds=bounds)) == want
+
+
+def test_profile_does_not_depend_on_partitioning(spark):
+    fact = testdata_transactions(spark, SF_SMALL).cache()
+    try:
+        base = sorted(rows(report.column_profile(fact)))
+        for n in (1, 3, 13):
+            assert sorted(rows(report.column_profile(fact.repartition(n)))) == base
+    finally:
+        fact.unpersist()

@@ -6,6 +6,7 @@ from tillroll.functions.columns import (
     age_group,
     exact_avg,
     exact_avg_from_sums,
+    exact_stddev,
     line_total,
     money,
     to_cents,
@@ -13,5 +14,5 @@ from tillroll.functions.columns import (
 )
 
 __all__ = [
-    "AGE_BANDS", "AGE_DEFAULT", "age_group", "exact_avg", "exact_avg_from_sums", "line_total", "money", "to_cents", "year_month",
+    "AGE_BANDS", "AGE_DEFAULT", "age_group", "exact_avg", "exact_avg_from_sums", "exact_stddev", "line_total", "money", "to_cents", "year_month",
 ]

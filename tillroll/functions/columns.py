@@ -90,3 +90,21 @@ def exact_avg_from_sums(total: Column, n: Column, digits: int, unit: int = 1) ->
     scale = 10**digits
     quotient = F.call_function("div", total * (2 * scale) + n * unit, n * (2 * unit))
     return F.when(n > 0, quotient.cast("double") / scale)
+
+
+def exact_stddev(values: Column | str, unit: int = 1) -> Column:
+    """Aggregate: sample standard deviation from exact integer sums.
+
+    ``sqrt((n*S2 - S1^2) / (n*(n-1))) / unit`` with ``S1``, ``S2`` the sums of
+    the scaled values and of their squares, kept in 38-digit decimals: the
+    only floating-point steps are the final division and square root, which
+    every engine performs alike.  NULL for fewer than two values.
+    """
+    x = F.col(values) if isinstance(values, str) else values
+    scaled = (x if unit == 1 else F.floor(x * unit + 0.5)).cast("decimal(20,0)")
+    n = F.count(x).cast("decimal(38,0)")
+    s1 = F.sum(scaled).cast("decimal(38,0)")
+    s2 = F.sum(scaled * scaled).cast("decimal(38,0)")
+    num = (n * s2 - s1 * s1).cast("double")
+    den = (n * (n - 1)).cast("double")
+    return F.when(n > 1, F.sqrt(num / den) / unit)

@@ -21,11 +21,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions import age_group, exact_avg, exact_avg_from_sums, money, year_month
+from tillroll.functions import (
+    age_group,
+    exact_avg,
+    exact_avg_from_sums,
+    exact_stddev,
+    money,
+    year_month,
+)
 from tillroll.operators.joins import broadcast_if_small
 
 PROFILE_COLUMNS = ["unit_price", "quantity", "total_amount", "customer_age"]
 PROFILE_STATS = ["count", "mean", "stddev", "min", "max"]
+# Scale that makes each profiled column whole numbers: cents for money.
+PROFILE_UNITS = {"unit_price": 100, "quantity": 1, "total_amount": 100, "customer_age": 1}
 
 
 # -- load ------------------------------------------------------------------
@@ -62,31 +71,38 @@ def column_profile(
 
     One global aggregate (partial per task, one tiny final merge), then the
     single wide row is turned into rows.  ``stddev`` is the sample standard
-    deviation, as in ``describe``.
+    deviation, as in ``describe``.  For the report's columns (cents or
+    whole numbers, ``PROFILE_UNITS``) mean and standard deviation come from
+    exact integer sums, so the printed digits do not depend on how the rows
+    were partitioned; other columns use Spark's ``avg``/``stddev_samp``.
     """
     cols = cols or PROFILE_COLUMNS
-    stat_fns = {
-        "count": F.count,
-        "mean": F.avg,
-        "stddev": F.stddev_samp,
-        "min": F.min,
-        "max": F.max,
-    }
+
+    def stat(c: str, name: str) -> Column:
+        unit = PROFILE_UNITS.get(c)
+        if name == "count":
+            return F.count(c)
+        if name == "mean":
+            return exact_avg(c, digits, unit) if unit else F.avg(c)
+        if name == "stddev":
+            return exact_stddev(c, unit) if unit else F.stddev_samp(c)
+        return F.min(c) if name == "min" else F.max(c)
+
     aggs = [
-        stat_fns[stat](c).cast("double").alias(f"{c}.{stat}")
+        stat(c, name).cast("double").alias(f"{c}.{name}")
         for c in cols
-        for stat in PROFILE_STATS
+        for name in PROFILE_STATS
     ]
     wide = df.agg(*aggs)
     rows = F.array(
         *[
             F.struct(
                 F.lit(c).alias("column_name"),
-                F.lit(stat).alias("summary"),
-                F.round(F.col(f"`{c}.{stat}`"), digits).alias("value"),
+                F.lit(name).alias("summary"),
+                F.round(F.col(f"`{c}.{name}`"), digits).alias("value"),
             )
             for c in cols
-            for stat in PROFILE_STATS
+            for name in PROFILE_STATS
         ]
     )
     return wide.select(F.inline(rows))

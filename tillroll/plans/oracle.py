@@ -9,7 +9,7 @@ computed exactly (integer sums, half-up integer quotient) on both sides.
 
 from __future__ import annotations
 
-from tillroll.operators.report import PROFILE_COLUMNS
+from tillroll.operators.report import PROFILE_COLUMNS, PROFILE_UNITS
 from tillroll.sources.generate import generated_transactions_sql
 from tillroll.sources.transactions import TRANSACTIONS_VIEW_SQL
 
@@ -25,10 +25,16 @@ _AGE = """CASE WHEN customer_age < 25 THEN '18-24'
 def _profile_sql(cols: list[str], digits: int = 6) -> str:
     parts = []
     for c in cols:
+        unit = PROFILE_UNITS[c]
+        scaled = c if unit == 1 else f"CAST(FLOOR({c} * {unit} + 0.5) AS BIGINT)"
+        n = f"CAST(COUNT({c}) AS HUGEINT)"
+        s1 = f"SUM(CAST({scaled} AS HUGEINT))"
+        s2 = f"SUM(CAST({scaled} AS HUGEINT) * CAST({scaled} AS HUGEINT))"
         stats = {
             "count": f"CAST(COUNT({c}) AS DOUBLE)",
-            "mean": f"AVG({c})",
-            "stddev": f"STDDEV_SAMP({c})",
+            "mean": _exact_avg(c, digits, unit),
+            "stddev": f"CASE WHEN COUNT({c}) > 1 THEN SQRT(CAST({n} * {s2} - {s1} * {s1} AS DOUBLE)"
+            f" / CAST({n} * ({n} - 1) AS DOUBLE)) / {unit} END",
             "min": f"CAST(MIN({c}) AS DOUBLE)",
             "max": f"CAST(MAX({c}) AS DOUBLE)",
         }
