@@ -96,15 +96,29 @@ def exact_stddev(values: Column | str, unit: int = 1) -> Column:
     """Aggregate: sample standard deviation from exact integer sums.
 
     ``sqrt((n*S2 - S1^2) / (n*(n-1))) / unit`` with ``S1``, ``S2`` the sums of
-    the scaled values and of their squares, kept in 38-digit decimals: the
-    only floating-point steps are the final division and square root, which
-    every engine performs alike.  NULL for fewer than two values.
+    the scaled values and of their squares: the only floating-point steps
+    are the final division and square root, which every engine performs
+    alike.  NULL for fewer than two values.
+
+    Kept fast: each square is exact in a long (values below 3e9 units), and
+    it is summed as three 21-bit limbs, each a plain long sum that cannot
+    overflow below 4e12 rows; the limbs are recombined exactly, once per
+    group, in 38-digit decimals.
     """
     x = F.col(values) if isinstance(values, str) else values
-    scaled = (x if unit == 1 else F.floor(x * unit + 0.5)).cast("decimal(20,0)")
+    scaled = (x if unit == 1 else F.floor(x * unit + 0.5)).cast("long")
+    square = scaled * scaled
+    mask = (1 << _LIMB_BITS) - 1
+    s2 = None
+    for i in range(3):
+        limb = F.sum(F.shiftright(square, _LIMB_BITS * i).bitwiseAND(mask)).cast("decimal(38,0)")
+        term = limb * F.lit(1 << (_LIMB_BITS * i)).cast("decimal(38,0)")
+        s2 = term if s2 is None else s2 + term
     n = F.count(x).cast("decimal(38,0)")
     s1 = F.sum(scaled).cast("decimal(38,0)")
-    s2 = F.sum(scaled * scaled).cast("decimal(38,0)")
     num = (n * s2 - s1 * s1).cast("double")
     den = (n * (n - 1)).cast("double")
     return F.when(n > 1, F.sqrt(num / den) / unit)
+
+
+_LIMB_BITS = 21
