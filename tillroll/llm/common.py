@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -21,6 +24,18 @@ ASCII_SPACE = " \t\n\r\x0b\x0c"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per session.
+
+    Needed where it is not installed on them; Spark's own file server moves it.
+    """
+    sc, root = spark.sparkContext, Path(__file__).parents[1]
+    if root.is_dir() and not any(f.endswith("/tillroll.zip") for f in sc.listFiles):
+        made = shutil.make_archive(
+            f"{tempfile.mkdtemp()}/tillroll", "zip", root.parent, root.name)
+        sc.addPyFile(made)
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z and nothing else (``F.lower`` also folds other letters)."""
     return F.translate(col, _UPPER, _UPPER.lower())
@@ -53,6 +68,15 @@ def by_bytes(
             yield batch.slice(start)
 
 
+def apart(key: Column) -> Column:
+    """A long join key that no earlier grouping by ``key`` already distributes.
+
+    A sort-merge join over it shuffles both sides by itself, and only then can
+    adaptive execution split a hot key of one side over several tasks.
+    """
+    return key.bitwiseXOR(F.lit(1))
+
+
 def arrow_map(df: DataFrame, column: str, fn: Callable, schema: str,
               limit: int = BATCH_BYTES) -> DataFrame:
     """``mapInArrow`` over slices of about ``limit`` bytes of ``column``.

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import quality, token_counts, url_filter
+from tillroll.llm import quality, simhash, token_counts, url_filter
+from tillroll.llm.common import ship
 
 #: (verdict, host/path)
 URL_RULES = [
@@ -23,6 +24,7 @@ TOKEN_LIMIT = 4096
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -46,10 +48,17 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.simhash_components(_table(spark, sf_dir, "documents"), width=3, max_bits=3)
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
 }
 
 _URL_SQL = """
