@@ -9,7 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import quality, simhash, token_counts, url_filter
+from tillroll.llm import (
+    decontaminate,
+    html_text,
+    quality,
+    simhash,
+    token_counts,
+    url_filter,
+)
 from tillroll.llm.common import ship
 
 #: (verdict, host/path)
@@ -54,11 +61,23 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract_text(_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op8_html_extraction": op8_html_extraction,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 _URL_SQL = """
