@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
+    bpe,
     decontaminate,
     html_text,
     quality,
@@ -71,6 +72,23 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def bpe_round_trip(docs: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, and SHA-256 of the ids and of the bytes they decode to."""
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(_tokenizer("byte_bpe_multi_50k.tiktoken"))
+    coded = bpe.bpe_encode(docs, ranks, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode_ids(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+
+
+def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op4_quality_rules": op4_quality_rules,
@@ -78,6 +96,7 @@ QUERIES = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_html_extraction": op8_html_extraction,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_byte_level_bpe": op10_byte_level_bpe,
 }
 
 _URL_SQL = """
