@@ -7,7 +7,8 @@ every page is then read again under its host's winning path.  A page without an
 element on that path falls back on its own best container.
 
 Votes are summed per task before the shuffle, so a hot host costs no more than
-another; the join with the winners is a plain equi-join.
+another.  For the join with the winners, pages are dealt by host and a salt, and
+each winner, one short row per host, is repeated for every salt.
 
 Defined results: null or empty html gives an empty text.  A URL without a host
 votes among the other such pages.  Repeated rows are extracted row by row;
@@ -33,6 +34,9 @@ _TOKEN = re.compile(
 _ATTR = re.compile(
     r"""\b(class|id|role|style|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
+#: Tasks over which the pages of one host are spread.
+_SALTS = 32
+
 #: Elements whose content is not markup, or never article text.
 _RAW = frozenset("script style noscript template textarea select svg iframe title object".split())
 
@@ -204,8 +208,10 @@ def extract_text(
         votes.filter("path IS NOT NULL")
         .groupBy("host", "path").agg(F.sum("weight").alias("weight"))
         .groupBy("host").agg(F.max(F.struct("weight", "path")).alias("best"))
-        .select(F.col("host").alias("h"), F.col("best.path").alias("path"))
+        .select(F.col("host").alias("h"), F.col("best.path").alias("path"),
+                F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("s"))
     )
+    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(_SALTS)).cast("int")
 
     def read(batches):
         for batch in by_bytes(batches, "html"):
@@ -215,6 +221,7 @@ def extract_text(
                 [batch.column("page_id"), batch.column("url"), pa.array(found, pa.string())],
                 names=["page_id", "url", "text"])
 
-    routed = rows.join(winners, F.col("host") == F.col("h"), "left")
+    routed = rows.withColumn("salt", salt).join(
+        winners, (F.col("host") == F.col("h")) & (F.col("salt") == F.col("s")), "left")
     return routed.select("page_id", "url", "html", "path").mapInArrow(
         read, f"page_id {kind}, url string, text string")
