@@ -107,9 +107,14 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 
 
 def release(spark: SparkSession, *paths: str) -> None:
-    """Delete intermediate tables that no later plan reads."""
+    """Delete intermediate tables that no later plan reads.
+
+    Spark deletes the shuffle files of finished stages when the driver's JVM
+    finds them unreachable, so a collection is asked for as well.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
+    jvm.System.gc()

@@ -15,6 +15,7 @@ from tillroll.llm import (
     html_text,
     quality,
     simhash,
+    suffix_dedup,
     token_counts,
     url_filter,
 )
@@ -42,6 +43,12 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"), depth=200)
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -90,6 +97,7 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_url_filter": op2_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
