@@ -15,6 +15,7 @@ from tillroll.llm import (
     html_text,
     quality,
     simhash,
+    substring_dedup,
     suffix_dedup,
     token_counts,
     url_filter,
@@ -69,6 +70,11 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"), depth=50)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.extract_text(_table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -102,6 +108,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_html_extraction": op8_html_extraction,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_byte_level_bpe": op10_byte_level_bpe,
