@@ -64,17 +64,16 @@ def _settled(found: DataFrame, groups: DataFrame, depth: int) -> DataFrame:
 
 
 def _contexts(rows: DataFrame, groups: DataFrame, depth: int) -> DataFrame:
-    """(doc_id, tid, key, start, offset, n, size, words): one run of each content.
+    """(doc_id, RUN_KEY, size, words): one run of each content, of its first document.
 
     For prefixes with several contents; ``words`` are the word hashes of the run
     and ``size`` the number of suffixes under its prefix.
     """
     several = groups.groupBy("key").agg(
         F.count("*").alias("c"), F.sum("n").alias("size")).filter("c > 1").select("key", "size")
-    left = anchors.in_groups(groups, several, "key").select(
-        "key", "offset", "n", "size", "one.*")
+    left = anchors.in_groups(groups, several, "key").select(*RUN_KEY, "size", "one.*")
     per_doc = left.groupBy("doc_id", "tid").agg(
-        F.collect_list(F.struct("key", "start", "offset", "n", "size")).alias("runs"))
+        F.collect_list(F.struct(*RUN_KEY, "start", "size")).alias("runs"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):
@@ -90,15 +89,15 @@ def _contexts(rows: DataFrame, groups: DataFrame, depth: int) -> DataFrame:
                     words.append(symbols[low:low + r["n"] - 1 + depth].view(np.int64))
             at = pa.array(doc, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(at), batch.column("tid").take(at),
-                 *(pa.array([r[k] for r in flat], pa.int64()) for k in ("key", "size")),
-                 *(pa.array([r[k] for r in flat], pa.int32()) for k in ("start", "offset", "n")),
+                [batch.column("doc_id").take(at),
+                 *(pa.array([r[k] for r in flat], pa.int64()) for k in ("key", "content", "size")),
+                 *(pa.array([r[k] for r in flat], pa.int32()) for k in ("offset", "n")),
                  pa.array(words, pa.list_(pa.int64()))],
-                names=["doc_id", "tid", "key", "size", "start", "offset", "n", "words"])
+                names=["doc_id", "key", "content", "size", "offset", "n", "words"])
 
     joined = anchors.with_texts(rows, per_doc, "inner").select("doc_id", "tid", "text", "runs")
     return joined.mapInArrow(
-        cut, f"doc_id {kind}, tid int, key long, size long, start int, offset int, n int, "
+        cut, f"doc_id {kind}, key long, content long, size long, offset int, n int, "
              "words array<long>")
 
 
@@ -120,7 +119,8 @@ def equal_prefixes(symbols: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _tree_spans(table: pa.Table, depth: int) -> pa.Table:
-    """Spans of windows that an earlier document holds too, in one group's trees."""
+    """Spans within runs, of windows that an earlier document holds too, in one
+    group's trees: (doc_id, RUN_KEY, low, high)."""
     docs = table.column("doc_id").to_numpy()
     n = table.column("n").to_numpy().astype(np.int64)
     words = table.column("words").combine_chunks()
@@ -139,25 +139,29 @@ def _tree_spans(table: pa.Table, depth: int) -> pa.Table:
     # Neighbouring windows of a run make one span.
     new = np.concatenate([[True], (np.diff(hit) != 1) | (np.diff(run[hit]) != 0)])[:len(hit)]
     low, high = hit[new], hit[np.concatenate([new[1:], [True]])[:len(hit)]]
-    at = table.column("start").to_numpy()[run[low]]
-    return pa.table({
-        "doc_id": pa.array(docs[run[low]], table.schema.field("doc_id").type),
-        "tid": pa.array(table.column("tid").to_numpy()[run[low]], pa.int32()),
-        "start": pa.array(at + within[low], pa.int32()),
-        "stop": pa.array(at + within[high] + depth, pa.int32())})
+    return table.select(["doc_id", *RUN_KEY]).take(pa.array(run[low])).append_column(
+        "low", pa.array(within[low], pa.int32())).append_column(
+        "high", pa.array(within[high] + depth, pa.int32()))
 
 
 def _hot_spans(runs: DataFrame, depth: int) -> DataFrame:
     """The same for prefixes too large for a task: one row per suffix."""
-    at = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at")
-    rows = runs.select("doc_id", "tid", "start", "offset", "key", "words", at).select(
-        "doc_id", "tid", (F.col("start") + F.col("at")).alias("start"), "key",
-        F.xxhash64(F.col("offset") - F.col("at"),
-                   F.slice("words", F.col("at") + 1, F.lit(depth))).alias("window"))
+    rows = runs.select("doc_id", *RUN_KEY, "words", F.explode(
+        F.sequence(F.lit(0), F.col("n") - 1)).alias("low")).select(
+        "doc_id", *RUN_KEY, "low", (F.col("low") + depth).alias("high"),
+        F.xxhash64(F.col("offset") - F.col("low"),
+                   F.slice("words", F.col("low") + 1, F.lit(depth))).alias("window"))
     first = rows.groupBy("window", "key").agg(
         F.min("doc_id").alias("first"), F.count("*").alias("c")).filter("c > 1").drop("c")
     return anchors.in_groups(rows, first, "window", "key").filter("first < doc_id").select(
-        "doc_id", "tid", "start", (F.col("start") + depth).alias("stop"))
+        "doc_id", *RUN_KEY, "low", "high")
+
+
+def _in_first_documents(found: DataFrame, parts: DataFrame) -> DataFrame:
+    """Spans of the runs that equal a judged one and are in its document."""
+    return anchors.in_groups(found, parts, *RUN_KEY, "doc_id").select(
+        "doc_id", "tid", (F.col("start") + F.col("low")).alias("start"),
+        (F.col("start") + F.col("high")).alias("stop"))
 
 
 def repeated_spans(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -171,20 +175,21 @@ def repeated_spans(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
         "groups")
     whole, whole_path = materialize(_settled(found, groups, depth), "spans")
     runs, run_path = materialize(_contexts(rows, groups, depth), "contexts")
-    del found, groups
-    release(spark, found_path, group_path)
+    del groups
+    release(spark, group_path)
     total = runs.filter(F.col("size") <= HOT_SUFFIXES).agg(F.sum("n")).first()[0] or 0
     parts = max(1, math.ceil(total / GROUP_SUFFIXES))
     trees = (
         runs.filter(F.col("size") <= HOT_SUFFIXES)
         .groupBy(F.pmod(F.xxhash64("key"), F.lit(parts)).alias("group"))
         .applyInArrow(lambda table: _tree_spans(table, depth),
-                      f"doc_id {kind}, tid int, start int, stop int")
+                      f"doc_id {kind}, key long, content long, offset int, n int, low int, high int")
     )
-    spans = whole.union(trees).union(_hot_spans(runs.filter(F.col("size") > HOT_SUFFIXES), depth))
+    judged = trees.union(_hot_spans(runs.filter(F.col("size") > HOT_SUFFIXES), depth))
+    spans = whole.union(_in_first_documents(found, judged))
     done, _ = materialize(anchors.per_document(spans), "document-spans")
-    del runs, whole, trees, spans
-    release(spark, run_path, whole_path)
+    del found, runs, whole, trees, judged, spans
+    release(spark, found_path, run_path, whole_path)
     return done
 
 
