@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import (
     bpe,
+    context_tree,
     decontaminate,
     html_text,
     quality,
@@ -54,6 +55,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score_texts(_table(spark, sf_dir, "documents"), folds=5, fold=1)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_signals(_table(spark, sf_dir, "documents"))
 
@@ -105,6 +110,7 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_url_filter": op2_url_filter,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
