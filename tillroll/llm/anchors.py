@@ -181,7 +181,7 @@ def per_document(spans: DataFrame) -> DataFrame:
 
 def covered(spans: list[dict] | None, size: int) -> np.ndarray:
     """Mask over ``size`` symbols of the union of spans [start, stop)."""
-    if not spans:
+    if spans is None or not len(spans):
         return np.zeros(size, bool)
     ends = np.array([(s["start"], s["stop"]) for s in spans])
     edge = np.bincount(ends[:, 0], minlength=size + 1) - np.bincount(ends[:, 1], minlength=size + 1)

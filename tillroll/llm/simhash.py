@@ -59,15 +59,16 @@ def fingerprint(text: str, width: int) -> int:
 
 def fingerprints(docs: DataFrame, width: int = 3, *, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
-    rows = texts(docs, id_col=id_col, text_col=text_col)
+    """(doc_id, tid, fp): the fingerprint as a signed long; tid is a hash of the text."""
+    rows = texts(docs, id_col=id_col, text_col=text_col).withColumn("tid", F.hash("text"))
 
     def hashed(batch):
         found = [fingerprint(t, width) for t in batch.column("text").to_pylist()]
-        return {"doc_id": batch.column("doc_id"), "fp": np.array(found, np.uint64).view(np.int64)}
+        return {"doc_id": batch.column("doc_id"), "tid": batch.column("tid"),
+                "fp": np.array(found, np.uint64).view(np.int64)}
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return arrow_map(rows, "text", hashed, f"doc_id {kind}, fp long")
+    return arrow_map(rows, "text", hashed, f"doc_id {kind}, tid int, fp long")
 
 
 def _halves(fp: Column) -> list[Column]:
@@ -163,7 +164,7 @@ def simhash_components(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per document: doc_id, fp (signed long), component_id.
+    """One row per document: doc_id, tid, fp (signed long), component_id.
 
     Documents whose fingerprints differ in ``max_bits`` or fewer bits are
     linked; component_id is the smallest doc_id reachable.
@@ -182,4 +183,24 @@ def simhash_components(
         least.select(apart(F.col("component")).alias("k"), "component_id"), "k")
     ids, _ = materialize(ids.select("fp", "component_id"), "component-ids")
     release(spark, node_path, label_path)
-    return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(ids, "fp").select("doc_id", "tid", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, *, width: int = 3, max_bits: int = 3) -> DataFrame:
+    """One document of each component, with all columns: that of the smallest id.
+
+    Of rows with one id, that of the smallest text hash; of repeated rows, one.
+    """
+    groups = simhash_components(docs, width=width, max_bits=max_bits)
+    # A null id sorts last, so it stays only where its component has no other.
+    pick = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "tid")
+    one = groups.groupBy(F.coalesce("component_id", "doc_id").alias("c"),
+                         F.when(F.col("component_id").isNull(), F.col("fp")).alias("f"))
+    chosen = one.agg(F.min(pick).alias("one")).select(
+        F.col("one.doc_id").alias("_keep_id"), F.col("one.tid").alias("_keep_text")).distinct()
+    row = docs.select("doc_id", F.hash(F.coalesce("text", F.lit(""))).alias("_tid"),
+                      F.struct("*").alias("_row"))
+    kept = row.join(
+        chosen, (F.col("_tid") == F.col("_keep_text")) & F.col("doc_id").eqNullSafe(F.col("_keep_id")),
+        "left_semi")
+    return kept.dropDuplicates(["doc_id", "_tid"]).select("_row.*")

@@ -27,6 +27,7 @@ nothing.  A repeated row is a document of its own, so both lose what they share.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -226,3 +227,35 @@ def suffix_dedup(docs: DataFrame, depth: int = DEPTH, *, id_col: str = "doc_id",
     joined = anchors.with_texts(rows, repeated_spans(rows, depth), "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(
         cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+
+
+@F.pandas_udf("string")
+def _kept_text(text: pd.Series, spans: pd.Series) -> pd.Series:
+    """The text without the characters that lie wholly within the spans."""
+    def cut(t, s):
+        data = np.frombuffer(t.encode(), np.uint8)
+        first = np.flatnonzero((data & 0xC0) != 0x80)
+        gone = np.logical_and.reduceat(anchors.covered(s, len(data)), first)
+        size = np.diff(np.concatenate([first, [len(data)]]))
+        return data[np.repeat(~gone, size)].tobytes().decode()
+
+    return pd.Series([t if s is None or not len(s) else cut(t, s) for t, s in zip(text, spans)])
+
+
+def remove_repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """The documents with the repeated windows taken out of ``text``.
+
+    A character goes if all its bytes do, so the text stays valid; a null text
+    that loses nothing stays null.  ``n_chars``, where there is one, is counted
+    anew.  All other columns are kept, whatever their names.
+    """
+    spans = repeated_spans(texts(docs), depth)
+    row = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
+                      F.struct("*").alias("_row"))
+    joined = anchors.with_texts(row, spans, "left")
+    kept = F.when(F.col("spans").isNull(), F.col("_row.text")).otherwise(_kept_text("text", "spans"))
+    out = joined.select("_row", kept.alias("_kept"))
+    return out.select([
+        F.col("_kept").alias(c) if c == "text"
+        else F.char_length("_kept").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+        else F.col(f"_row.`{c}`") for c in docs.columns])
