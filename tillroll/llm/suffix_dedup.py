@@ -31,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.llm import anchors
 from tillroll.llm.common import by_bytes, materialize, release, texts
@@ -229,7 +230,7 @@ def suffix_dedup(docs: DataFrame, depth: int = DEPTH, *, id_col: str = "doc_id",
         cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _kept_text(text: pd.Series, spans: pd.Series) -> pd.Series:
     """The text without the characters that lie wholly within the spans."""
     def cut(t, s):
