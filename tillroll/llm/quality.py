@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.llm.common import ASCII_SPACE, arrow_map, by_bytes, texts
 
@@ -185,9 +186,8 @@ def quality_filter(docs: DataFrame, limits: Limits = Limits(), *, text_col: str
         extra += "_"
     depth = limits.min_repeat
     names = ["n_words", "n_repeat_words", "covered_words", "longest_repeat"]
-    schema = docs.schema
-    for n in names:
-        schema = schema.add(f"{extra}{n}", "long")
+    schema = T.StructType([
+        *docs.schema.fields, *(T.StructField(f"{extra}{n}", T.LongType()) for n in names)])
 
     def judge(batches):
         for batch in by_bytes(batches, text_col):
