@@ -43,9 +43,10 @@ _SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x
 LONG_WORD = 256
 
 _BUCKETS = 1 << 14
-_NONE = 2**31 - 1
-#: Stands at both ends of a word; no byte maps to it, so no piece contains it.
-_EDGE = "Ā"
+#: Bits for a position below a rank, and what stands for no rank.
+_PLACE = 24
+_LONGEST = (1 << _PLACE) - 1
+_NONE = (2**31 - 1) << _PLACE
 _SEED = 42  # of Spark's xxhash64
 
 
@@ -85,11 +86,13 @@ def java_pattern(pattern: str) -> str:
 
 
 def _rank_table(ranks: dict[bytes, int]) -> Column:
+    """The literal: buckets of pieces with their ranks, shifted to leave room for
+    a position."""
     buckets: list[dict[str, int]] = [{} for _ in range(_BUCKETS)]
     for piece, rank in ranks.items():
         text = piece.decode("latin-1")
-        buckets[xxhash.xxh64_intdigest(text.encode(), _SEED) % _BUCKETS][text] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+        buckets[xxhash.xxh64_intdigest(text.encode(), _SEED) % _BUCKETS][text] = rank << _PLACE
+    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,long>>")
 
 
 def _rank(table: Column, piece: Column) -> Column:
@@ -97,60 +100,36 @@ def _rank(table: Column, piece: Column) -> Column:
     return F.coalesce(F.try_element_at(F.get(table, bucket), piece), F.lit(_NONE))
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _join(*arrays: Column) -> Column:
-    # flatten, since concat of arrays is several times slower
-    return F.flatten(F.array(*arrays))
+def _with(value: Column, state: Column, body) -> Column:
+    """``body(state, value)``, of the state's type, with the value computed once."""
+    return F.aggregate(F.array(value), state, body)
 
 
 def encode_word(word: Column, table: Column) -> Column:
     """Ids of one word (a Latin-1 string of its bytes), as array<int>.
 
-    The fold's state is the pieces ``p`` and, for each neighbouring pair, one
-    number ``r``: its rank above its position, so that the smallest number is
-    the leftmost pair of lowest rank.
+    The fold's state is the array of pieces.  A step ranks all neighbouring
+    pairs; rank and position are one number, so that the smallest is the
+    leftmost pair of the lowest rank.  (Array functions that derive their type
+    anew for each value, such as concat and flatten of arrays, are avoided.)
     """
 
-    def ranked(piece, at):
-        return F.shiftleft(_rank(table, piece).cast("long"), 24).bitwiseOR(at.cast("long"))
-
-    def start(chars):
-        return _let(_join(F.array(F.lit(_EDGE)), chars, F.array(F.lit(_EDGE))), lambda p: F.struct(
-            p.alias("p"),
-            F.transform(F.slice(p, F.lit(2), F.size(p) - 1),
-                        lambda b, i: ranked(F.concat(F.get(p, i), b), i)).alias("r")))
-
-    def merge(state, at):
-        # The pair is p[at], p[at + 1]; edges make at > 0 and at + 2 a position.
-        p, r = state.p, state.r
-        joined = F.concat(F.get(p, at), F.get(p, at + 1))
-        return F.struct(
-            _join(F.slice(p, F.lit(1), at), F.array(joined),
-                  F.slice(p, at + 3, F.size(p))).alias("p"),
-            _join(
-                F.slice(r, F.lit(1), at - 1),
-                F.array(ranked(F.concat(F.get(p, at - 1), joined), at - 1),
-                        ranked(F.concat(joined, F.get(p, at + 2)), at)),
-                F.transform(F.slice(r, at + 3, F.size(r)), lambda x: x - 1)).alias("r"))
-
-    def step(state, _):
-        return _let(
-            F.array_min(state.r),
-            lambda low: F.when(low >= _NONE << 24, state).otherwise(
-                _let(low.bitwiseAND(F.lit((1 << 24) - 1)).cast("int"),
-                     lambda at: merge(state, at))))
-
-    folded = _let(
-        F.split(word, ""),
-        lambda chars: F.aggregate(
-            F.slice(chars, F.lit(2), F.size(chars)), start(chars), step,
-            lambda state: F.transform(
-                F.slice(state.p, F.lit(2), F.size(state.p) - 2), lambda x: _rank(table, x))))
-    return _let(_rank(table, word), lambda whole: F.when(whole != _NONE, F.array(whole)).otherwise(folded))
+    def merge(pieces, at):
+        left = F.filter(pieces, lambda _, i: i != at + 1)
+        return F.transform(
+            left, lambda x, i: F.when(i == at, F.concat(x, F.get(pieces, i + 1))).otherwise(x))
+
+    def step(pieces, _):
+        pairs = F.zip_with(pieces, F.slice(pieces, 2, _LONGEST), lambda a, b: F.concat(a, b))
+        lowest = F.array_min(F.transform(pairs, lambda x, i: _rank(table, x) + i))
+        return _with(lowest, pieces, lambda p, low: F.when(low >= _NONE, p).otherwise(
+            _with(low.bitwiseAND(F.lit(_LONGEST)).cast("int"), p, merge)))
+
+    chars = F.split(word, "")
+    merged = F.aggregate(F.sequence(F.lit(2), F.greatest(F.char_length(word), F.lit(2))), chars, step)
+    pieces = F.when(_rank(table, word) < _NONE, F.array(word)).otherwise(merged)
+    return F.transform(
+        pieces, lambda x: F.shiftright(_rank(table, x), _PLACE).cast("int"))
 
 
 def merge_with_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -238,11 +217,14 @@ def bpe_encode(
         f"docs array<struct<doc_id: {kind}, index: array<int>>>, "
         "words array<struct<word: string, ids: array<int>>>")
     table = _rank_table(ranks)
-    coded = F.transform("words", lambda w: F.when(w.ids.isNotNull(), w.ids).otherwise(
-        _let(F.decode(F.encode(w.word, "UTF-8"), "ISO-8859-1"), lambda x: encode_word(x, table))))
-    whole = _let(coded, lambda code: F.transform("docs", lambda d: F.struct(
+    latin = F.transform("words", lambda w: F.struct(
+        F.decode(F.encode(w.word, "UTF-8"), "ISO-8859-1").alias("word"), w.ids.alias("ids")))
+    coded = F.transform(
+        latin, lambda w: F.when(w.ids.isNotNull(), w.ids).otherwise(encode_word(w.word, table)))
+    # One lambda holds the codes, so that they are computed once for a block.
+    whole = F.get(F.transform(F.array(coded), lambda code: F.transform("docs", lambda d: F.struct(
         d.doc_id.alias("doc_id"),
-        F.flatten(F.transform(d["index"], lambda i: F.get(code, i))).alias("ids"))))
+        F.flatten(F.transform(d["index"], lambda i: F.get(code, i))).alias("ids")))), F.lit(0))
     return blocks.select(F.inline(whole))
 
 
