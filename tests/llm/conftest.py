@@ -1,0 +1,15 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(__file__))
+
+
+@pytest.fixture(scope="session")
+def llm(spark):
+    """The session, with the package sent to its Python workers."""
+    from tillroll.llm.common import ship
+
+    ship(spark)
+    return spark
