@@ -1,53 +1,51 @@
-"""Exact averages and standard deviations against Python's exact arithmetic."""
+"""Exact sums and averages against Python's exact arithmetic."""
 
 import math
-import statistics
+import random
 from fractions import Fraction
 
-from pyspark.sql import functions as F
+import pytest
 
-from tillroll.functions import exact_avg, exact_stddev
+from helpers import txn
+from tillroll.functions import exact_avg, exact_sum
+from tillroll.operators import report
 
+VALUES = {
+    "half": [5.0] * 78 + [4.0, 4.0],  # 398 / 80 = 4.975 exactly
+    "one refund": [-1.5],
+    "negative": [-1.5, -2.5, -10.0],
+    "negative half": [-0.01, 0.0, 0.0, -0.01],
+    "fractional": [12.5, 7.5],
+    "sub-cent": [0.004, 0.004, 0.004],
+    "mixed": [0.01, -0.02, 10.0, 2.5, -99.99, 7.25, 0.3, 0.0005],
+    "random": [round(random.Random(1).uniform(-1000, 1000), 4) for _ in range(500)],
+}
 
-def _half_up(q: Fraction, digits: int) -> float:
-    """Round a non-negative exact fraction half up to ``digits``."""
-    return math.floor(q * 10**digits + Fraction(1, 2)) / 10**digits
 
+def half_away(q: Fraction, digits: int) -> float:
+    """Round an exact fraction half away from zero."""
+    whole = math.floor(abs(q) * 10**digits + Fraction(1, 2))
+    return (1 if q >= 0 else -1) * whole / 10**digits
 
-def test_exact_average_of_whole_numbers_on_a_half(spark):
-    # 80 values summing to 398: the average is exactly 4.975
-    values = [5] * 78 + [4, 4]
-    assert sum(values) == 398
-    df = spark.createDataFrame([(v,) for v in values], "d int")
-    got = df.agg(exact_avg("d", 2)).first()[0]
-    assert got == 4.98 == _half_up(Fraction(398, 80), 2)
 
+@pytest.mark.parametrize("name", VALUES)
+@pytest.mark.parametrize("digits", [1, 2, 4])
+def test_sum_and_average(spark, name, digits):
+    values = VALUES[name]
+    exact = [Fraction(str(v)) for v in values]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+    want = (half_away(sum(exact), digits), half_away(sum(exact) / len(exact), digits))
+    for n in (1, 4, 13):
+        got = df.repartition(n).agg(exact_sum("x", digits), exact_avg("x", digits)).first()
+        assert tuple(got) == want
 
-def test_exact_average_of_cents(spark):
-    values = [0.01, 0.02, 10.0, 2.5, 99.99, 7.25, 0.3]
-    df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = df.agg(exact_avg("x", 2, 100)).first()[0]
-    exact = Fraction(sum(round(v * 100) for v in values), 100 * len(values))
-    assert got == _half_up(exact, 2)
-    assert df.agg(exact_avg("x", 2, 100)).first()[0] == \
-        df.repartition(5).agg(exact_avg("x", 2, 100)).first()[0]
 
+def test_no_values(spark):
+    df = spark.createDataFrame([(None,)], "x double")
+    assert tuple(df.agg(exact_sum("x"), exact_avg("x")).first()) == (None, None)
 
-def test_exact_stddev(spark):
-    values = [18, 19, 75, 44, 44, 30, 61, 23]
-    df = spark.createDataFrame([(v,) for v in values], "a int")
-    got = df.agg(exact_stddev("a")).first()[0]
-    assert math.isclose(got, statistics.stdev(values), rel_tol=1e-15)
-    cents = [19.99, 5.0, 1234.56, 0.01]
-    dc = spark.createDataFrame([(v,) for v in cents], "x double")
-    assert math.isclose(dc.agg(exact_stddev("x", 100)).first()[0], statistics.stdev(cents), rel_tol=1e-12)
 
-
-def test_small_and_null_inputs(spark):
-    df = spark.createDataFrame([(None,), (3,)], "a int")
-    row = df.agg(exact_avg("a", 2), exact_stddev("a")).first()
-    assert row[0] == 3.0 and row[1] is None
-    empty = spark.createDataFrame([], "a int")
-    assert tuple(empty.agg(exact_avg("a", 2), exact_stddev("a")).first()) == (None, None)
-    big = spark.range(1, 1001).select(F.col("id").cast("int").alias("a"))
-    assert big.agg(exact_avg("a", 1)).first()[0] == 500.5
+def test_refunds_in_the_report(spark):
+    df = txn(spark, [{"transaction_id": i, "category": "A", "total_amount": a, "discount_pct": 5}
+                     for i, a in enumerate([-1.5, -2.5, -10.0])])
+    assert report.sales_by_category(df).collect() == [("A", 3, -14.0, -4.67, 5.0)]

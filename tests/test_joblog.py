@@ -76,3 +76,16 @@ def test_step_job_times(events):
     assert got["bad_cast"]["failed_jobs"] == 1
     assert all(r["wall_ms"] >= 0 for r in got.values())
     assert rows(J.step_job_times(events).select("step"))[0] == ("sales_by_category",)
+
+
+def test_a_rolled_log_is_one_application(spark, tmp_path, events):
+    """The same events spread over the files of one eventlog_v2 folder."""
+    folder = tmp_path / "eventlog_v2_app-1"
+    folder.mkdir()
+    with open(FIXTURE) as fh:
+        lines = fh.readlines()
+    for i in range(5):
+        (folder / f"events_{i + 1}_app-1").write_text("".join(lines[i::5]))
+    rolled = J.read_event_log(spark, str(tmp_path / "*"))
+    for table in (J.job_log, J.stage_log, J.step_job_times):
+        assert rows(table(rolled).drop("app")) == rows(table(events).drop("app"))

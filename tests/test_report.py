@@ -57,9 +57,8 @@ def test_null_category_is_a_group_and_gets_no_discount(spark):
     assert set(cats) == {None, "B"}
     top = rows(report.top_products_with_discount(df))
     assert top == [(None, "x", 50.0, 1, None), ("B", "y", 10.0, 2, 10.0)]
-    joined = rows(report.top_products_with_lookup(df, report.sales_by_category(df),
-                                                  broadcast_max_rows=100))
-    assert joined == top
+    assert rows(report.top_products_with_lookup(df, report.sales_by_category(df))) == top
+    assert rows(report.top_products_with_lookup(df)) == top
 
 
 def test_window_ranking_keeps_ties_and_null_amount_last(spark):
@@ -119,7 +118,7 @@ def test_profile_matches_describe(spark):
     desc = {r["summary"]: r for r in report.basic_stats(fact).collect()}
     for c in report.PROFILE_COLUMNS:
         for stat in report.PROFILE_STATS:
-            assert float(desc[stat][c]) == pytest.approx(prof[(c, stat)], rel=1e-9, abs=1e-6)
+            assert float(desc[stat][c]) == pytest.approx(prof[(c, stat)], abs=5.1e-5)
 
 
 def test_cross_foot(spark):
@@ -147,42 +146,41 @@ def test_plans_keep_the_scalable_operators(spark):
     assert "TakeOrderedAndProject" in plan_text(report.top_products(fact))
     linear = plan_text(report.top_products_with_discount(fact))
     assert "WindowGroupLimit" in linear and "Expand" in linear and "LeftOuter" not in linear
-    hinted = report.top_products_with_lookup(fact, report.sales_by_category(fact),
-                                             broadcast_max_rows=1000)
-    assert "BroadcastHashJoin" in plan_text(hinted) and "LeftOuter" in plan_text(hinted)
+    lookup = report.top_products_with_lookup(fact)
+    lookup.collect()
+    joined = plan_text(lookup)
+    assert "BroadcastHashJoin" in joined and "LeftOuter" in joined and "ReusedExchange" in joined
     # Only the needed columns reach the lineitem scan.
     scan = plan_text(report.sales_by_region(fact))
     assert "l_extendedprice" in scan and "l_quantity" not in scan
 
 
-@pytest.mark.parametrize("sample_rows", [30, 300, 3000, 10**9])
-def test_ranking_with_sampled_bounds_is_exact(spark, sample_rows):
+def test_totals_do_not_depend_on_partitioning(spark):
     fact = testdata_transactions(spark, SF_SMALL).cache()
     try:
-        n = fact.count()
-        want = rows(report.window_ranking(fact))
-        bounds = report.amount_bounds(fact, 3, sample_rows, n)
-        assert rows(report.window_ranking(fact, bounds=bounds)) == want
+        for step in (report.sales_by_category, report.sales_by_region, report.top_products):
+            base = rows(step(fact))
+            for n in (1, 4, 13, 50):
+                assert rows(step(fact.repartition(n))) == base
     finally:
         fact.unpersist()
 
 
-def test_ranking_bounds_edge_cases(spark):
-    recs = []
-    # hot category with ties at the cut, NULL amounts, a NULL category, a
-    # category with fewer rows than the cut
-    for i, a in enumerate([9.0, 9.0, 8.0, 7.0, 7.0, 7.0, 1.0, None, None] * 5):
-        recs.append({"transaction_id": i, "category": "hot", "product_name": f"p{i % 4}", "total_amount": a})
-    for i, a in enumerate([5.0, None, 4.0, 4.0, 3.0]):
-        recs.append({"transaction_id": 100 + i, "category": None, "product_name": "n", "total_amount": a})
-    recs += [{"transaction_id": 200, "category": "tiny", "product_name": "t", "total_amount": None},
-             {"transaction_id": 201, "category": "tiny", "product_name": "u", "total_amount": 2.0}]
-    df = txn(spark, recs)
-    want = rows(report.window_ranking(df))
-    for sample_rows in (5, 20, 10**6):
-        for seed in (1, 2, 3):
-            bounds = report.amount_bounds(df, 3, sample_rows, len(recs), seed=seed)
-            assert rows(report.window_ranking(df, bounds=bounds)) == want
+def test_wide_profile_is_the_long_one_turned(spark):
+    fact = testdata_transactions(spark, SF_SMALL)
+    long = {(r[0], r[1]): r[2] for r in rows(report.column_profile(fact))}
+    wide = report.wide_profile(fact)
+    assert wide.columns == ["summary", *report.PROFILE_COLUMNS]
+    for r in wide.collect():
+        assert all(r[c] == long[c, r.summary] for c in report.PROFILE_COLUMNS)
+
+
+def test_value_counts_head_and_types(spark):
+    df = txn(spark, [{"transaction_id": i, "category": c} for i, c in
+                     [(5, "B"), (2, "A"), (9, "A"), (1, None), (3, "A")]])
+    assert rows(report.category_value_counts(df)) == [("A", 3), (None, 1), ("B", 1)]
+    assert [r.transaction_id for r in report.table_head(df).collect()] == [1, 2, 3]
+    assert rows(report.column_types(df))[:2] == [(0, "transaction_id", "bigint"), (1, "date", "date")]
 
 
 def test_profile_does_not_depend_on_partitioning(spark):

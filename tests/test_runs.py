@@ -5,6 +5,7 @@ import os
 import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.operators import runs as R
 from tillroll.plans.run import metrics_frame
@@ -103,3 +104,12 @@ def test_metrics_round_trip(spark, tmp_path):
     path = write_json(df, str(tmp_path / "out"), single_file=True)
     back = spark.read.schema(df.schema).json(path)
     assert sorted(rows(back)) == sorted(rows(df))
+
+
+def test_other_runs_are_kept(spark, runs_df):
+    extra = runs_df.limit(1).withColumn("experiment", F.lit("basic_local"))
+    both = runs_df.union(extra)
+    assert [r[0] for r in rows(R.metrics_summary(both))] == [*R.EXPERIMENTS, "basic_local"]
+    matrix = R.metrics_step_matrix(both)
+    assert matrix.columns[2:] == [*R.EXPERIMENTS, "basic_local"]
+    assert any(r["basic_local"] > 0 for r in matrix.collect())

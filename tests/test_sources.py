@@ -1,5 +1,6 @@
 """Sources and sinks: CSV/parquet round trips, file sizes, the testdata view."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.operators import report
@@ -7,7 +8,7 @@ from tillroll.schemas import TRANSACTION_COLUMNS
 from tillroll.sources.files import file_sizes
 from tillroll.sources.generate import gen_transactions
 from tillroll.sources.sinks import write_csv, write_parquet
-from tillroll.sources.transactions import read_transactions, testdata_transactions
+from tillroll.sources.transactions import bad_cells, read_transactions, testdata_transactions
 
 from conftest import SF_SMALL, rows
 
@@ -41,10 +42,11 @@ def test_parquet_partitioned_sink(spark, tmp_path):
 def test_file_sizes(spark, tmp_path):
     df = gen_transactions(spark, 1_000, partitions=2)
     path = write_csv(df, str(tmp_path / "sz"))
-    got = rows(file_sizes(spark, [path], fmt="csv", options={"header": "true"}))
+    sizes = file_sizes(spark, [path])
     on_disk = {str(p): p.stat().st_size for p in (tmp_path / "sz").glob("part-*")}
-    assert sum(r[3] for r in got) == 1_000
-    assert sorted(r[1] for r in got) == sorted(on_disk.values())
+    assert sorted(r[1] for r in rows(sizes)) == sorted(on_disk.values())
+    plan = sizes._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan and "Aggregate" not in plan
 
 
 def test_testdata_view_keeps_every_line_item(spark):
@@ -63,3 +65,39 @@ def test_json_round_trip(spark, tmp_path):
     back = read_transactions(spark, path, fmt="json")
     assert back.columns == TRANSACTION_COLUMNS
     assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+
+
+HEADER = "transaction_id,date,category,product_name,quantity,unit_price,discount_pct,total_amount,region,customer_age,payment_method"
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    names = HEADER.split(",")
+    swapped = [n for n in names if n not in ("quantity", "discount_pct")] + ["discount_pct", "extra", "quantity"]
+    values = dict(zip(names, "7,2023-05-06,A,p,3,1.5,20,3.6,North,44,Cash".split(",")), extra="z")
+    f = tmp_path / "t.csv"
+    f.write_text(",".join(swapped) + "\n" + ",".join(values[n] for n in swapped) + "\n")
+    r = read_transactions(spark, str(f)).first()
+    assert (r.transaction_id, r.quantity, r.discount_pct, r.customer_age) == (7, 3, 20, 44)
+    f.write_text(HEADER.replace("region,", "") + "\n")
+    with pytest.raises(ValueError, match="region"):
+        read_transactions(spark, str(f))
+
+
+def test_csv_cells_that_do_not_fit(spark, tmp_path):
+    f = tmp_path / "t.csv"
+    f.write_text(HEADER + "\n1,2023-05-06,A,p,three,1.5,20,3.6,North,44,Cash\n2,not a day,A,p,1,x,20,3.6,North,,Cash\n3,,A,p,1,1,2,3,,,\n")
+    got = rows(read_transactions(spark, str(f)).select("transaction_id", "date", "quantity", "unit_price"))
+    assert [(r[0], r[1] is None, r[2], r[3]) for r in got] == [
+        (1, False, None, 1.5), (2, True, 1, None), (3, True, 1, 1.0)]
+    assert rows(bad_cells(spark, str(f))) == [(3, 2)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|three"):
+        read_transactions(spark, str(f), strict=True).collect()
+
+
+def test_one_file_is_for_small_results(spark, tmp_path, monkeypatch):
+    from tillroll.sources import sinks
+
+    monkeypatch.setattr(sinks, "MAX_SINGLE_FILE_ROWS", 10)
+    with pytest.raises(ValueError, match="many files"):
+        sinks.write_csv(spark.range(11), str(tmp_path / "x"), single_file=True)
+    sinks.write_csv(spark.range(10), str(tmp_path / "x"), single_file=True)

@@ -27,14 +27,13 @@ def test_tuned_equals_plain(spark, storage, one_pass):
         "basic_stats": sorted(rows(report.column_profile(fact))),
     }
     shape = rows(report.load_shape(fact))[0][:2]
-    with tuned_report(fact, storage=storage, broadcast_max_rows=1000, one_pass_groups=one_pass) as t:
+    with tuned_report(fact, storage=storage, one_pass_groups=one_pass) as t:
         for name, expect in plain.items():
             got = rows(getattr(t, name)())
             if name == "basic_stats":
                 got = sorted(got)
             assert got == expect, name
         assert rows(t.load_shape())[0][:2] == shape
-        assert rows(t.window_ranking(persist_ranked=True)) == plain["window_ranking"]
 
 
 def test_runner_records_every_step(spark, tmp_path):
@@ -65,14 +64,38 @@ def test_repartition_before_caching(spark):
         assert rows(t.sales_by_region()) == want
 
 
-def test_tuned_ranking_prunes_large_tables_exactly(spark, monkeypatch):
-    from tillroll.plans import tuned as tuned_mod
+def _files(root):
+    return [p for p in root.rglob("*") if p.is_file() and "tillroll" in str(p) or "rdd-" in p.name]
 
-    monkeypatch.setattr(tuned_mod, "PRUNE_MIN_ROWS", 0)
-    monkeypatch.setattr(tuned_mod, "BOUND_SAMPLE_ROWS", 500)
-    fact = testdata_transactions(spark, SF_SMALL)
-    want = rows(report.window_ranking(fact))
-    with tuned_report(fact, storage="cache") as t:
-        ranked = t.window_ranking()
-        assert rows(ranked) == want
-        assert t._held[-1].count() > 0  # the bound table was used
+
+@pytest.mark.parametrize("storage", ["table", "checkpoint"])
+def test_stored_data_is_deleted_on_exit(spark, tmp_path, monkeypatch, storage):
+    import tillroll.plans.tuned as tuned_mod
+
+    monkeypatch.setattr(tuned_mod, "scratch_path", lambda *_: str(tmp_path / "tillroll"))
+    old = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    try:
+        fact = testdata_transactions(spark, SF_SMALL)
+        with tuned_report(fact, storage=storage) as t:
+            assert t.load_shape().first()[0] > 0 and _files(tmp_path)
+        assert not _files(tmp_path)
+        with pytest.raises(ZeroDivisionError):
+            with tuned_report(fact, storage=storage):
+                assert _files(tmp_path)
+                raise ZeroDivisionError
+        assert not _files(tmp_path)
+    finally:
+        if old:
+            spark.sparkContext._jsc.sc().setCheckpointDir(old)
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from tillroll import session
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    sc = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf, getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(SimpleNamespace(conf=conf, sparkContext=sc))

@@ -42,11 +42,11 @@ def cmd_report(spark, args) -> int:
     record, results = run_report(
         spark, _load_fn(spark, args), experiment, mode=args.mode,
         out_path=f"{out}/category_stats", storage=args.storage,
-        one_pass_groups=args.one_pass_groups,
+        one_pass_groups=args.one_pass_groups, show=args.show,
     )
     for step, rows in results.items():
         print(f"-- {step}")
-        for row in rows[: args.show]:
+        for row in rows:
             print("   ", tuple(row))
     write_json(metrics_frame(spark, [record]), f"{out}/metrics", single_file=True)
     print(json.dumps(record))
@@ -78,7 +78,8 @@ def cmd_compare(spark, args) -> int:
         ("step x run times", runs.metrics_step_matrix),
     ]:
         print(f"-- {title}")
-        fn(df).show(100, truncate=False)
+        for row in fn(df).toLocalIterator():
+            print("   ", tuple(row))
     return 0
 
 
@@ -92,7 +93,7 @@ def cmd_joblog(spark, args) -> int:
         ("steps", joblog.step_job_times),
     ]:
         print(f"-- {title}")
-        fn(ev).drop("file").show(args.show, truncate=False)
+        fn(ev).show(args.show, truncate=False)
     return 0
 
 

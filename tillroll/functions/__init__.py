@@ -4,15 +4,17 @@ from tillroll.functions.columns import (
     AGE_BANDS,
     AGE_DEFAULT,
     age_group,
+    exact,
     exact_avg,
-    exact_avg_from_sums,
-    exact_stddev,
+    exact_sum,
     line_total,
-    money,
+    quotient,
+    rounded,
     to_cents,
     year_month,
 )
 
 __all__ = [
-    "AGE_BANDS", "AGE_DEFAULT", "age_group", "exact_avg", "exact_avg_from_sums", "exact_stddev", "line_total", "money", "to_cents", "year_month",
+    "AGE_BANDS", "AGE_DEFAULT", "age_group", "exact", "exact_avg", "exact_sum", "line_total",
+    "quotient", "rounded", "to_cents", "year_month",
 ]

@@ -34,12 +34,6 @@ def year_month(date: Column | str) -> Column:
     return F.date_format(date, "yyyy-MM")
 
 
-def money(total: Column | str, digits: int = 2) -> Column:
-    """Round an aggregated double for display, half up."""
-    total = F.col(total) if isinstance(total, str) else total
-    return F.round(total, digits)
-
-
 def to_cents(amount: Column) -> Column:
     """A non-negative amount in hundredths, rounded half up, as bigint.
 
@@ -64,61 +58,33 @@ def line_total(price: Column, discount: Column) -> Column:
     return net_cents.cast("double") / 100
 
 
-def exact_avg(values: Column | str, digits: int, unit: int = 1) -> Column:
-    """Aggregate: the average, rounded half up to ``digits``, computed exactly.
+def exact(values: Column | str) -> Column:
+    """A number as a decimal with six places, so that sums of it are exact.
 
-    For columns whose values are whole multiples of ``1/unit`` (cents:
-    ``unit=100``; whole numbers: ``unit=1``).  The scaled values are summed
-    as integers, and the rounded average is the integer quotient
-    ``(2*S*10^d + n*unit) div (2*n*unit)``, taken in 38-digit decimals.  So
-    nothing is rounded on the way, the result does not depend on summation
-    order or partitioning, and any engine gets the same digits.  (``round``
-    of a double ``avg`` disagrees between engines, and even between runs,
-    when the true average sits on a half.)  NULL when there are no values.
+    A sum of doubles depends on the order in which partitions are merged; a
+    sum of decimals does not.  ``decimal(18,6)`` holds amounts up to 10^12 and
+    widens by ten digits in a sum.
     """
     x = F.col(values) if isinstance(values, str) else values
-    scaled = x if unit == 1 else F.floor(x * unit + 0.5)
-    total = F.sum(scaled.cast("long")).cast("decimal(38,0)")
-    n = F.count(x).cast("decimal(38,0)")
-    return exact_avg_from_sums(total, n, digits, unit)
+    return x.cast("decimal(18,6)")
 
 
-def exact_avg_from_sums(total: Column, n: Column, digits: int, unit: int = 1) -> Column:
-    """``exact_avg`` from an integer sum of scaled values and their count."""
-    total = total.cast("decimal(38,0)")
-    n = n.cast("decimal(38,0)")
-    scale = 10**digits
-    quotient = F.call_function("div", total * (2 * scale) + n * unit, n * (2 * unit))
-    return F.when(n > 0, quotient.cast("double") / scale)
+def exact_sum(values: Column | str, digits: int = 2) -> Column:
+    """Aggregate: the sum, rounded half away from zero, as a double."""
+    return rounded(F.sum(exact(values)), digits)
 
 
-def exact_stddev(values: Column | str, unit: int = 1) -> Column:
-    """Aggregate: sample standard deviation from exact integer sums.
+def exact_avg(values: Column | str, digits: int = 2) -> Column:
+    """Aggregate: the average of the exact sum, rounded half away from zero."""
+    x = F.col(values) if isinstance(values, str) else values
+    return quotient(F.sum(exact(x)), F.count(x), digits)
 
-    ``sqrt((n*S2 - S1^2) / (n*(n-1))) / unit`` with ``S1``, ``S2`` the sums of
-    the scaled values and of their squares: the only floating-point steps
-    are the final division and square root, which every engine performs
-    alike.  NULL for fewer than two values.
 
-    Kept fast: each square is exact in a long (values below 3e9 units), and
-    it is summed as three 21-bit limbs, each a plain long sum that cannot
-    overflow below 4e12 rows; the limbs are recombined exactly, once per
-    group, in 38-digit decimals.
-    """
-    x = F.col(values) if isinstance(values, str) else values
-    scaled = (x if unit == 1 else F.floor(x * unit + 0.5)).cast("long")
-    square = scaled * scaled
-    mask = (1 << _LIMB_BITS) - 1
-    s2 = None
-    for i in range(3):
-        limb = F.sum(F.shiftright(square, _LIMB_BITS * i).bitwiseAND(mask)).cast("decimal(38,0)")
-        term = limb * F.lit(1 << (_LIMB_BITS * i)).cast("decimal(38,0)")
-        s2 = term if s2 is None else s2 + term
-    n = F.count(x).cast("decimal(38,0)")
-    s1 = F.sum(scaled).cast("decimal(38,0)")
-    num = (n * s2 - s1 * s1).cast("double")
-    den = (n * (n - 1)).cast("double")
-    return F.when(n > 1, F.sqrt(num / den) / unit)
-
-
-_LIMB_BITS = 21
+def quotient(total: Column, n: Column, digits: int = 2) -> Column:
+    """An exact sum over a count, rounded; NULL for no values."""
+    return rounded(total / F.nullif(n, F.lit(0)), digits)
+
+
+def rounded(value: Column, digits: int) -> Column:
+    """A decimal rounded half away from zero, as a double."""
+    return F.round(value, digits).cast("double")

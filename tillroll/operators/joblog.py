@@ -29,13 +29,14 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
     """Event-log lines under ``path`` with the declared (partial) schema.
 
     Fields a log may lack (failure reason, exception) are declared, so a log
-    without failures still has the columns.  ``file`` names the log, which
-    tells applications apart when a folder holds several.
+    without failures still has the columns.  ``app`` names the log, which tells
+    applications apart when a folder holds several: the file, or the folder of
+    a rolled log (``eventlog_v2_*``), whose files are one log.
     """
     events = spark.read.schema(EVENT_LOG).json(path)
     wanted = [JOB_START, JOB_END, STAGE_SUBMITTED, STAGE_COMPLETED]
     return events.filter(F.col("Event").isin(wanted)).withColumn(
-        "file", F.col("_metadata.file_path")
+        "app", F.regexp_replace(F.col("_metadata.file_path"), r"(/eventlog_v2_[^/]*)/[^/]*$", "$1")
     )
 
 
@@ -50,20 +51,20 @@ def job_log(events: DataFrame) -> DataFrame:
     end event is missing (still running, or the application died).
     """
     starts = events.filter(_c("Event") == JOB_START).select(
-        "file",
+        "app",
         _c("Job ID").alias("job_id"),
         _c("Stage IDs").alias("stage_ids"),
         _c("Submission Time").alias("submission_time"),
         F.element_at(_c("Properties"), F.lit("spark.job.description")).alias("description"),
     )
     ends = events.filter(_c("Event") == JOB_END).select(
-        "file",
+        "app",
         _c("Job ID").alias("job_id"),
         _c("Completion Time").alias("completion_time"),
         F.col("`Job Result`.Result").alias("result"),
         F.col("`Job Result`.Exception.Message").alias("message"),
     )
-    jobs = starts.join(ends, ["file", "job_id"], "left")
+    jobs = starts.join(ends, ["app", "job_id"], "left")
     status = (
         F.when(F.col("result") == JOB_SUCCEEDED, F.lit("success"))
         .when(
@@ -72,7 +73,7 @@ def job_log(events: DataFrame) -> DataFrame:
         )
     )
     return jobs.select(
-        "file",
+        "app",
         "job_id",
         "stage_ids",
         "description",
@@ -80,7 +81,7 @@ def job_log(events: DataFrame) -> DataFrame:
         "completion_time",
         (F.col("completion_time") - F.col("submission_time")).alias("duration_ms"),
         status.alias("status"),
-    ).orderBy("file", "job_id")
+    ).orderBy("app", "job_id")
 
 
 def stage_log(events: DataFrame) -> DataFrame:
@@ -91,7 +92,7 @@ def stage_log(events: DataFrame) -> DataFrame:
     """
     info = F.col("`Stage Info`")
     key = [
-        "file",
+        "app",
         info["Stage ID"].alias("stage_id"),
         info["Stage Attempt ID"].alias("attempt"),
     ]
@@ -109,14 +110,14 @@ def stage_log(events: DataFrame) -> DataFrame:
         info["Failure Reason"].alias("reason"),
         F.lit(True).alias("completed"),
     )
-    stages = submitted.join(completed, ["file", "stage_id", "attempt"], "full")
+    stages = submitted.join(completed, ["app", "stage_id", "attempt"], "full")
     status = F.when(F.col("completed").isNull(), F.lit(None)).otherwise(
         F.when(F.col("reason").isNull(), F.lit("done")).otherwise(
             F.concat(F.lit("failed: "), F.substring("reason", 1, REASON_CHARS))
         )
     )
     return stages.select(
-        "file",
+        "app",
         "stage_id",
         "attempt",
         F.coalesce("name", "c_name").alias("name"),
@@ -124,7 +125,7 @@ def stage_log(events: DataFrame) -> DataFrame:
         "submission_time",
         "completion_time",
         status.cast("string").alias("status"),
-    ).orderBy("file", "stage_id", "attempt")
+    ).orderBy("app", "stage_id", "attempt")
 
 
 def step_job_times(events: DataFrame) -> DataFrame:
@@ -135,7 +136,7 @@ def step_job_times(events: DataFrame) -> DataFrame:
     """
     jobs = job_log(events).filter(F.col("description").isNotNull())
     return (
-        jobs.groupBy("file", F.col("description").alias("step"))
+        jobs.groupBy("app", F.col("description").alias("step"))
         .agg(
             F.count(F.lit(1)).alias("jobs"),
             F.sum(F.size("stage_ids")).alias("stages"),
@@ -144,5 +145,5 @@ def step_job_times(events: DataFrame) -> DataFrame:
             F.max("completion_time").alias("last_completion"),
         )
         .withColumn("wall_ms", F.col("last_completion") - F.col("first_submission"))
-        .orderBy("file", "first_submission")
+        .orderBy("app", "first_submission")
     )

@@ -5,28 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup side above this many rows is never hinted; the planner (and AQE at
-# run time, from real shuffle sizes) then chooses the join on its own.  The
-# lookups here are narrow (a key and one or two numbers, ~50 bytes a row),
-# so the bound keeps a broadcast to a few MB.
-DEFAULT_BROADCAST_MAX_ROWS = 100_000
+# Bytes up to which a side is hinted; beyond, the planner (and adaptive
+# execution, from measured shuffle sizes) chooses the join on its own.
+MAX_BROADCAST_BYTES = 32 << 20
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows.
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's size of ``df``: measured for a cached or stored table, an
+    upper estimate for anything else.  Runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-    Stops after ``max_rows + 1`` rows.  Meant for frames that are already
-    materialized (persisted or checkpointed), where that is cheap: on a lazy
-    aggregate it would first compute the aggregate.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast only when its row count is proven small.
-
-    Beyond the bound the frame is returned unhinted: Catalyst plans a
-    shuffle join, and AQE can still switch to broadcast once it has measured
-    the real size.
-    """
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint ``df`` for broadcast only when its size is known to be small."""
+    return F.broadcast(df) if planned_bytes(df) <= max_bytes else df

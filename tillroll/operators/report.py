@@ -23,18 +23,17 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import (
     age_group,
+    exact,
     exact_avg,
-    exact_avg_from_sums,
-    exact_stddev,
-    money,
+    exact_sum,
+    quotient,
+    rounded,
     year_month,
 )
-from tillroll.operators.joins import broadcast_if_small
 
 PROFILE_COLUMNS = ["unit_price", "quantity", "total_amount", "customer_age"]
 PROFILE_STATS = ["count", "mean", "stddev", "min", "max"]
-# Scale that makes each profiled column whole numbers: cents for money.
-PROFILE_UNITS = {"unit_price": 100, "quantity": 1, "total_amount": 100, "customer_age": 1}
+# The output column names below are fixed values.
 
 
 # -- load ------------------------------------------------------------------
@@ -65,114 +64,145 @@ def basic_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def column_profile(
-    df: DataFrame, cols: list[str] | None = None, digits: int = 6
+    df: DataFrame, cols: list[str] | None = None, digits: int = 4
 ) -> DataFrame:
     """Numeric long form of ``basic_stats``: (column_name, summary, value).
 
     One global aggregate (partial per task, one tiny final merge), then the
     single wide row is turned into rows.  ``stddev`` is the sample standard
-    deviation, as in ``describe``.  For the report's columns (cents or
-    whole numbers, ``PROFILE_UNITS``) mean and standard deviation come from
-    exact integer sums, so the printed digits do not depend on how the rows
-    were partitioned; other columns use Spark's ``avg``/``stddev_samp``.
+    deviation, as in ``describe``; the mean comes from an exact sum.
     """
     cols = cols or PROFILE_COLUMNS
-
-    def stat(c: str, name: str) -> Column:
-        unit = PROFILE_UNITS.get(c)
-        if name == "count":
-            return F.count(c)
-        if name == "mean":
-            return exact_avg(c, digits, unit) if unit else F.avg(c)
-        if name == "stddev":
-            return exact_stddev(c, unit) if unit else F.stddev_samp(c)
-        return F.min(c) if name == "min" else F.max(c)
-
-    aggs = [
-        stat(c, name).cast("double").alias(f"{c}.{name}")
-        for c in cols
-        for name in PROFILE_STATS
-    ]
-    wide = df.agg(*aggs)
     rows = F.array(
         *[
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.lit(name).alias("summary"),
-                F.round(F.col(f"`{c}.{name}`"), digits).alias("value"),
+                F.col(f"`{c}.{name}`").alias("value"),
             )
             for c in cols
             for name in PROFILE_STATS
         ]
     )
-    return wide.select(F.inline(rows))
+    return _statistics(df, cols, digits).select(F.inline(rows))
+
+
+def wide_profile(
+    df: DataFrame, cols: list[str] | None = None, digits: int = 4
+) -> DataFrame:
+    """The shape of ``describe``, numeric: (summary, one column per input)."""
+    cols = cols or PROFILE_COLUMNS
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("summary"), *(F.col(f"`{c}.{name}`").alias(c) for c in cols)
+            )
+            for name in PROFILE_STATS
+        ]
+    )
+    return _statistics(df, cols, digits).select(F.inline(rows))
+
+
+def _statistics(df: DataFrame, cols: list[str], digits: int) -> DataFrame:
+    """One row with a double ``column.statistic`` for each."""
+
+    def stat(c: str, name: str) -> Column:
+        if name == "mean":
+            return exact_avg(c, digits)
+        if name == "stddev":
+            return F.round(F.stddev_samp(c), digits)
+        return {"count": F.count, "min": F.min, "max": F.max}[name](c).cast("double")
+
+    return df.agg(*[stat(c, name).alias(f"{c}.{name}") for c in cols for name in PROFILE_STATS])
 
 
 # -- group-by steps --------------------------------------------------------
 
 
+def sales_by(df: DataFrame, key: Column | str, *averages: str) -> DataFrame:
+    """The shared core: transactions, exact revenue and exact sums of
+    ``averages`` (``_sum.<column>``, ``_n.<column>``) per key."""
+    return df.groupBy(key).agg(*sales_sums(*averages))
+
+
+def sales_sums(*averages: str) -> list[Column]:
+    return [
+        F.count("transaction_id").alias("_transactions"),
+        F.sum(exact("total_amount")).alias("_sum.total_amount"),
+        *(F.sum(exact(c)).alias(f"_sum.{c}") for c in averages if c != "total_amount"),
+        *(F.count(c).alias(f"_n.{c}") for c in averages),
+    ]
+
+
+def revenue(name: str) -> Column:
+    return rounded(F.col("`_sum.total_amount`"), 2).alias(name)
+
+
+def average_of(column: str, digits: int = 2) -> Column:
+    return quotient(F.col(f"`_sum.{column}`"), F.col(f"`_n.{column}`"), digits)
+
+
+def category_columns(grouped: DataFrame) -> DataFrame:
+    return grouped.select(
+        "category", F.col("_transactions").alias("transactions"), revenue("total_revenue"),
+        average_of("total_amount").alias("avg_transaction"),
+        average_of("discount_pct").alias("avg_discount"),
+    ).orderBy(F.desc("total_revenue"))
+
+
+def region_columns(grouped: DataFrame) -> DataFrame:
+    return grouped.select(
+        "region", F.col("_transactions").alias("transactions"), revenue("total_revenue"),
+        average_of("customer_age", 1).alias("avg_age"),
+    ).orderBy(F.desc("total_revenue"))
+
+
+def month_columns(grouped: DataFrame) -> DataFrame:
+    return grouped.select(
+        year_month("_month").alias("year_month"), F.col("_transactions").alias("transactions"),
+        revenue("revenue"),
+    ).orderBy("year_month")
+
+
+def age_columns(grouped: DataFrame) -> DataFrame:
+    return grouped.select(
+        "age_group", F.col("_transactions").alias("transactions"),
+        average_of("total_amount").alias("avg_spend"), revenue("total_spend"),
+    ).orderBy("age_group")
+
+
+def payment_columns(grouped: DataFrame) -> DataFrame:
+    return grouped.select(
+        "payment_method", F.col("_transactions").alias("count"), revenue("total_revenue"),
+        average_of("total_amount").alias("avg_amount"),
+    ).orderBy(F.desc("count"))
+
+
+def month_start() -> Column:
+    """The month's first day: rows are grouped by a 4-byte date, and only the
+    aggregated rows are formatted as text."""
+    return F.trunc("date", "month").alias("_month")
+
+
 def sales_by_category(df: DataFrame) -> DataFrame:
-    return (
-        df.groupBy("category")
-        .agg(
-            F.count("transaction_id").alias("transactions"),
-            money(F.sum("total_amount")).alias("total_revenue"),
-            exact_avg("total_amount", 2, 100).alias("avg_transaction"),
-            exact_avg("discount_pct", 2).alias("avg_discount"),
-        )
-        .orderBy(F.desc("total_revenue"))
-    )
+    return category_columns(sales_by(df, "category", "total_amount", "discount_pct"))
 
 
 def sales_by_region(df: DataFrame) -> DataFrame:
-    return (
-        df.groupBy("region")
-        .agg(
-            F.count("transaction_id").alias("transactions"),
-            money(F.sum("total_amount")).alias("total_revenue"),
-            exact_avg("customer_age", 1).alias("avg_age"),
-        )
-        .orderBy(F.desc("total_revenue"))
-    )
+    return region_columns(sales_by(df, "region", "customer_age"))
 
 
 def monthly_trends(df: DataFrame) -> DataFrame:
-    """Per ``yyyy-MM`` label.  Rows are grouped by the month's first day (a
-    4-byte date) and only the aggregated rows are formatted as text: the
-    same groups and the same lexical order, without a string per input row."""
-    return (
-        df.groupBy(F.trunc("date", "month").alias("_month"))
-        .agg(
-            F.count("transaction_id").alias("transactions"),
-            money(F.sum("total_amount")).alias("revenue"),
-        )
-        .select(year_month("_month").alias("year_month"), "transactions", "revenue")
-        .orderBy("year_month")
-    )
+    """Per ``yyyy-MM`` label; the labels sort as text."""
+    return month_columns(sales_by(df, month_start()))
 
 
 def age_group_analysis(df: DataFrame) -> DataFrame:
-    return (
-        df.groupBy(age_group("customer_age").alias("age_group"))
-        .agg(
-            F.count("transaction_id").alias("transactions"),
-            exact_avg("total_amount", 2, 100).alias("avg_spend"),
-            money(F.sum("total_amount")).alias("total_spend"),
-        )
-        .orderBy("age_group")
-    )
+    return age_columns(sales_by(df, age_group("customer_age").alias("age_group"), "total_amount"))
 
 
 def payment_analysis(df: DataFrame) -> DataFrame:
-    return (
-        df.groupBy("payment_method")
-        .agg(
-            F.count("transaction_id").alias("count"),
-            money(F.sum("total_amount")).alias("total_revenue"),
-            exact_avg("total_amount", 2, 100).alias("avg_amount"),
-        )
-        .orderBy(F.desc("count"))
-    )
+    return payment_columns(sales_by(df, "payment_method", "total_amount"))
 
 
 def category_value_counts(df: DataFrame) -> DataFrame:
@@ -191,7 +221,7 @@ def top_products(df: DataFrame, n: int = 20) -> DataFrame:
     return (
         df.groupBy("category", "product_name")
         .agg(
-            money(F.sum("total_amount")).alias("revenue"),
+            exact_sum("total_amount").alias("revenue"),
             F.sum("quantity").alias("units_sold"),
         )
         .orderBy(*_top_order())
@@ -199,10 +229,6 @@ def top_products(df: DataFrame, n: int = 20) -> DataFrame:
     )
 
 
-def _avg_discount(s: str, k: str) -> Column:
-    return exact_avg_from_sums(F.col(s), F.col(k), 2)
-
-
 def top_products_with_discount(df: DataFrame, n: int = 20) -> DataFrame:
     """Top products plus their category's average discount, in one pass.
 
@@ -221,26 +247,24 @@ def top_products_with_discount(df: DataFrame, n: int = 20) -> DataFrame:
     3. a second window on the same partitioning copies the category average
        onto its product rows, and a final top ``n`` picks the answer.
 
-    The tuned report keeps the reference's shape instead (a persisted
-    category table and a size-checked broadcast join):
-    ``top_products_with_lookup``.
+    ``top_products_with_lookup`` keeps the shape of a join instead.
     """
     levels = df.groupingSets(
         [["category", "product_name"], ["category"]], "category", "product_name"
     ).agg(
         F.grouping_id().alias("_gid"),
-        F.sum("total_amount").alias("_revenue"),
+        F.sum(exact("total_amount")).alias("_revenue"),
         F.sum("quantity").alias("units_sold"),
-        F.sum("discount_pct").alias("_disc_sum"),
+        F.sum(exact("discount_pct")).alias("_disc_sum"),
         F.count("discount_pct").alias("_disc_n"),
     )
     staged = levels.select(
         "category",
         "product_name",
         (F.col("_gid") != 0).alias("_is_cat"),
-        money("_revenue").alias("revenue"),
+        rounded(F.col("_revenue"), 2).alias("revenue"),
         "units_sold",
-        _avg_discount("_disc_sum", "_disc_n").alias("_avg"),
+        quotient(F.col("_disc_sum"), F.col("_disc_n")).alias("_avg"),
     )
     ranked = Window.partitionBy("category").orderBy(
         F.desc("_is_cat"), F.desc("revenue"), F.asc("product_name")
@@ -260,26 +284,35 @@ def top_products_with_discount(df: DataFrame, n: int = 20) -> DataFrame:
 
 
 def top_products_with_lookup(
-    df: DataFrame,
-    category_stats: DataFrame,
-    n: int = 20,
-    broadcast_max_rows: int | None = None,
+    df: DataFrame, category_stats: DataFrame | None = None, n: int = 20
 ) -> DataFrame:
-    """The reference's formulation: top products LEFT JOIN a category table.
+    """The same as a join: top products LEFT JOIN a category table.
 
     ``category_stats`` is a ``sales_by_category`` result the caller already
-    holds (the tuned report persists one).  It is hinted for broadcast only
-    when ``broadcast_max_rows`` is given and the table is proven below it;
-    otherwise the planner, and AQE from measured sizes, choose the join.
-    The left side is the top ``n`` rows, taken before the join: a left join
-    on a unique key keeps rows one to one, so the order does not matter.
+    holds.  Without one, both sides come from one aggregate per product (the
+    category level is rolled up from it, and Spark reuses its shuffle), so the
+    table is read once.  The join is the planner's: adaptive execution
+    broadcasts the lookup when its measured size allows.
     """
-    lookup = category_stats.select("category", "avg_discount")
-    if broadcast_max_rows is not None:
-        lookup = broadcast_if_small(lookup, broadcast_max_rows)
+    products = df.groupBy("category", "product_name").agg(
+        F.sum(exact("total_amount")).alias("_revenue"),
+        F.sum("quantity").alias("units_sold"),
+        F.sum(exact("discount_pct")).alias("_sum"),
+        F.count("discount_pct").alias("_n"),
+    )
+    if category_stats is None:
+        lookup = products.groupBy("category").agg(
+            quotient(F.sum("_sum"), F.sum("_n")).alias("avg_discount"))
+    else:
+        lookup = category_stats.select("category", "avg_discount")
+    top = (
+        products.select(
+            "category", "product_name", rounded(F.col("_revenue"), 2).alias("revenue"), "units_sold")
+        .orderBy(*_top_order())
+        .limit(n)
+    )
     return (
-        top_products(df, n)
-        .join(lookup, on="category", how="left")
+        top.join(lookup, on="category", how="left")
         .select("category", "product_name", "revenue", "units_sold", "avg_discount")
         .orderBy(*_top_order())
     )
@@ -288,33 +321,7 @@ def top_products_with_lookup(
 # -- ranking ---------------------------------------------------------------
 
 
-def amount_bounds(
-    df: DataFrame, top: int, sample_rows: int, total_rows: int, seed: int = 7
-) -> DataFrame:
-    """Per category, a lower bound on its ``top``-th largest amount.
-
-    The bound is the ``top``-th largest non-NULL amount of a Bernoulli sample
-    of about ``sample_rows`` rows.  A subset's k-th largest value can never
-    exceed the whole set's k-th largest, so every row with ``rank <= top``
-    has an amount at or above the bound: rows below it can be dropped
-    before ranking without changing the answer.  The sample only decides
-    what is *safe to skip*, never what is returned.  A category with fewer
-    than ``top`` sampled rows gets no bound (all its rows are kept).
-    Output: (_bound_category, _bound), one row per bounded category.
-    """
-    fraction = min(1.0, sample_rows / max(total_rows, 1))
-    w = Window.partitionBy("category").orderBy(F.desc("total_amount"))
-    return (
-        df.select("category", "total_amount")
-        .filter(F.col("total_amount").isNotNull())
-        .sample(fraction=fraction, seed=seed)
-        .withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") == top)
-        .select(F.col("category").alias("_bound_category"), F.col("total_amount").alias("_bound"))
-    )
-
-
-def window_ranking(df: DataFrame, top: int = 3, bounds: DataFrame | None = None) -> DataFrame:
+def window_ranking(df: DataFrame, top: int = 3) -> DataFrame:
     """Top ``top`` transactions per category by amount, ties kept (``rank``).
 
     The ``rank <= top`` filter sits directly on the window, so Catalyst
@@ -322,17 +329,7 @@ def window_ranking(df: DataFrame, top: int = 3, bounds: DataFrame | None = None)
     its top rows per category (plus ties at the cut), and a hot category
     costs no more than a cold one.  Ties are part of the answer; if a huge
     number of rows tie at the cut, the output itself is that large.
-
-    ``bounds`` (from ``amount_bounds``) prunes rows that provably rank below
-    ``top`` before the per-task sort, which otherwise sorts every row.  It
-    is joined null-safely on category (a NULL category is a group too); a
-    NULL amount in a bounded category ranks after at least ``top`` non-NULL
-    amounts, so it is dropped, as the window would.
     """
-    if bounds is not None:
-        df = df.join(
-            bounds, df["category"].eqNullSafe(bounds["_bound_category"]), "left"
-        ).filter(F.col("_bound").isNull() | (F.col("total_amount") >= F.col("_bound")))
     w = Window.partitionBy("category").orderBy(F.desc("total_amount"))
     return (
         df.select("category", "product_name", "total_amount")
@@ -346,3 +343,19 @@ def window_ranking(df: DataFrame, top: int = 3, bounds: DataFrame | None = None)
         )
         .orderBy("category", "rank")
     )
+
+
+# -- a look at the table ----------------------------------------------------
+
+
+def table_head(df: DataFrame, n: int = 3) -> DataFrame:
+    """The first ``n`` rows in the order of all columns."""
+    return df.orderBy(*df.columns).limit(n)
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """(position, column_name, data_type) of the table's columns."""
+    return df.sparkSession.createDataFrame(
+        [(i, c, t) for i, (c, t) in enumerate(df.dtypes)],
+        "position int, column_name string, data_type string",
+    )

@@ -81,19 +81,21 @@ def _run_order(exp: Column) -> Column:
 
 
 def metrics_summary(runs: DataFrame) -> DataFrame:
-    """Per run: label, total, peak RAM, rows (NULL when absent), in the
-    fixed run order, plus the largest total (the chart's axis bound)."""
-    known = runs.filter(_run_order(F.col("experiment")) > 0)
-    max_total = known.agg(F.max("total_time_s")).scalar()
-    return known.select(
+    """Per run: label, total, peak RAM, rows (NULL when absent), the known runs
+    in their fixed order and then all others by name, plus the largest total
+    (the chart's axis bound).  A run without a fixed label is its own label."""
+    name = F.col("experiment")
+    order = F.nullif(_run_order(name), F.lit(0))
+    max_total = runs.agg(F.max("total_time_s")).scalar()
+    return runs.select(
         "experiment",
-        F.element_at(_map_literal(LABELS), F.col("experiment")).alias("label"),
+        F.coalesce(F.element_at(_map_literal(LABELS), name), name).alias("label"),
         "total_time_s",
         "peak_ram_mb",
         "row_count",
         max_total.alias("max_total_time_s"),
-        _run_order(F.col("experiment")).alias("run_order"),
-    ).orderBy("run_order")
+        order.alias("run_order"),
+    ).orderBy(F.asc_nulls_last("run_order"), "experiment")
 
 
 def _pair(df: DataFrame, key: Column, side: Column, a: str, b: str, value: str) -> DataFrame:
@@ -182,13 +184,14 @@ def metrics_step_speedup(runs: DataFrame) -> DataFrame:
 
 
 def metrics_step_matrix(runs: DataFrame) -> DataFrame:
-    """Canonical steps x known runs, time per cell, 0.0 where missing.
+    """Canonical steps x runs, time per cell, 0.0 where missing.
 
-    Runs are pivoted with an explicit value list, so the plan has one
-    aggregation and no extra job to discover the columns.
+    The known runs have their columns always; other runs follow by name.
     """
+    others = runs.filter(~F.col("experiment").isin(EXPERIMENTS)).select("experiment").distinct()
+    names = EXPERIMENTS + sorted(r[0] for r in others.collect())
     times = _first_time(metrics_steps(runs))
-    pivoted = times.groupBy("step").pivot("experiment", EXPERIMENTS).agg(F.first("time_s"))
+    pivoted = times.groupBy("step").pivot("experiment", names).agg(F.first("time_s"))
     steps = (
         runs.select(F.posexplode(F.array(*[F.lit(s) for s in CANONICAL_STEPS])).alias("step_order", "step"))
         .dropDuplicates(["step"])
@@ -197,5 +200,5 @@ def metrics_step_matrix(runs: DataFrame) -> DataFrame:
     return out.select(
         "step_order",
         "step",
-        *[F.coalesce(F.col(e), F.lit(0.0)).alias(e) for e in EXPERIMENTS],
+        *[F.coalesce(F.col(f"`{e}`"), F.lit(0.0)).alias(e) for e in names],
     ).orderBy("step_order")

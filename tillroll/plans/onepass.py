@@ -1,15 +1,11 @@
 """Five group-by steps of the report from one pass over the fact table.
 
 Sales by category, region, month, age group and payment method all read the
-same rows and differ only in the grouping key.  One grouping-sets aggregate
-(``Expand`` x5, then partial aggregation in every task, then one small
-shuffle) computes all five; its output has one row per key value (a few
-hundred rows), which is persisted while the five results are read off it.
-
-Over a lazy source (the five-way join view) this replaces five full joins
-and scans by one.  Each result has exactly the columns, values and order of
-the per-step function in ``tillroll.operators.report``: the aggregate
-buffers per key are the same, only computed together.
+same rows and differ only in the grouping key.  The rows are first grouped by
+all five keys together, which leaves at most the product of five small domains;
+the grouping sets then run on that, so the five-fold expansion never touches
+the big side.  Sums are exact decimals, so they add up to the same results as
+the per-step functions in ``tillroll.operators.report``.
 """
 
 from __future__ import annotations
@@ -21,7 +17,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import age_group, exact_avg, money, year_month
+from tillroll.functions import age_group, year_month
+from tillroll.operators import report
+from tillroll.operators.report import average_of
 
 # (step, grouping column), in grouping-set order
 _KEYS = [
@@ -40,75 +38,32 @@ def _gid(position: int) -> int:
     return sum(1 << (n - 1 - j) for j in range(n) if j != position)
 
 
+_AVERAGED = ("total_amount", "discount_pct", "customer_age")
+
+
 def grouped_aggregate(df: DataFrame) -> DataFrame:
-    """All five groupings in one aggregate, tagged by ``_gid``."""
-    keyed = df.select(
-        "category",
-        "region",
-        F.trunc("date", "month").alias("_month"),
-        age_group("customer_age").alias("age_group"),
-        "payment_method",
-        "transaction_id",
-        "total_amount",
-        "discount_pct",
-        "customer_age",
-    )
+    """All five groupings, tagged by ``_gid``, with the sums of each."""
     keys = [k for _, k in _KEYS]
-    return keyed.groupingSets([[k] for k in keys], *keys).agg(
-        F.grouping_id().alias("_gid"),
-        F.count("transaction_id").alias("_n"),
-        F.sum("total_amount").alias("_sum"),
-        exact_avg("total_amount", 2, 100).alias("_avg"),
-        exact_avg("discount_pct", 2).alias("_disc"),
-        exact_avg("customer_age", 1).alias("_age"),
-    )
+    cells = df.groupBy(
+        "category", "region", report.month_start(),
+        age_group("customer_age").alias("age_group"), "payment_method",
+    ).agg(*report.sales_sums(*_AVERAGED))
+    sums = [c for c in cells.columns if c not in keys]
+    return cells.groupingSets([[k] for k in keys], *keys).agg(
+        F.grouping_id().alias("_gid"), *(F.sum(f"`{c}`").alias(c) for c in sums))
 
 
 def split_results(agg: DataFrame) -> dict[str, DataFrame]:
     """The five step results, selected from ``grouped_aggregate`` output."""
-    part = {step: agg.filter(F.col("_gid") == _gid(i)) for i, (step, _) in enumerate(_KEYS)}
-    return {
-        "sales_by_category": part["sales_by_category"]
-        .select(
-            "category",
-            F.col("_n").alias("transactions"),
-            money("_sum").alias("total_revenue"),
-            F.col("_avg").alias("avg_transaction"),
-            F.col("_disc").alias("avg_discount"),
-        )
-        .orderBy(F.desc("total_revenue")),
-        "sales_by_region": part["sales_by_region"]
-        .select(
-            "region",
-            F.col("_n").alias("transactions"),
-            money("_sum").alias("total_revenue"),
-            F.col("_age").alias("avg_age"),
-        )
-        .orderBy(F.desc("total_revenue")),
-        "monthly_trends": part["monthly_trends"]
-        .select(
-            year_month("_month").alias("year_month"),
-            F.col("_n").alias("transactions"),
-            money("_sum").alias("revenue"),
-        )
-        .orderBy("year_month"),
-        "age_group_analysis": part["age_group_analysis"]
-        .select(
-            "age_group",
-            F.col("_n").alias("transactions"),
-            F.col("_avg").alias("avg_spend"),
-            money("_sum").alias("total_spend"),
-        )
-        .orderBy("age_group"),
-        "payment_analysis": part["payment_analysis"]
-        .select(
-            "payment_method",
-            F.col("_n").alias("count"),
-            money("_sum").alias("total_revenue"),
-            F.col("_avg").alias("avg_amount"),
-        )
-        .orderBy(F.desc("count")),
+    shown = {
+        "sales_by_category": report.category_columns,
+        "sales_by_region": report.region_columns,
+        "monthly_trends": report.month_columns,
+        "age_group_analysis": report.age_columns,
+        "payment_analysis": report.payment_columns,
     }
+    return {step: shown[step](agg.filter(F.col("_gid") == _gid(i)))
+            for i, (step, _) in enumerate(_KEYS)}
 
 
 # Dimension names of ``grouped_sales``, in grouping-set order.
@@ -137,11 +92,11 @@ def grouped_sales(df: DataFrame) -> DataFrame:
     return agg.select(
         dimension.alias("dimension"),
         member.alias("member"),
-        F.col("_n").alias("transactions"),
-        money("_sum").alias("total_revenue"),
-        F.col("_avg").alias("avg_amount"),
-        F.col("_disc").alias("avg_discount"),
-        F.col("_age").alias("avg_age"),
+        F.col("_transactions").alias("transactions"),
+        report.revenue("total_revenue"),
+        average_of("total_amount").alias("avg_amount"),
+        average_of("discount_pct").alias("avg_discount"),
+        average_of("customer_age", 1).alias("avg_age"),
     ).orderBy("dimension", "member")
 
 

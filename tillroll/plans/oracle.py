@@ -2,15 +2,17 @@
 
 The text runs in DuckDB over the driver's tables.  Column names equal the
 Spark side's aliases.  Engine differences handled here: ``sum`` of an int is
-HUGEINT in DuckDB (cast to BIGINT), NULL ordering is spelled out, ties
-before a LIMIT are broken the same way as in Spark, and averages are
-computed exactly (integer sums, half-up integer quotient) on both sides.
+HUGEINT in DuckDB (cast to BIGINT), NULL ordering is spelled out, and ties
+before a LIMIT are broken the same way as in Spark.
+
+Sums and averages are taken in whole millionths (HUGEINT, exact) and rounded
+half away from zero by integer arithmetic on the absolute value, because
+DuckDB divides decimals as doubles.
 """
 
 from __future__ import annotations
 
-from tillroll.operators.report import PROFILE_COLUMNS, PROFILE_UNITS
-from tillroll.sources.generate import generated_transactions_sql
+from tillroll.operators.report import PROFILE_COLUMNS
 from tillroll.sources.transactions import TRANSACTIONS_VIEW_SQL
 
 _T = f"WITH transactions AS ({TRANSACTIONS_VIEW_SQL})\n"
@@ -22,45 +24,53 @@ _AGE = """CASE WHEN customer_age < 25 THEN '18-24'
   ELSE '55+' END"""
 
 
-def _profile_sql(cols: list[str], digits: int = 6) -> str:
+def _profile_sql(cols: list[str], digits: int = 4) -> str:
     parts = []
     for c in cols:
-        unit = PROFILE_UNITS[c]
-        scaled = c if unit == 1 else f"CAST(FLOOR({c} * {unit} + 0.5) AS BIGINT)"
-        n = f"CAST(COUNT({c}) AS HUGEINT)"
-        s1 = f"SUM(CAST({scaled} AS HUGEINT))"
-        s2 = f"SUM(CAST({scaled} AS HUGEINT) * CAST({scaled} AS HUGEINT))"
         stats = {
             "count": f"CAST(COUNT({c}) AS DOUBLE)",
-            "mean": _exact_avg(c, digits, unit),
-            "stddev": f"CASE WHEN COUNT({c}) > 1 THEN SQRT(CAST({n} * {s2} - {s1} * {s1} AS DOUBLE)"
-            f" / CAST({n} * ({n} - 1) AS DOUBLE)) / {unit} END",
+            "mean": _avg(c, digits),
+            "stddev": f"ROUND(STDDEV_SAMP({c}), {digits})",
             "min": f"CAST(MIN({c}) AS DOUBLE)",
             "max": f"CAST(MAX({c}) AS DOUBLE)",
         }
         for stat, expr in stats.items():
             parts.append(
-                f"SELECT '{c}' AS column_name, '{stat}' AS summary, "
-                f"ROUND(CAST({expr} AS DOUBLE), {digits}) AS value FROM transactions"
+                f"SELECT '{c}' AS column_name, '{stat}' AS summary, {expr} AS value FROM transactions"
             )
     return "\nUNION ALL\n".join(parts)
 
 
-def _exact_avg(col: str, digits: int, unit: int = 1) -> str:
-    """SQL twin of ``functions.exact_avg``: integer sum, exact half-up quotient."""
-    scaled = col if unit == 1 else f"CAST(FLOOR({col} * {unit} + 0.5) AS BIGINT)"
-    total = f"CAST(SUM({scaled}) AS HUGEINT)"
+def _wide_profile_sql(cols: list[str]) -> str:
+    long = f"SELECT * FROM ({_profile_sql(cols)}) p"
+    picks = ", ".join(f"MAX(CASE WHEN column_name = '{c}' THEN value END) AS {c}" for c in cols)
+    return f"SELECT summary, {picks} FROM ({long}) q GROUP BY summary"
+
+
+def _millionths(col: str) -> str:
+    return f"SUM(CAST(CAST({col} AS DECIMAL(18,6)) * 1000000 AS HUGEINT))"
+
+
+def _half_away(total: str, by: str, digits: int) -> str:
+    """``total / by`` millionths, to ``digits``, half away from zero."""
+    return (f"SIGN({total}) * CAST((2 * ABS({total}) * {10**digits} + {by} * 1000000)"
+            f" // (2 * {by} * 1000000) AS DOUBLE) / {10**digits}")
+
+
+def _sum(col: str, digits: int = 2) -> str:
+    return _half_away(_millionths(col), "1", digits)
+
+
+def _avg(col: str, digits: int = 2) -> str:
     n = f"CAST(COUNT({col}) AS HUGEINT)"
-    return (
-        f"CASE WHEN COUNT({col}) > 0 THEN CAST(({total} * {2 * 10**digits} + {n} * {unit})"
-        f" // ({n} * {2 * unit}) AS DOUBLE) / {10**digits} END"
-    )
+    return f"CASE WHEN COUNT({col}) > 0 THEN {_half_away(_millionths(col), n, digits)} END"
 
 
 _AVERAGES = {
-    "ROUND(AVG(total_amount), 2)": _exact_avg("total_amount", 2, 100),
-    "ROUND(AVG(discount_pct), 2)": _exact_avg("discount_pct", 2),
-    "ROUND(AVG(customer_age), 1)": _exact_avg("customer_age", 1),
+    "ROUND(SUM(total_amount), 2)": _sum("total_amount"),
+    "ROUND(AVG(total_amount), 2)": _avg("total_amount"),
+    "ROUND(AVG(discount_pct), 2)": _avg("discount_pct"),
+    "ROUND(AVG(customer_age), 1)": _avg("customer_age", 1),
 }
 
 
@@ -96,6 +106,7 @@ STEP_SQL: dict[str, str] = {
     "load_shape": "SELECT CAST(COUNT(*) AS BIGINT) AS row_count, "
     "CAST(11 AS BIGINT) AS column_count FROM transactions",
     "basic_stats": _profile_sql(PROFILE_COLUMNS),
+    "basic_stats_wide": _wide_profile_sql(PROFILE_COLUMNS),
     "sales_by_category": _SALES_BY_CATEGORY + "\nORDER BY total_revenue DESC",
     "sales_by_region": """SELECT region, COUNT(transaction_id) AS transactions,
   ROUND(SUM(total_amount), 2) AS total_revenue,
@@ -134,17 +145,22 @@ FROM transactions GROUP BY {key}"""
     ),
     # The CSV written by the sink and read back equals the aggregate.
     "csv_round_trip": _SALES_BY_CATEGORY,
+    "category_value_counts": "SELECT category, COUNT(*) AS count FROM transactions"
+    " GROUP BY category ORDER BY count DESC, category",
+    "transactions_head": "SELECT * FROM transactions ORDER BY transaction_id, date, category,"
+    " product_name, quantity, unit_price, discount_pct, total_amount, region, customer_age,"
+    " payment_method LIMIT 3",
 }
-
-# Averages are written as ROUND(AVG(..)) above for reading, and computed
-# exactly (as the Spark side does) in the text that runs.
+# The same answers over the whole table written as CSV, and over a fact table
+# that is materialized first.
+STEP_SQL["csv_transactions"] = STEP_SQL["sales_by_category"]
+STEP_SQL["csv_load_shape"] = STEP_SQL["load_shape"]
+STEP_SQL["tuned_grouped_sales"] = STEP_SQL["grouped_sales"]
+STEP_SQL["tuned_top_products"] = STEP_SQL["top_products_with_broadcast"]
+STEP_SQL["tuned_window_ranking"] = STEP_SQL["window_ranking"]
+
+# Sums and averages are written as ROUND(..) above for reading, and computed
+# exactly in the text that runs.
 STEP_SQL = {name: _exact(sql) for name, sql in STEP_SQL.items()}
 
-ORACLE_SQL: dict[str, str] = {
-    **{name: _T + sql for name, sql in STEP_SQL.items()},
-    "gen_transactions": generated_transactions_sql(),
-    "gen_head": generated_transactions_sql() + "\nORDER BY transaction_id LIMIT 3",
-    "category_value_counts": "SELECT category, COUNT(*) AS count FROM ("
-    + generated_transactions_sql()
-    + ") g GROUP BY category ORDER BY count DESC, category",
-}
+ORACLE_SQL: dict[str, str] = {name: _T + sql for name, sql in STEP_SQL.items()}

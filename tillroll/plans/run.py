@@ -2,7 +2,7 @@
 
 Every step runs under ``setJobDescription(<step>)``, so a Spark event log of
 the run can be grouped per step afterwards (``tillroll.operators.joblog``).
-Steps collect their (small) results, as the reference's ``show`` did.
+Steps bring the first rows of their results to the driver, as ``show`` does.
 """
 
 from __future__ import annotations
@@ -15,24 +15,15 @@ from contextlib import ExitStack
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import report
+from tillroll.operators.runs import CANONICAL_STEPS
 from tillroll.plans.onepass import one_pass
 from tillroll.plans.tuned import tuned_report
 from tillroll.schemas import METRICS
 from tillroll.session import scratch_path
 from tillroll.sources.sinks import write_csv
 
-STEP_NAMES = [
-    "load_data",
-    "basic_stats",
-    "sales_by_category",
-    "sales_by_region",
-    "top_products",
-    "monthly_trends",
-    "age_group_analysis",
-    "payment_analysis",
-    "window_ranking",
-    "save_to_hdfs",
-]
+#: Rows of each result that are brought to the driver.
+SHOWN_ROWS = 100
 
 
 class _Timer:
@@ -62,6 +53,7 @@ def run_report(
     out_path: str | None = None,
     storage: str | None = "cache",
     one_pass_groups: bool = False,
+    show: int = SHOWN_ROWS,
 ) -> tuple[dict, dict[str, list]]:
     """Run the ten steps; return (metric record, collected step results).
 
@@ -89,7 +81,7 @@ def run_report(
             ("window_ranking", report.window_ranking),
         ]
         for name, fn in steps:
-            timer.run(name, lambda fn=fn: fn(fact).collect())
+            timer.run(name, lambda fn=fn: fn(fact).take(show))
         timer.run(
             "save_to_hdfs",
             lambda: write_csv(report.sales_by_category(fact), out_path, single_file=True),
@@ -105,25 +97,25 @@ def run_report(
             timer.steps.append(
                 {"name": "load_and_cache", "time_s": round(time.perf_counter() - start, 3), "ram_mb": None}
             )
-            for name in STEP_NAMES[1:-1]:
+            for name in CANONICAL_STEPS[1:-1]:
                 label = "top_products_with_broadcast" if name == "top_products" else name
-                timer.run(label, lambda name=name: getattr(tuned, name)().collect())
+                timer.run(label, lambda name=name: getattr(tuned, name)().take(show))
             timer.run("save_to_hdfs", lambda: tuned.save(out_path))
         row_count = shape[0]["row_count"]
     elif mode == "onepass":
         # Plain source, but the five group-by steps share one aggregate.
         fact = load()
         shape = timer.run("load_data", lambda: report.load_shape(fact).collect())
-        timer.run("basic_stats", lambda: report.column_profile(fact).collect())
+        timer.run("basic_stats", lambda: report.column_profile(fact).take(show))
         with ExitStack() as stack:
             grouped = timer.run("grouped_aggregate", lambda: stack.enter_context(one_pass(fact)))
-            for name in STEP_NAMES[2:-1]:
+            for name in CANONICAL_STEPS[2:-1]:
                 if name in grouped:
-                    timer.run(name, lambda name=name: grouped[name].collect())
+                    timer.run(name, lambda name=name: grouped[name].take(show))
                 elif name == "top_products":
-                    timer.run(name, lambda: report.top_products(fact).collect())
+                    timer.run(name, lambda: report.top_products(fact).take(show))
                 else:
-                    timer.run(name, lambda: report.window_ranking(fact).collect())
+                    timer.run(name, lambda: report.window_ranking(fact).take(show))
             timer.run(
                 "save_to_hdfs",
                 lambda: write_csv(grouped["sales_by_category"], out_path, single_file=True),

@@ -20,13 +20,9 @@ from tillroll.sources.files import file_sizes
 TARGET_PARTITION_BYTES = 256 << 20
 
 
-def input_bytes(spark: SparkSession, paths: list[str], fmt: str = "parquet") -> int:
-    """Total size of the data files under ``paths``.
-
-    A metadata-only Spark job (file footers, no column data), distributed
-    like any scan.
-    """
-    total = file_sizes(spark, paths, fmt).agg(F.sum("size_bytes")).first()[0]
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the data files under ``paths``, from their listing."""
+    total = file_sizes(spark, paths).agg(F.sum("size_bytes")).first()[0]
     return int(total or 0)
 
 
@@ -35,7 +31,6 @@ def size_shuffles(
     paths: list[str],
     target_bytes: int = TARGET_PARTITION_BYTES,
     min_partitions: int | None = None,
-    fmt: str = "parquet",
 ) -> int:
     """Set the shuffle width for jobs over ``paths``; returns it.
 
@@ -44,7 +39,7 @@ def size_shuffles(
     advisory size is set to the same target, so coalescing aims at it.
     """
     floor = min_partitions or default_parallelism(spark)
-    n = max(floor, -(-input_bytes(spark, paths, fmt) // target_bytes))
+    n = max(floor, -(-input_bytes(spark, paths) // target_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
     return n

@@ -16,44 +16,32 @@ How the fact table is held (``storage``):
 * ``"checkpoint"`` - ``DataFrame.checkpoint()`` into the same shared folder.
 * ``None``      - nothing materialized (useful to isolate the other changes).
 
-Differences from the reference's tuned app, on purpose: no blind
-``repartition`` before caching (it shuffles every column; available through
-``partitions`` when measured to help), and the ranked table is not persisted
-before its ``rank <= 3`` filter, which would cost ``WindowGroupLimit``.
+A large fact table belongs in a ``table``; ``cache`` is for one that is a small
+share of the cluster's memory.  No blind ``repartition`` before caching (it
+shuffles every column; available through ``partitions`` when measured to help).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tillroll.operators import report
-from tillroll.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
+from tillroll.operators.joins import broadcast_if_small
 from tillroll.plans.onepass import grouped_aggregate, split_results
-from tillroll.session import checkpoint_root, scratch_path
+from tillroll.session import checkpoint_root, delete_path, scratch_path
 from tillroll.sources.sinks import write_csv
 
 
-# Ranking prunes with a sampled bound only above this many rows: below it
-# one sort of everything is cheaper than the extra sample pass.
-PRUNE_MIN_ROWS = 2_000_000
-# Target sample size for the bound: about this many rows in total.
-BOUND_SAMPLE_ROWS = 1_000_000
-
-
 @dataclass
 class TunedReport:
     fact: DataFrame
     category_stats: DataFrame
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
-    _held: list[DataFrame] = field(default_factory=list)
     grouped: dict[str, DataFrame] | None = None
-    row_count: int | None = None
 
     def _group(self, name: str, fn) -> DataFrame:
         return self.grouped[name] if self.grouped else fn(self.fact)
@@ -72,11 +60,9 @@ class TunedReport:
 
     def top_products(self) -> DataFrame:
         """Top products with the category discount, joined to the persisted
-        category table; broadcast only if it is proven small (its count is
-        read from the persisted copy, so the check costs nothing)."""
+        category table, which is broadcast if its stored size is small."""
         return report.top_products_with_lookup(
-            self.fact, self.category_stats, broadcast_max_rows=self.broadcast_max_rows
-        )
+            self.fact, broadcast_if_small(self.category_stats))
 
     def monthly_trends(self) -> DataFrame:
         return self._group("monthly_trends", report.monthly_trends)
@@ -87,63 +73,36 @@ class TunedReport:
     def payment_analysis(self) -> DataFrame:
         return self._group("payment_analysis", report.payment_analysis)
 
-    def window_ranking(self, persist_ranked: bool = False) -> DataFrame:
-        """Top three per category.
-
-        ``persist_ranked=True`` reproduces the reference's tuned app, which
-        persisted every row's rank (MEMORY_AND_DISK) before the filter.  It is
-        off by default: the persisted plan has to rank all rows, losing
-        ``WindowGroupLimit``, and the result is read once anyway.
-        """
-        if not persist_ranked:
-            return report.window_ranking(self.fact, bounds=self._ranking_bounds())
-        w = Window.partitionBy("category").orderBy(F.desc("total_amount"))
-        ranked = self.fact.withColumn("rank", F.rank().over(w)).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        self._held.append(ranked)
-        return (
-            ranked.filter(F.col("rank") <= 3)
-            .select("category", "product_name", "total_amount", F.col("rank").cast("bigint"))
-            .orderBy("category", "rank")
-        )
-
-    def _ranking_bounds(self) -> DataFrame | None:
-        """Sampled lower bounds for the ranking, on large tables only.
-
-        The materialized table is cheap to read twice, so a sample pass that
-        lets the ranking skip sorting almost every row pays off.  The bound
-        table (one row per category) is persisted, and broadcast only when
-        its row count is proven small.
-        """
-        if self.row_count is None or self.row_count < PRUNE_MIN_ROWS:
-            return None
-        bounds = report.amount_bounds(
-            self.fact, 3, BOUND_SAMPLE_ROWS, self.row_count
-        ).persist(StorageLevel.MEMORY_AND_DISK)
-        self._held.append(bounds)
-        return broadcast_if_small(bounds, self.broadcast_max_rows)
+    def window_ranking(self) -> DataFrame:
+        return report.window_ranking(self.fact)
 
     def save(self, path: str) -> str:
         return write_csv(self.category_stats, path, single_file=True)
 
 
-def materialize(df: DataFrame, storage: str | None, partitions: int | None = None) -> DataFrame:
-    """Hold ``df`` as described in the module notes; returns the frame to use."""
+def materialize(
+    df: DataFrame, storage: str | None, partitions: int | None = None
+) -> tuple[DataFrame, str | None]:
+    """Hold ``df`` as described in the module notes.
+
+    Returns the frame to use and the folder it lies in, if any.
+    """
+    spark = df.sparkSession
     if partitions:
         df = df.repartition(partitions)
     if storage is None:
-        return df
+        return df, None
     if storage == "cache":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        return df.persist(StorageLevel.MEMORY_AND_DISK), None
     if storage == "table":
-        spark = df.sparkSession
         path = scratch_path(spark, "fact")
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), path
     if storage == "checkpoint":
-        checkpoint_root(df.sparkSession)  # registers a folder when none is set
-        return df.checkpoint(eager=True)
+        checkpoint_root(spark)  # registers a folder when none is set
+        held = df.checkpoint(eager=True)
+        files = held._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        return held, files.get() if files.isDefined() else None
     raise ValueError(f"unknown storage {storage!r}")
 
 
@@ -152,7 +111,6 @@ def tuned_report(
     df: DataFrame,
     storage: str | None = "cache",
     partitions: int | None = None,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     one_pass_groups: bool = False,
 ) -> Iterator[TunedReport]:
     """Materialize ``df`` and the category table; release both on exit.
@@ -161,10 +119,9 @@ def tuned_report(
     the lookup join uses) come from one shared aggregate
     (``tillroll.plans.onepass``), persisted, instead of one scan each.
     """
-    fact = materialize(df, storage, partitions)
+    fact, path = materialize(df, storage, partitions)
     held = [fact] if storage == "cache" else []
     try:
-        row_count = fact.count()  # fills the cache (or reads parquet footers)
         grouped = None
         if one_pass_groups:
             agg = grouped_aggregate(fact).persist(StorageLevel.MEMORY_AND_DISK)
@@ -174,7 +131,9 @@ def tuned_report(
         else:
             cat_stats = report.sales_by_category(fact).persist(StorageLevel.MEMORY_ONLY)
             held.append(cat_stats)
-        yield TunedReport(fact, cat_stats, broadcast_max_rows, held, grouped, row_count)
+        yield TunedReport(fact, cat_stats, grouped)
     finally:
         for frame in held:
             frame.unpersist()
+        if path:
+            delete_path(df.sparkSession, path)

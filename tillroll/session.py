@@ -51,20 +51,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and points at storage every
-    executor can reach.  Only when it is unset (local tests) do we create a
-    folder of our own and register it, so ``DataFrame.checkpoint`` works too.
+    executor can reach; without it we refuse, since a folder of one machine is
+    not seen by the others.  Only in local mode do we create a folder of our
+    own and register it, so ``DataFrame.checkpoint`` works too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if sc is None or not sc.master.split("[")[0] == "local":
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir()
-        else:
-            spark.conf.set("spark.checkpoint.dir", root)
+        sc.setCheckpointDir(root)
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
@@ -85,5 +86,23 @@ def _context(spark: SparkSession):
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/tillroll/{name}-{uuid.uuid4().hex}"
+    """A fresh, never-reused folder under the shared checkpoint root.
+
+    What is still there when the session ends is deleted then.
+    """
+    path = f"{checkpoint_root(spark)}/tillroll/{name}-{uuid.uuid4().hex}"
+    fs, target = _file_system(spark, path)
+    fs.deleteOnExit(target)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it, on whatever file system it is."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(sc._jsc.hadoopConfiguration()), target

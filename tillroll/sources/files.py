@@ -1,4 +1,4 @@
-"""File-level facts about a table, read from Spark's hidden ``_metadata``."""
+"""File-level facts about a table, from a listing of its files."""
 
 from __future__ import annotations
 
@@ -6,35 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def file_sizes(
-    spark: SparkSession,
-    paths: list[str],
-    fmt: str = "parquet",
-    options: dict[str, str] | None = None,
-) -> DataFrame:
-    """One row per data file: path, size in bytes and MB, and its row count.
+def file_sizes(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One row per data file under ``paths``: path, size in bytes and in MB.
 
-    Only the hidden metadata column is selected, so parquet answers the row
-    count from footers and no column data is decoded.  ``options`` go to the
-    reader (``{"header": "true"}`` for CSV with a header line).  The group-by is per
-    file: as many output rows as files, merged partially in every task.
+    The ``binaryFile`` source yields one row per file, and with its content
+    column left out nothing is opened: no record of the data is touched.
     """
-    frames = [spark.read.format(fmt).options(**(options or {})).load(p) for p in paths]
-    sized = None
-    for df in frames:
-        part = df.select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_size").alias("size_bytes"),
-        )
-        sized = part if sized is None else sized.unionByName(part)
-    return (
-        sized.groupBy("file_path", "size_bytes")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(
-            "file_path",
-            "size_bytes",
-            F.round(F.col("size_bytes") / 1024 / 1024, 2).alias("size_mb"),
-            "rows",
-        )
-        .orderBy("file_path")
-    )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    return files.select(
+        F.col("path").alias("file_path"),
+        F.col("length").alias("size_bytes"),
+        F.round(F.col("length") / 1024 / 1024, 2).alias("size_mb"),
+    ).orderBy("file_path")

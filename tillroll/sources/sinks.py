@@ -5,14 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+# Rows that may go into one file, and so through one task.
+MAX_SINGLE_FILE_ROWS = 1_000_000
+
+
 def _one_partition(df: DataFrame, sort_by: list[str] | None) -> DataFrame:
     # One output file is only sensible for small results (aggregates).  A
     # sorted file is sorted inside its single partition.
+    df = _guarded(df)
     if sort_by:
         return df.repartition(1).sortWithinPartitions(*sort_by)
     return df.coalesce(1)
 
 
+def _guarded(df: DataFrame) -> DataFrame:
+    n = df.limit(MAX_SINGLE_FILE_ROWS + 1).count()
+    if n > MAX_SINGLE_FILE_ROWS:
+        raise ValueError(f"more than {MAX_SINGLE_FILE_ROWS} rows for one file; write many files")
+    return df
+
+
 def write_csv(
     df: DataFrame,
     path: str,
