@@ -181,23 +181,18 @@ def quality_signals(
 
 def quality_filter(docs: DataFrame, limits: Limits = Limits(), *, text_col: str = "text") -> DataFrame:
     """The documents whose verdict is ``kept``, with all columns, in one pass."""
-    extra = "_quality"
-    while any(c.lower().startswith(extra) for c in docs.columns):
-        extra += "_"
-    depth = limits.min_repeat
+    depth, at = limits.min_repeat, docs.columns.index(text_col)
     names = ["n_words", "n_repeat_words", "covered_words", "longest_repeat"]
-    schema = T.StructType([
-        *docs.schema.fields, *(T.StructField(f"{extra}{n}", T.LongType()) for n in names)])
+    # Columns go by position in between, so no name of theirs can clash.
+    passed = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
+    schema = T.StructType([*passed, *(T.StructField(n, T.LongType()) for n in names)])
 
     def judge(batches):
-        for batch in by_bytes(batches, text_col):
-            found = signals([t or "" for t in batch.column(text_col).to_pylist()], depth)
+        for batch in by_bytes(batches, f"c{at}"):
+            found = signals([t or "" for t in batch.column(at).to_pylist()], depth)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array(found[n]) for n in names)],
-                names=[*batch.schema.names, *(f"{extra}{n}" for n in names)])
-
-    judged = docs.mapInArrow(judge, schema)
-    seen = judged.select([F.col(f"`{c}`") for c in docs.columns] + [
-        F.struct(*(F.col(f"`{extra}{n}`").alias(n) for n in names)).alias(extra)])
-    verdict = _verdict(seen.select("*", f"{extra}.*"), limits)
-    return verdict.filter("kept").select([F.col(f"`{c}`") for c in docs.columns])
+                [*batch.columns, *(pa.array(found[n]) for n in names)], names=schema.names)
+
+    judged = docs.toDF(*(f.name for f in passed)).mapInArrow(judge, schema)
+    kept = _verdict(judged, limits).filter("kept")
+    return kept.select([F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
