@@ -62,10 +62,10 @@ def removed_words(docs, depth):
     return out
 
 
-@pytest.mark.parametrize("seed,depth,hot", [(3, 20, 1 << 16), (4, 12, 30)])
+@pytest.mark.parametrize("seed,depth,hot", [(3, 20, 1 << 18), (4, 12, 100)])
 def test_substring_dedup(llm, monkeypatch, seed, depth, hot):
-    monkeypatch.setattr(substring_dedup, "HOT_SUFFIXES", hot)
-    monkeypatch.setattr(substring_dedup, "GROUP_SUFFIXES", 500)
+    monkeypatch.setattr(substring_dedup, "HOT_WORDS", hot)
+    monkeypatch.setattr(substring_dedup, "GROUP_WORDS", 2000)
     docs = make_docs(seed, sep="\t \n")
     same(substring_dedup.substring_dedup(frame(llm, docs), depth).collect(),
          removed_words(docs, depth))

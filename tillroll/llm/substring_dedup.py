@@ -33,11 +33,11 @@ from tillroll.llm.common import by_bytes, materialize, release, texts
 
 DEPTH = 50
 
-#: Suffixes that one task's trees should hold.
-GROUP_SUFFIXES = 1 << 18
+#: Words that the runs of one task's trees should hold.
+GROUP_WORDS = 1 << 20
 
-#: Suffixes of one prefix beyond which longer prefixes split it.
-HOT_SUFFIXES = 1 << 16
+#: Words of the runs of one prefix beyond which longer prefixes split it.
+HOT_WORDS = 1 << 18
 
 RUN_KEY = ("key", "content", "offset", "n")
 
@@ -67,10 +67,10 @@ def _contexts(rows: DataFrame, groups: DataFrame, depth: int) -> DataFrame:
     """(doc_id, RUN_KEY, size, words): one run of each content, of its first document.
 
     For prefixes with several contents; ``words`` are the word hashes of the run
-    and ``size`` the number of suffixes under its prefix.
+    and ``size`` the number of words of all runs under its prefix.
     """
     several = groups.groupBy("key").agg(
-        F.count("*").alias("c"), F.sum("n").alias("size")).filter("c > 1").select("key", "size")
+        F.count("*").alias("c"), F.sum(F.col("n") + (depth - 1)).alias("size")).filter("c > 1").select("key", "size")
     left = anchors.in_groups(groups, several, "key").select(*RUN_KEY, "size", "one.*")
     per_doc = left.groupBy("doc_id", "tid").agg(
         F.collect_list(F.struct(*RUN_KEY, "start", "size")).alias("runs"))
@@ -177,15 +177,16 @@ def repeated_spans(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
     runs, run_path = materialize(_contexts(rows, groups, depth), "contexts")
     del groups
     release(spark, group_path)
-    total = runs.filter(F.col("size") <= HOT_SUFFIXES).agg(F.sum("n")).first()[0] or 0
-    parts = max(1, math.ceil(total / GROUP_SUFFIXES))
+    total = runs.filter(F.col("size") <= HOT_WORDS).agg(
+        F.sum(F.col("n") + (depth - 1))).first()[0] or 0
+    parts = max(1, math.ceil(total / GROUP_WORDS))
     trees = (
-        runs.filter(F.col("size") <= HOT_SUFFIXES)
+        runs.filter(F.col("size") <= HOT_WORDS)
         .groupBy(F.pmod(F.xxhash64("key"), F.lit(parts)).alias("group"))
         .applyInArrow(lambda table: _tree_spans(table, depth),
                       f"doc_id {kind}, key long, content long, offset int, n int, low int, high int")
     )
-    judged = trees.union(_hot_spans(runs.filter(F.col("size") > HOT_SUFFIXES), depth))
+    judged = trees.union(_hot_spans(runs.filter(F.col("size") > HOT_WORDS), depth))
     spans = whole.union(_in_first_documents(found, judged))
     done, _ = materialize(anchors.per_document(spans), "document-spans")
     del found, runs, whole, trees, judged, spans
