@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 WORDS = "a b c dé é x y the of".split()
 
 
@@ -37,3 +39,12 @@ def frame(spark, docs, extra=True):
 
 def same(got, want):
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr)
+
+
+@pytest.fixture(scope="session")
+def llm(spark):
+    """The session, with the package sent to its Python workers."""
+    from tillroll.llm.common import ship
+
+    ship(spark)
+    return spark

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 import xxhash
 
-from llm_helpers import frame, make_docs, same
+from llm_helpers import frame, llm, make_docs, same  # noqa: F401
 from tillroll.llm import anchors, components, simhash, substring_dedup, suffix_dedup
 
 

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from conftest import SF_SMALL
-from llm_helpers import frame, make_docs
+from llm_helpers import frame, llm, make_docs  # noqa: F401
 from test_dedup import fingerprint, grouped, removed_bytes, removed_words
 from test_rules import plain_signals
 from test_text import edit_search

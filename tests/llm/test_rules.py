@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from llm_helpers import frame, make_docs, same
+from llm_helpers import frame, llm, make_docs, same  # noqa: F401
 from tillroll.llm import html_text, quality, token_counts, url_filter
 
 

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from llm_helpers import frame, make_docs, same
+from llm_helpers import frame, llm, make_docs, same  # noqa: F401
 from tillroll.llm import bpe, context_tree, decontaminate
 
 
