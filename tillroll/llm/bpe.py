@@ -10,8 +10,9 @@ is searched from its start.  Decoding concatenates the pieces of the ids.
 
 The fold is quadratic in the word, which is no matter for words; a run of
 letters longer than ``LONG_WORD`` bytes is merged with a heap in the worker that
-packs the block, to the same ids.  Bytes are held as Latin-1 strings, one character per byte, which Spark can
-split, concatenate and look up.  Nothing is shuffled.
+packs the block, to the same ids.  Bytes are held as Latin-1 strings, one
+character per byte, which Spark can split, concatenate and look up.  Nothing is
+shuffled.
 
 Defined results: a null or empty text has no ids and decodes to nothing.
 Repeated rows and null ids are encoded row by row; other columns are left out.
@@ -21,8 +22,8 @@ from __future__ import annotations
 
 import base64
 import json
-from heapq import heapify, heappop, heappush
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
