@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import texts
 
 #: Bytes of text whose distinct words are encoded together.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 #: White space as the tokenizer's pattern means it (fixed values).
 _SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -190,6 +190,7 @@ def _blocks(batches, limit: int, ranks: dict[bytes, int]):
             if held and size + sizes * part.num_rows > limit:
                 yield block()
                 held, size = [], 0
+                pa.default_memory_pool().release_unused()
             held.append(part)
             size += sizes * part.num_rows
     if held:
