@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_helpers import frame, llm, make_docs, same  # noqa: F401
-from tillroll.llm import bpe, context_tree, decontaminate
+from tillroll.llm import bpe, context_tree, decontaminate, queries
 
 
 def edit_search(pattern, text):
@@ -179,3 +179,24 @@ def test_scores(llm, monkeypatch, shares):
 
 def test_scores_of_nothing(llm):
     assert context_tree.score_texts(frame(llm, [])).collect() == []
+
+
+@pytest.mark.parametrize("tables, rows", [(0, 1), (1, 50), (2, 1 << 18)])
+def test_scores_with_deep_levels_in_groups(llm, monkeypatch, tables, rows):
+    """Levels worked out in the tasks give what levels in tables give."""
+    monkeypatch.setattr(context_tree, "TABLE_DEPTH", tables)
+    monkeypatch.setattr(context_tree, "_ROWS", rows)
+    docs = make_docs(8, size=25) + [(400, "ÄB Ab\x0bab"), (401, None)]
+    got = context_tree.score_texts(frame(llm, docs)).collect()
+    same([(*r[:5], round(r[5], 6), round(r[6], 6)) for r in got], brute_scores(docs))
+
+
+def test_query_sees_whole_words(llm, tmp_path):
+    """The last byte of each word follows from the first, six bytes before."""
+    r = random.Random(6)
+    docs = [(i, "".join(r.choice(["axxxxxa", "bxxxxxb"]) for _ in range(100))) for i in range(40)]
+    frame(llm, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op3_lm_scoring(llm, str(tmp_path)).collect()
+    held = [x.score for x in got if x.held_out]
+    # A hundred free choices of one bit; blind to the first byte it is 200.
+    assert held and all(-140 < x / math.log10(2) < -95 for x in held)

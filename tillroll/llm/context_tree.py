@@ -1,16 +1,18 @@
 """Language-model scoring by context-tree weighting over bytes.
 
 The model predicts a text's bytes, each as eight binary decisions, in the
-context of the ``DEPTH`` bytes before it.  Every context of every length from 0
-to ``DEPTH`` has an estimator for every decision (Krichevsky-Trofimov: counts
+context of the ``depth`` bytes before it.  Every context of every length from 0
+to ``depth`` has an estimator for every decision (Krichevsky-Trofimov: counts
 plus one half).  Context-tree weighting mixes the estimates of all depths: at
 each context, the share of "stop here" against "look one byte further back" is
 set by how well either has coded the training text.  The result is a code
 length per byte, that is, the log probability of a text.
 
 Training counts come from all training documents.  The tree is built bottom up
-by one aggregation per depth (log probabilities of the children add up) and read
-top down by one join per depth; both hold a row per context and decision seen.
+and read top down.  Up to ``TABLE_DEPTH`` bytes of context that is one aggregation
+and one join per depth, with a row per context and decision seen.  The contexts
+that continue one of ``TABLE_DEPTH`` bytes are few (two more bytes at most), so
+the grams are dealt by it and the deeper levels worked out group by group.
 
 Scoring moves no text.  What occurs at least once in every ``GRAM_SHARE`` bytes
 (or ``WORD_SHARE`` tokens) is broadcast: there are at most that many such
@@ -36,11 +38,17 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import by_bytes, materialize, release, texts
 
-#: Bytes of context.
-DEPTH = 3
+#: Bytes of context unless given, and at most: a gram must fit a long.
+DEPTH, MAX_DEPTH = 3, 6
+
+#: Bytes of context up to which a level of the tree is a table.
+TABLE_DEPTH = 4
 
 #: Entries that may be broadcast, by the share of the text each must hold.
-GRAM_SHARE, WORD_SHARE = 1 << 20, 1 << 19
+GRAM_SHARE, WORD_SHARE = 1 << 22, 1 << 19
+
+#: Rows of whole groups that a task works out at a time.
+_ROWS = 1 << 18
 
 #: The token that ends every document (no word is empty).
 END = b""
@@ -61,26 +69,26 @@ def tokens(text: str) -> list[bytes]:
     return [*text.encode().lower().split(), END]
 
 
-def byte_grams(batch_texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(gram of every byte, its document): DEPTH context bytes, then the byte.
+def byte_grams(batch_texts: list[str], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """(gram of every byte, its document): ``depth`` context bytes, then the byte.
 
     Before a document's start the context is filled up with zeros.
     """
-    pad = bytes(DEPTH)
+    pad = bytes(depth)
     raw = [pad + t.encode() for t in batch_texts]
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
-    grams = np.zeros(max(0, len(data) - DEPTH), np.int64)
-    for i in range(DEPTH + 1):
+    grams = np.zeros(max(0, len(data) - depth), np.int64)
+    for i in range(depth + 1):
         grams = grams << 8 | data[i:i + len(grams)]
     sizes = np.array([len(r) for r in raw])
     # A gram is numbered by its last byte; the padding itself is not predicted.
     place = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     owner = np.repeat(np.arange(len(raw)), sizes)
-    real = place[DEPTH:] >= DEPTH
-    return grams[real], owner[DEPTH:][real]
+    real = place[depth:] >= depth
+    return grams[real], owner[depth:][real]
 
 
-def _counted(rows: DataFrame) -> DataFrame:
+def _counted(rows: DataFrame, depth: int) -> DataFrame:
     """(gram, word, train, seen): counts per task, one of gram and word null."""
 
     def entries(kind, keys, train, seen):
@@ -118,7 +126,7 @@ def _counted(rows: DataFrame) -> DataFrame:
             held, out = batch.column("text").to_pylist(), batch.column("held_out").to_pylist()
             for text, kept in zip(held, out):
                 words[kept].update(tokens(text))
-            found, owner = byte_grams(held)
+            found, owner = byte_grams(held, depth)
             distinct, code = np.unique(found, return_inverse=True)
             learn = ~np.array(out, bool)[owner]
             grams.append(pd.DataFrame({
@@ -138,87 +146,153 @@ def _counted(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "gram long, word binary, train long, seen long")
 
 
-def _log_gamma(x: Column) -> Column:
+def _log_gamma(x, log=F.log):
     """ln of the gamma function for x >= 1/2: Stirling's series at x + 8."""
     y = x + 8
     below = x
     for i in range(1, 8):
         below = below * (x + i)
     series = 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
-    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - F.log(below)
+    return (y - 0.5) * log(y) - y + 0.5 * math.log(2 * math.pi) + series - log(below)
 
 
-def _estimate() -> Column:
-    """Log of the Krichevsky-Trofimov block probability of n0 zeros and n1 ones."""
-    n0, n1 = F.col("n0").cast("double"), F.col("n1").cast("double")
-    return (_log_gamma(n0 + 0.5) + _log_gamma(n1 + 0.5) - _log_gamma(n0 + n1 + 1)
-            - math.log(math.pi))
+def _estimate(n0, n1, log=F.log):
+    """Log of the Krichevsky-Trofimov block probability of n0 zeros and n1 ones.
+
+    Of columns, or with ``np.log`` of arrays.
+    """
+    return (_log_gamma(n0 + 0.5, log) + _log_gamma(n1 + 0.5, log)
+            - _log_gamma(n0 + n1 + 1, log) - math.log(math.pi))
+
+
+def _groups(batches, key: str):
+    """Tables of whole groups, _ROWS rows or more, of batches sorted by ``key``."""
+    held, rows, limit = [], 0, _ROWS
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= limit:
+            table = pa.Table.from_batches(held)
+            keys = table.column(key).to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1]))
+            if cut:
+                yield table.slice(0, cut)
+            held, rows = table.slice(cut).to_batches(), len(keys) - cut
+            limit = max(_ROWS, 2 * rows)
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def _deep(grams: np.ndarray, train: np.ndarray, depth: int, top: int):
+    """The levels of all decisions of ``grams``, from ``depth`` up to ``top``.
+
+    A level is (keys, place, n0, n1, longer, stop): a key is a context and a node,
+    ``place`` says where the level below (the decisions of each gram in turn, for
+    the deepest) is found in it, and ``longer`` is what its longer contexts code.
+    Also returns the bits of the decisions.
+    """
+    byte, context = grams & 255, grams >> 8
+    nodes = np.stack([byte >> (8 - j) | 1 << j for j in range(8)], 1)
+    bits = np.stack([byte >> (7 - j) & 1 for j in range(8)], 1).ravel()
+    below = (context[:, None] << 8 | nodes).ravel()
+    counts = np.repeat(train, 8)
+    n0, n1, weighted = counts * (1 - bits), counts * bits, np.zeros(len(bits))
+    levels = []
+    for d in range(depth, top - 1, -1):
+        keys, place = np.unique(below & ((1 << 8 * (d + 1)) - 1), return_inverse=True)
+        n0, n1, longer = (np.bincount(place, x, len(keys)) for x in (n0, n1, weighted))
+        alone = _estimate(n0, n1, np.log)
+        if d == depth:
+            weighted, stop = alone, np.ones(len(keys))
+        else:
+            both = np.logaddexp(alone, longer)
+            weighted, stop = both + _HALF, np.exp(alone - both)
+        levels.append((keys, place, n0, n1, longer, stop))
+        below = keys
+    return levels, bits
 
 
-def _decisions(byte: Column) -> Column:
-    """The eight (node, bit) of a byte; a node is 1 followed by the bits so far."""
-    def shifted(by: int) -> Column:
-        return F.shiftright(byte, by)
+def _by_context(df: DataFrame) -> DataFrame:
+    return df.repartition("near").sortWithinPartitions("near")
 
-    return F.array(*(
-        F.struct(shifted(8 - j).bitwiseOR(F.lit(1 << j)).alias("node"),
-                 shifted(7 - j).bitwiseAND(F.lit(1)).alias("bit")) for j in range(8)))
 
+def _near(top: int) -> Column:
+    """The last ``top`` bytes of a gram's context."""
+    return F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * top) - 1))
 
-def _tree(grams: DataFrame) -> list[tuple[DataFrame, str]]:
-    """Tables (context, node, n0, n1, stop) per depth: ``stop`` is the share of
-    the context's own estimate, the rest being that of the longer contexts."""
-    exploded = grams.select(
-        F.shiftright("gram", 8).alias("context"), "train",
-        F.explode(_decisions(F.col("gram").bitwiseAND(F.lit(255)))).alias("d"))
-    below = exploded.select(
-        "context", "d.node",
-        F.when(F.col("d.bit") == 0, F.col("train")).otherwise(0).alias("n0"),
-        F.when(F.col("d.bit") == 1, F.col("train")).otherwise(0).alias("n1"),
-        F.lit(0.0).alias("weighted"))
+
+def _tree(grams: DataFrame, depth: int, top: int) -> list[tuple[DataFrame, str]]:
+    """Tables (context, node, n0, n1, stop) per depth up to ``top``: ``stop`` is the
+    share of the context's own estimate, the rest being that of the longer contexts."""
+
+    def deep(batches):
+        for table in _groups(batches, "near"):
+            levels, _ = _deep(table.column("gram").to_numpy(), table.column("train").to_numpy(),
+                              depth, top)
+            keys, _, n0, n1, longer, _ = levels[-1]
+            yield pa.RecordBatch.from_pydict({
+                "context": keys >> 8, "node": keys & 255, "n0": n0.astype(np.int64),
+                "n1": n1.astype(np.int64), "weighted": longer})
+
+    below = _by_context(grams.select(_near(top).alias("near"), "gram", "train")).mapInArrow(
+        deep, "context long, node long, n0 long, n1 long, weighted double")
     levels = []
-    for depth in range(DEPTH, -1, -1):
-        own = F.col("context").bitwiseAND(F.lit((1 << 8 * depth) - 1))
+    for d in range(top, -1, -1):
+        own = F.col("context").bitwiseAND(F.lit((1 << 8 * d) - 1))
         table = below.groupBy(own.alias("context"), "node").agg(
             F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("weighted").alias("longer"))
-        table = table.withColumn("alone", _estimate())
-        if depth == DEPTH:
+        table = table.withColumn("alone", _estimate(F.col("n0").cast("double"), F.col("n1").cast("double")))
+        if d == depth:
             table = table.withColumn("weighted", F.col("alone")).withColumn("stop", F.lit(1.0))
         else:
-            top = F.greatest("alone", "longer")
-            both = top + F.log(F.exp(F.col("alone") - top) + F.exp(F.col("longer") - top))
+            most = F.greatest("alone", "longer")
+            both = most + F.log(F.exp(F.col("alone") - most) + F.exp(F.col("longer") - most))
             table = table.withColumn("weighted", both + _HALF).withColumn(
                 "stop", F.exp(F.col("alone") - both))
         levels.append(materialize(
-            table.select("context", "node", "n0", "n1", "weighted", "stop"), f"tree-{depth}"))
+            table.select("context", "node", "n0", "n1", "weighted", "stop"), f"tree-{d}"))
         below = levels[-1][0].drop("stop")
     return levels[::-1]
 
 
-def _gram_scores(grams: DataFrame, levels: list[DataFrame]) -> DataFrame:
+def _gram_scores(grams: DataFrame, levels: list[DataFrame], depth: int) -> DataFrame:
     """(gram, seen, score): log10 probability of the gram's byte in its context."""
     one = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
     mixed = levels[0].select("context", "node", (F.col("stop") * one).alias("p"),
                              (1 - F.col("stop")).alias("rest"))
-    for depth in range(1, DEPTH + 1):
+    top = len(levels) - 1
+    for d in range(1, top + 1):
         parent = mixed.select(F.col("context").alias("_c"), F.col("node").alias("_n"), "p", "rest")
-        mask = F.lit((1 << 8 * (depth - 1)) - 1)
-        mixed = levels[depth].join(
+        mask = F.lit((1 << 8 * (d - 1)) - 1)
+        mixed = levels[d].join(
             parent, (F.col("context").bitwiseAND(mask) == F.col("_c")) & (F.col("node") == F.col("_n"))
         ).select("context", "node", (F.col("p") + F.col("rest") * F.col("stop") * one).alias("p"),
                  (F.col("rest") * (1 - F.col("stop"))).alias("rest"))
-    exploded = grams.select(
-        "gram", "seen", F.shiftright("gram", 8).alias("context"),
-        F.explode(_decisions(F.col("gram").bitwiseAND(F.lit(255)))).alias("d")).select(
-        "gram", "seen", "context", "d.node", "d.bit")
-    return (
-        exploded.join(mixed, ["context", "node"])
-        .groupBy("gram", "seen")
-        .agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p")))).alias("score"))
-    )
-
 
-def _scan(rows: DataFrame, sent) -> DataFrame:
+    def deep(batches):
+        for table in _groups(batches, "near"):
+            node = table.column("node")
+            mine = table.filter(node.is_null())
+            above = table.filter(node.is_valid())
+            found = mine.column("gram").to_numpy()
+            levels, bits = _deep(found, mine.column("train").to_numpy(), depth, top)
+            # Every decision of the deepest table is there once.
+            order = np.argsort(above.column("near").to_numpy() << 8 | above.column("node").to_numpy())
+            p, rest = (above.column(c).to_numpy()[order] for c in ("p", "rest"))
+            for (_, place, *_), (_, _, n0, n1, _, stop) in zip(levels[:0:-1], levels[-2::-1]):
+                one = (n1 + 0.5) / (n0 + n1 + 1)
+                p, rest = p[place] + rest[place] * stop * one, rest[place] * (1 - stop)
+            p = p[levels[0][1]]
+            score = np.log10(np.where(bits == 1, p, 1 - p)).reshape(-1, 8).sum(1)
+            yield pa.RecordBatch.from_pydict(
+                {"gram": found, "seen": mine.column("seen").to_numpy(), "score": score})
+
+    both = grams.select(_near(top).alias("near"), "gram", "train", "seen").unionByName(
+        mixed.withColumnRenamed("context", "near"), allowMissingColumns=True)
+    return _by_context(both).mapInArrow(deep, "gram long, seen long, score double")
+
+
+def _scan(rows: DataFrame, sent, depth: int) -> DataFrame:
     """One row per document: what the broadcast entries give, and the rest as lists.
 
     ``uid`` numbers the rows of the table this is written to.
@@ -231,7 +305,7 @@ def _scan(rows: DataFrame, sent) -> DataFrame:
         for batch in by_bytes(batches, "text"):
             held = batch.column("text").to_pylist()
             n = len(held)
-            grams, owner = byte_grams(held)
+            grams, owner = byte_grams(held, depth)
             distinct, code = np.unique(grams, return_inverse=True)
             at = np.minimum(np.searchsorted(keys, distinct), max(0, len(keys) - 1))
             known = keys[at] == distinct if len(keys) else np.zeros(len(distinct), bool)
@@ -283,17 +357,22 @@ def score_texts(
     *,
     folds: int = 5,
     fold: int = 1,
+    depth: int = DEPTH,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score (unigram words) and score (context-tree weighting), both log10.
+    ``depth`` is the bytes of context.
     """
+    if not 0 <= depth <= MAX_DEPTH:
+        raise ValueError(f"depth must be 0 to {MAX_DEPTH}")
+    top = min(depth, TABLE_DEPTH)
     spark = docs.sparkSession
     rows = texts(docs, id_col=id_col, text_col=text_col).withColumn(
         "held_out", held_out(F.col("doc_id"), folds, fold))
     counts, count_path = materialize(
-        _counted(rows).groupBy("gram", "word").agg(
+        _counted(rows, depth).groupBy("gram", "word").agg(
             F.sum("train").alias("train"), F.sum("seen").alias("seen")), "counts")
     word_counts = counts.filter("word IS NOT NULL").select("word", "train", "seen")
     n_train, n_distinct, n_tokens = (x or 0 for x in word_counts.agg(
@@ -301,8 +380,8 @@ def score_texts(
     grams = counts.filter("gram IS NOT NULL").select("gram", "train", "seen")
     n_bytes = grams.agg(F.sum("seen")).first()[0] or 0
 
-    tree = _tree(grams)
-    scored, scored_path = materialize(_gram_scores(grams, [t for t, _ in tree]), "gram-scores")
+    tree = _tree(grams, depth, top)
+    scored, scored_path = materialize(_gram_scores(grams, [t for t, _ in tree], depth), "gram-scores")
     unit = n_train + 0.5 * (n_distinct + 1)
     # At most GRAM_SHARE and WORD_SHARE entries can hold such a share each.
     often = scored.filter(F.col("seen") * GRAM_SHARE >= n_bytes).select("gram", "score").toArrow()
@@ -311,7 +390,7 @@ def score_texts(
     sent = spark.sparkContext.broadcast((
         (often.column("gram").to_numpy(), often.column("score").to_numpy()),
         dict(zip(common.column("word").to_pylist(), common.column("train").to_pylist())), unit))
-    found, _ = materialize(_scan(rows, sent), "scores")
+    found, _ = materialize(_scan(rows, sent, depth), "scores")
 
     def rest(column, table, key, value):
         part = found.select("uid", F.explode(column).alias("e")).select("uid", "e.key", "e.n")

@@ -33,6 +33,9 @@ URL_RULES = [
 
 TOKEN_LIMIT = 4096
 
+#: Bytes of context of the language model: a whole word of usual length.
+LM_DEPTH = 6
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
@@ -56,7 +59,8 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context_tree.score_texts(_table(spark, sf_dir, "documents"), folds=5, fold=1)
+    return context_tree.score_texts(
+        _table(spark, sf_dir, "documents"), folds=5, fold=1, depth=LM_DEPTH)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
