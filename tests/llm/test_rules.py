@@ -181,3 +181,41 @@ def test_host_consensus(llm):
         + [(10, "http://h.example/2", "short one"), (11, "http://o.example/", ""), (None, None, WANT),
            (12, "http://o.example/x", ""), (12, "http://o.example/x", "")], key=repr)
     assert html_text.extract_text(pages.limit(0)).collect() == []
+
+
+INNER = {
+    "body": "<div class=body><p>{}</p></div>",
+    "table": "<table><tr><td>{}</td></tr></table>",
+    "list": "<ul><li>{}</li></ul>",
+    "quote": "<blockquote>{}</blockquote>",
+    "section": "<div><section><p>{}</p></section></div>",
+}
+
+
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+@pytest.mark.parametrize("inner", INNER)
+def test_title_and_lead_around_a_long_container(outer, inner):
+    def text(n):
+        long = INNER[inner].format("long text " * n)
+        return (f"<html><body><nav>menu</nav><{outer}><h1>Title</h1><p>lead</p>{long}<p>end</p>"
+                f'<div class="share">Share</div></{outer}><footer>foot</footer></body></html>')
+
+    want = "Title lead " + "long text " * 50 + "end"
+    assert html_text.extract(text(50), None) == want
+    best, _ = html_text.best_container(html_text.parse(text(50)))
+    assert best.path == f">html>body>{outer}"
+    # Two boundaries, one in the other: the text between them is kept as well.
+    both = "<main><h1>Title</h1><article>" + INNER[inner].format("long text " * 50) + "</article></main>"
+    assert html_text.extract(both, None) == "Title " + ("long text " * 50).strip()
+
+
+def test_host_path_is_only_part_of_a_page(llm):
+    """A host's narrow path does not cut the pages that hold more around it."""
+    def html(rest, n):
+        return f"<body><nav>menu</nav><article>{rest}<div class=body><p>{'text ' * n}</p></div></article></body>"
+
+    rows = [(i, "http://h.example/1", html("", 200)) for i in range(5)]
+    rows += [(9, "http://h.example/2", html("<h1>Title</h1><table><tr><td>" + "cell " * 90 + "</td></tr></table>", 5))]
+    got = html_text.extract_text(llm.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {
+        **{i: ("text " * 200).strip() for i in range(5)}, 9: "Title " + "cell " * 90 + ("text " * 5).strip()}

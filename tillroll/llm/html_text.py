@@ -1,9 +1,11 @@
 """Main text of web pages by consensus host paths.
 
 Pages of one host share a layout.  Each page is parsed once for the container
-that holds its text, and that container's path of tags and generalised classes
-is a vote for the host, weighted by the text in it.  Spark adds up the votes;
-every page is then read again under its host's winning path.  A page without an
+that holds its text: the deepest with most of it, widened to the ancestor, up to
+article, main or body, that holds all text around it.  That container's path of
+tags and generalised classes is a vote for the host, weighted by the text in it.
+Spark adds up the votes; every page is then read again under its host's winning
+path, widened likewise where this page has text around it.  A page without an
 element on that path falls back on its own best container.
 
 Votes are summed per task before the shuffle, so a hot host costs no more than
@@ -144,21 +146,42 @@ def parse(html: str) -> list[tuple[_Element, str, bool]]:
             link = False
 
 
-def best_container(pieces) -> tuple[_Element | None, int]:
-    """The deepest container with four fifths of the text that is in no link."""
+def text_sizes(pieces) -> dict[_Element, int]:
+    """Characters of text that is in no link, of every container that holds any."""
     held: dict[_Element, int] = {}
     for element, text, link in pieces:
         size = 0 if link else len(text.strip())
         while size and element is not None:
             held[element] = held.get(element, 0) + size
             element = element.parent
+    return held
+
+
+def widened(element: _Element, held: dict[_Element, int]) -> _Element:
+    """The lowest ancestor, or the element, with all text up to article, main or body.
+
+    That is the outermost article or main around it; body, or what stands for it
+    in a page without one, where there is neither.  Chrome is not in ``held``.
+    """
+    chain = [element]
+    while chain[-1].parent is not None:
+        chain.append(chain[-1].parent)
+    bounds = [i for i, e in enumerate(chain) if e.tag in ("article", "main")] or [
+        i for i, e in enumerate(chain) if e.tag == "body"] or [len(chain) - 1]
+    most = held.get(chain[bounds[-1]], 0)
+    return next(e for e in chain if held.get(e, 0) == most)
+
+
+def best_container(pieces) -> tuple[_Element | None, int]:
+    """The deepest container with four fifths of the text that is in no link, widened."""
+    held = text_sizes(pieces)
     if not held:
         return None, 0
     total = max(held.values())
     # Along a chain of ancestors the deepest has the longest path; four fifths
     # can be held by one chain only.
     rich = [e for e, n in held.items() if 5 * n >= 4 * total]
-    best = max(rich, key=lambda e: e.path.count(">"))
+    best = widened(max(rich, key=lambda e: e.path.count(">")), held)
     return best, held[best]
 
 
@@ -176,8 +199,11 @@ def text_under(pieces, inside) -> str:
 
 def extract(html: str, path: str | None) -> str:
     pieces = parse(html)
-    if path is not None and any(e.path == path for e, _, _ in pieces):
-        return text_under(pieces, lambda e: e.path == path)
+    on_path = {e for e, _, _ in pieces if e.path == path and not e.chrome}
+    if on_path:
+        held = text_sizes(pieces)
+        wide = {widened(e, held) for e in on_path}
+        return text_under(pieces, lambda e: e in wide)
     best, _ = best_container(pieces)
     return text_under(pieces, lambda e: e is best) if best else ""
 
