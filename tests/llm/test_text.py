@@ -200,3 +200,14 @@ def test_query_sees_whole_words(llm, tmp_path):
     held = [x.score for x in got if x.held_out]
     # A hundred free choices of one bit; blind to the first byte it is 200.
     assert held and all(-140 < x / math.log10(2) < -95 for x in held)
+
+
+def test_short_items_are_searched_on_word_boundaries(llm):
+    docs = [(1, "What is 2 + 2?  It is four"), (2, "thefourth"), (3, "four"), (4, "fou r, faur"),
+            (5, "我住在东京吗"), (6, "f(x)=four."), (7, "xwhat is 2 + 2?"), (8, None)]
+    items = [(1, "WHAT is\n2 + 2?"), (2, "four"), (3, "东京"), (4, ""), (5, None), (6, " "), (2, "Four")]
+    tests = llm.createDataFrame(items, "item_id long, text string")
+    want = [(1, 1, 0, 0)] + [(d, 2, 0, 0) for d in (1, 1, 3, 3, 6, 6)] + [(5, 3, 0, 0)]
+    same(decontaminate.find_items(frame(llm, docs), tests).collect(), want)
+    clean = decontaminate.decontaminate(frame(llm, docs), tests).collect()
+    assert sorted(r.doc_id for r in clean) == [2, 4, 7, 8]

@@ -10,14 +10,16 @@ Items and documents are compared in lower case with white space runs as one
 space.  The items are a stated query set: they are read in blocks of bounded
 bytes, one automaton each, and the documents are never shuffled.
 
-Defined results: null and empty texts match nothing; an item shorter than
-``min_chars`` is not searched (its few letters occur in clean text as well).
+Defined results: null and empty texts match nothing.  The few letters of an item
+shorter than ``min_chars`` occur inside other words of clean text as well: such
+an item has no edits to spend and counts only between word boundaries.
 Repeated documents and items are reported row by row.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -31,7 +33,7 @@ from tillroll.llm.common import by_bytes, texts
 #: Edits allowed, as a share of the item's characters.
 ERROR_RATE = 0.08
 
-#: Shortest item, in normalized characters.
+#: Shortest item that may be edited or lie within a word, in normalized characters.
 MIN_CHARS = 32
 
 #: Bytes of item text in one block, and so in one broadcast.
@@ -42,6 +44,17 @@ def normalize(text: str) -> str:
     return " ".join(text.lower().split())
 
 
+#: A letter or digit of a script that parts words; Thai to Khmer and Chinese to
+#: Japanese are written without spaces, so any place in them may be a boundary.
+_WORD = re.compile(r"(?![\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])\w")
+
+
+def on_boundaries(text: str, start: int, end: int) -> bool:
+    """Whether neither end of ``text[start:end]`` lies within a word."""
+    return not any(0 < i < len(text) and _WORD.match(text[i - 1]) and _WORD.match(text[i])
+                   for i in (start, end))
+
+
 def budget(item: str, error_rate: float) -> int:
     return int(len(item) * error_rate)
 
@@ -85,8 +98,10 @@ def best_distance(pattern: str, text: str) -> int:
 class Matcher:
     """The automaton of one block of items."""
 
-    def __init__(self, items: list[tuple[object, str]], error_rate: float):
-        self.items = [(key, text, budget(text, error_rate)) for key, text in items]
+    def __init__(self, items: list[tuple[object, str]], error_rate: float, min_chars: int):
+        self.min_chars = min_chars
+        self.items = [(key, text, budget(text, error_rate) if len(text) >= min_chars else 0)
+                      for key, text in items]
         places: dict[str, list[tuple[int, int]]] = {}
         for n, (_, text, edits) in enumerate(self.items):
             for at, piece in cut_pieces(text, edits + 1):
@@ -103,9 +118,15 @@ class Matcher:
             return
         text = normalize(text)
         starts: dict[int, list[int]] = {}
+        short: set[int] = set()
         for end, places in self.automaton.iter(text):
             for n, at in places:
-                starts.setdefault(n, []).append(end - at)
+                if len(self.items[n][1]) >= self.min_chars:
+                    starts.setdefault(n, []).append(end - at)
+                elif n not in short and on_boundaries(text, end - at, end + 1):
+                    short.add(n)
+        for n in short:
+            yield self.items[n][0], 0, 0
         for n, found in starts.items():
             key, item, edits = self.items[n]
             best = edits + 1
@@ -140,9 +161,9 @@ def _blocks(items: DataFrame, id_col: str, text_col: str, error_rate: float, min
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
     for k in range(count):
         held = [(r.item_id, normalize(r.text)) for r in rows.filter(block == k).toLocalIterator()]
-        held = [(key, text) for key, text in held if len(text) >= min_chars]
+        held = [(key, text) for key, text in held if text]
         # The automaton is built where it is used: items are smaller to send.
-        yield items.sparkSession.sparkContext.broadcast((held, error_rate))
+        yield items.sparkSession.sparkContext.broadcast((held, error_rate, min_chars))
 
 
 _built: list = [None, None]
