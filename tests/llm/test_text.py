@@ -211,3 +211,19 @@ def test_short_items_are_searched_on_word_boundaries(llm):
     same(decontaminate.find_items(frame(llm, docs), tests).collect(), want)
     clean = decontaminate.decontaminate(frame(llm, docs), tests).collect()
     assert sorted(r.doc_id for r in clean) == [2, 4, 7, 8]
+
+
+def test_item_blocks_are_bounded(llm, monkeypatch):
+    """Repeated items are sent once, and no block holds more than its bytes."""
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)
+    sent = []
+    real = type(llm.sparkContext).broadcast
+    monkeypatch.setattr(type(llm.sparkContext), "broadcast",
+                        lambda sc, value: sent.append(value[0]) or real(sc, value))
+    items = [(i, "the same item again and again") for i in range(30)] + [
+        (100 + i, f"item number {i} of the others") for i in range(20)] + [(200, "long " * 50)]
+    docs = frame(llm, [(1, "x The same  item again and again y"), (2, "none")])
+    found = decontaminate.find_items(docs, llm.createDataFrame(items, "item_id long, text string"))
+    same(found.collect(), [(1, i, 0, 0) for i in range(30)])
+    assert sum(map(len, sent)) == 22
+    assert all(len(b) == 1 or sum(len(t.encode()) for _, t in b) <= 100 for b in sent)

@@ -7,8 +7,10 @@ the place where the item would have to be.  There Myers' bit-parallel search
 gives the exact edit distance, and the item counts if it is within its budget.
 
 Items and documents are compared in lower case with white space runs as one
-space.  The items are a stated query set: they are read in blocks of bounded
-bytes, one automaton each, and the documents are never shuffled.
+space.  The items are a stated query set: equal ones are made one, and
+they are read in blocks, one automaton each.  A block holds BLOCK_BYTES at most,
+or a single longer item.  The item ids are joined to the hits; the documents are
+never shuffled.
 
 Defined results: null and empty texts match nothing.  The few letters of an item
 shorter than ``min_chars`` occur inside other words of clean text as well: such
@@ -152,18 +154,48 @@ def _merge(starts: list[int], gap: int) -> Iterator[tuple[int, int]]:
     yield low, high
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, error_rate: float, min_chars: int):
-    """Broadcast matchers, each of about BLOCK_BYTES of item text."""
-    rows = items.select(F.col(id_col).alias("item_id"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def _normalized(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(item_id, text, key): the normalized items that are not empty, and their digest."""
+    rows = texts(items, id_col=id_col, text_col=text_col).withColumnRenamed("doc_id", "item_id")
+    kind = rows.schema["item_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in by_bytes(batches, "text"):
+            text = [normalize(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("item_id"), pa.array(text, pa.string())], names=["item_id", "text"])
+
+    return rows.mapInArrow(run, f"item_id {kind}, text string").filter("text != ''").withColumn(
+        "key", F.sha2("text", 256))
+
+
+def pack(rows: Iterator[tuple[str, str]], limit: int) -> Iterator[list[tuple[str, str]]]:
+    """Lists of (key, text) with at most ``limit`` bytes of text, or one longer item."""
+    block, held = [], 0
+    for key, text in rows:
+        size = len(text.encode())
+        if block and held + size > limit:
+            yield block
+            block, held = [], 0
+        block.append((key, text))
+        held += size
+    if block:
+        yield block
+
+
+def _blocks(items: DataFrame, error_rate: float, min_chars: int):
+    """Broadcast items, each of them once, in blocks of at most BLOCK_BYTES."""
+    rows = items.select("key", "text").dropDuplicates(["key"])
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(1, math.ceil(size / BLOCK_BYTES))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    for k in range(count):
-        held = [(r.item_id, normalize(r.text)) for r in rows.filter(block == k).toLocalIterator()]
-        held = [(key, text) for key, text in held if text]
+    # The driver reads a partition at a time.
+    rows = rows.repartition(max(1, math.ceil(size / BLOCK_BYTES)))
+    empty = True
+    for block in pack(((r.key, r.text) for r in rows.toLocalIterator()), BLOCK_BYTES):
+        empty = False
         # The automaton is built where it is used: items are smaller to send.
-        yield items.sparkSession.sparkContext.broadcast((held, error_rate, min_chars))
+        yield items.sparkSession.sparkContext.broadcast((block, error_rate, min_chars))
+    if empty:
+        yield items.sparkSession.sparkContext.broadcast(([], error_rate, min_chars))
 
 
 _built: list = [None, None]
@@ -189,9 +221,9 @@ def find_items(
 ) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, distance, budget."""
     rows = texts(docs, id_col=id_col, text_col=text_col)
-    kinds = (rows.schema["doc_id"].dataType.simpleString(),
-             items.schema[item_id_col].dataType.simpleString())
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, distance int, budget int"
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, key string, distance int, budget int"
+    named = _normalized(items, item_id_col, item_text_col)
 
     def search(sent):
         def run(batches):
@@ -206,14 +238,15 @@ def find_items(
                 if found:
                     item, distance, most = zip(*found)
                     yield pa.RecordBatch.from_arrays(
-                        [keys.take(pa.array(owner)), pa.array(item),
+                        [keys.take(pa.array(owner)), pa.array(item, pa.string()),
                          pa.array(distance, pa.int32()), pa.array(most, pa.int32())],
-                        names=["doc_id", "item_id", "distance", "budget"])
+                        names=["doc_id", "key", "distance", "budget"])
 
         return rows.mapInArrow(run, schema)
 
-    return reduce(DataFrame.union, (
-        search(b) for b in _blocks(items, item_id_col, item_text_col, error_rate, min_chars)))
+    hits = reduce(DataFrame.union, (search(b) for b in _blocks(named, error_rate, min_chars)))
+    return hits.join(named.select("key", "item_id"), "key").select(
+        "doc_id", "item_id", "distance", "budget")
 
 
 def decontaminate(
@@ -237,6 +270,7 @@ def decontaminate(
 
         return held.mapInArrow(run, held.schema)
 
-    for sent in _blocks(items, item_id_col, item_text_col, error_rate, min_chars):
+    named = _normalized(items, item_id_col, item_text_col)
+    for sent in _blocks(named, error_rate, min_chars):
         docs = clean(docs, sent)
     return docs
