@@ -28,6 +28,10 @@ COLUMNS = {
     "op8_html_extraction": ["page_id", "url", "text", "n_chars"],
     "op9_benchmark_decontamination": ["doc_id", "item_id", "distance", "budget"],
     "op10_byte_level_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op11_source_divergence": ["lang", "source", "part", "item", "value", "rank"],
+    "op12_embedding_near_dedup": ["vec_id", "n_links", "component_id", "kept"],
+    "op13_conversation_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal",
+                                 "cost", "audit", "repaired_sha256"],
 }
 
 
@@ -48,8 +52,8 @@ def sha(data):
 def test_columns_and_rows(results, name):
     rows = results[name]
     assert set(COLUMNS[name]) <= set(rows[0].__fields__)
-    if "op9" not in name:
-        of = "pages" if "page_id" in COLUMNS[name] else "documents"
+    of = {"doc_id": "documents", "page_id": "pages", "vec_id": "embeddings"}.get(COLUMNS[name][0])
+    if of and "op9" not in name:
         assert len(rows) == len(table(of))
 
 
@@ -61,7 +65,7 @@ def test_all_are_registered():
 @pytest.mark.parametrize("name", queries.ORACLE_SQL)
 def test_oracle(results, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     cur = con.execute(queries.ORACLE_SQL[name])
     names = [d[0] for d in cur.description]

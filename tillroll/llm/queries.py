@@ -1,7 +1,7 @@
 """The registered queries: each applies one operator to its whole table.
 
 The digest columns asked for are derived here from the operators' outputs;
-``ORACLE_SQL`` holds DuckDB SQL for those that SQL can express.
+``ORACLE_SQL`` holds DuckDB SQL for those that SQL can express (module ``sql``).
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from tillroll.llm import (
     bpe,
     context_tree,
+    conversations,
     decontaminate,
+    divergence,
     html_text,
     quality,
     simhash,
@@ -20,8 +22,10 @@ from tillroll.llm import (
     suffix_dedup,
     token_counts,
     url_filter,
+    vector_dedup,
 )
 from tillroll.llm.common import ship
+from tillroll.llm.sql import ORACLE_SQL  # noqa: F401
 
 #: (verdict, host/path)
 URL_RULES = [
@@ -111,6 +115,39 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_dedup.vector_links(_table(spark, sf_dir, "embeddings"), threshold=0.93)
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def damaged_conversations(rows: DataFrame) -> DataFrame:
+    """The conversations with the damage that the repair is asked to mend.
+
+    A dropped row stays as one that is not ``present``, so that its conversation
+    is known.
+    """
+    space = F.lit(" ")
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")))
+    damage = F.crc32(key.cast("binary")) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    return rows.select(
+        "conv_id", "turn",
+        F.when(damage == 4, "user").otherwise(role).alias("role"),
+        F.when(damage == 1, "").when(damage == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        (damage != 0).alias("present"),
+        F.explode(F.when(damage == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    ).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit_conversations(
+        damaged_conversations(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_url_filter": op2_url_filter,
@@ -122,25 +159,7 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_byte_level_bpe": op10_byte_level_bpe,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_embedding_near_dedup": op12_embedding_near_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
-
-_URL_SQL = """
-WITH cut AS (
-  SELECT page_id,
-         translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1),
-                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) AS path
-  FROM pages),
-fit AS (
-  SELECT *, CASE
-    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
-    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
-    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
-    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
-  FROM cut)
-SELECT page_id, host, path, rule,
-       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
-FROM fit
-"""
-
-ORACLE_SQL = {"op2_url_filter": _URL_SQL}
