@@ -1,5 +1,8 @@
 """The driver contract: entry, queries and their oracles agree (sf0.001)."""
 
+import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -8,7 +11,7 @@ import __spark_entry__ as entry
 
 from conftest import SF_SMALL
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "conversations"]
 
 
 def test_entry_runs(spark):
@@ -16,6 +19,20 @@ def test_entry_runs(spark):
     assert df.count() > 0 and df.columns[0] == "category"
 
 
+def test_a_missing_library_leaves_the_reports(tmp_path):
+    """The reports stay when a library of the training-data operators is absent."""
+    code = """
+import sys, warnings
+sys.modules["ahocorasick"] = sys.modules["tillroll.llm"] = None
+with warnings.catch_warnings(record=True) as said:
+    warnings.simplefilter("always")
+    import __spark_entry__ as e
+assert "sales_by_category" in e.queries() and not e.LLM_QUERIES
+assert any("training-data" in str(w.message) for w in said)
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(entry.__file__))
+
+
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert not {q for q in entry.queries() if q not in entry.LLM_QUERIES} - set(entry.oracle_sql())

@@ -49,3 +49,43 @@ def test_refunds_in_the_report(spark):
     df = txn(spark, [{"transaction_id": i, "category": "A", "total_amount": a, "discount_pct": 5}
                      for i, a in enumerate([-1.5, -2.5, -10.0])])
     assert report.sales_by_category(df).collect() == [("A", 3, -14.0, -4.67, 5.0)]
+
+
+def _all_forms(spark, df):
+    """The average discount of each category, by every form that computes it."""
+    from tillroll.plans.onepass import grouped_sales, one_pass
+    from tillroll.plans.tuned import tuned_report
+
+    plain = {r.category: r.avg_discount for r in report.sales_by_category(df).collect()}
+    with one_pass(df) as res:
+        shared = {r.category: r.avg_discount for r in res["sales_by_category"].collect()}
+    long = {r.member: r.avg_discount for r in grouped_sales(df).filter("dimension = 'category'").collect()}
+    tops = [{r.category: r.avg_discount for r in f.collect()} for f in (
+        report.top_products_with_discount(df), report.top_products_with_lookup(df))]
+    with tuned_report(df, storage="cache", one_pass_groups=True) as t:
+        tops.append({r.category: r.avg_discount for r in t.top_products().collect()})
+    return [plain, shared, long, *tops]
+
+
+def test_large_groups_are_rounded_once(spark):
+    """5,000 hundredths over 10,001 rows is just under half a hundredth."""
+    ids = spark.range(10_001).repartition(7)
+    df = ids.selectExpr(
+        "id AS transaction_id", "DATE'2022-01-01' AS date", "'A' AS category", "'p' AS product_name",
+        "1 AS quantity", "1D AS unit_price", "IF(id < 5000, 0.01D, 0D) AS discount_pct", "1D AS total_amount",
+        "'N' AS region", "30 AS customer_age", "'Cash' AS payment_method")
+    for got in _all_forms(spark, df):
+        assert got == {"A": 0.0}
+
+
+def test_random_large_groups(spark):
+    r = random.Random(5)
+    data = [(i, r.choice("AB"), r.randint(-10**7, 10**7) / 10**6) for i in range(20_000)]
+    df = spark.createDataFrame(data, "transaction_id long, category string, discount_pct double").selectExpr(
+        "transaction_id", "DATE'2022-01-01' AS date", "category", "'p' AS product_name", "1 AS quantity",
+        "1D AS unit_price", "discount_pct", "1D AS total_amount", "'N' AS region", "30 AS customer_age",
+        "'Cash' AS payment_method")
+    own = {c: [Fraction(str(v)) for _, k, v in data if k == c] for c in "AB"}
+    want = {c: half_away(sum(v) / len(v), 2) for c, v in own.items()}
+    for got in _all_forms(spark, df):
+        assert got == want

@@ -11,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from helpers import txn
-from tillroll.operators import report
+from tillroll.operators import compare, report
 from tillroll.plans.onepass import grouped_sales
 from tillroll.plans.oracle import STEP_SQL
 
@@ -25,6 +25,12 @@ STEPS = {
     "payment_analysis": report.payment_analysis,
     "window_ranking": report.window_ranking,
     "grouped_sales": grouped_sales,
+    "year_over_year": compare.year_over_year,
+    "category_month_grid": compare.category_month_grid,
+    "payment_day_grid": compare.payment_day_grid,
+    "daily_sales": compare.daily_sales,
+    "payment_summary": compare.payment_summary,
+    "column_types": report.column_types,
 }
 MONEY = {"total_revenue", "avg_transaction", "avg_discount", "revenue", "avg_age",
          "avg_spend", "total_spend", "avg_amount", "total_amount"}

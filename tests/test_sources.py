@@ -101,3 +101,38 @@ def test_one_file_is_for_small_results(spark, tmp_path, monkeypatch):
     with pytest.raises(ValueError, match="many files"):
         sinks.write_csv(spark.range(11), str(tmp_path / "x"), single_file=True)
     sinks.write_csv(spark.range(10), str(tmp_path / "x"), single_file=True)
+
+
+def test_one_file_is_written_in_one_run(spark, tmp_path):
+    from tillroll.sources.sinks import write_json
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    for write, sort in ((write_csv, ["id"]), (write_csv, None), (write_json, None)):
+        seen.value = 0
+        more = {"sort_by": sort} if write is write_csv else {}
+        write(spark.range(100).mapInPandas(counted, "id long"), str(tmp_path / "o"), single_file=True, **more)
+        assert seen.value == 100
+        assert len([p for p in (tmp_path / "o").iterdir() if p.name.startswith("part-")]) == 1
+
+
+def test_csv_files_of_different_headers(spark, tmp_path):
+    from tillroll.sources.transactions import read_folders
+
+    line = ",2023-05-06,A,p,3,1.5,20,3.6,North,44,Cash\n"
+    swapped = HEADER.replace("quantity", "?").replace("discount_pct", "quantity").replace("?", "discount_pct")
+    (tmp_path / "a.csv").write_text(HEADER + "\n1" + line)
+    (tmp_path / "b.csv").write_text(swapped + "\n2" + line)
+    for read in (lambda p: read_transactions(spark, p).select("quantity").collect(),
+                 lambda p: read_transactions(spark, p, strict=True).collect(),
+                 lambda p: report.sales_by_category(read_transactions(spark, p)).collect(),
+                 lambda p: bad_cells(spark, p).collect()):
+        with pytest.raises(Exception, match="header"):
+            read(str(tmp_path))
+    both = read_folders(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+    assert sorted(rows(both.select("transaction_id", "quantity", "discount_pct"))) == [(1, 3, 20), (2, 20, 3)]

@@ -99,3 +99,23 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
     sc = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf, getCheckpointDir=lambda: None)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_root(SimpleNamespace(conf=conf, sparkContext=sc))
+
+
+def test_cached_frames_live_as_long_as_the_result(spark):
+    import gc
+
+    from tillroll.plans.registry import QUERIES
+
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    held = lambda: len(spark.sparkContext._jsc.getPersistentRDDs()) - before
+    df = QUERIES["cached_top_products"](spark, SF_SMALL)
+    first = rows(df)
+    assert held() == 2
+    assert "ResolvedHint (strategy=broadcast)" in df._jdf.queryExecution().analyzed().toString()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("InMemoryTableScan") >= 2 and "BroadcastHashJoin" in plan
+    later = df.orderBy("product_name", "category")
+    del df
+    gc.collect()
+    assert held() == 0
+    assert sorted(rows(later)) == sorted(first)

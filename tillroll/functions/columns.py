@@ -81,8 +81,16 @@ def exact_avg(values: Column | str, digits: int = 2) -> Column:
 
 
 def quotient(total: Column, n: Column, digits: int = 2) -> Column:
-    """An exact sum over a count, rounded; NULL for no values."""
-    return rounded(total / F.nullif(n, F.lit(0)), digits)
+    """An exact sum over a count, rounded half away from zero; NULL for no values.
+
+    A decimal division keeps as few as six digits and rounding its result would
+    round twice.  So the rounded quotient is taken as a whole number instead:
+    ``floor(|total| * 10^digits / n + 1/2)``, over one common denominator.
+    """
+    n = F.nullif(n, F.lit(0)).cast("decimal(19,0)")
+    size = F.abs(total).cast("decimal(30,6)") * F.lit(2 * 10**digits).cast("decimal(6,0)")
+    whole = F.call_function("div", size + n, n * F.lit(2).cast("decimal(1,0)"))
+    return F.signum(total) * whole / F.lit(10.0**digits)
 
 
 def rounded(value: Column, digits: int) -> Column:

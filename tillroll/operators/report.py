@@ -354,8 +354,11 @@ def table_head(df: DataFrame, n: int = 3) -> DataFrame:
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    """(position, column_name, data_type) of the table's columns."""
-    return df.sparkSession.createDataFrame(
-        [(i, c, t) for i, (c, t) in enumerate(df.dtypes)],
-        "position int, column_name string, data_type string",
-    )
+    """(position, column_name, data_type, non_null) of the table's columns.
+
+    The values are counted in one pass, and the one row of counts is unfolded.
+    """
+    counts = df.agg(*(F.count(F.col(c)).alias(str(i)) for i, c in enumerate(df.columns)))
+    told = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(t).alias("data_type"),
+                     F.col(str(i)).alias("non_null")) for i, (c, t) in enumerate(df.dtypes)]
+    return counts.select(F.inline(F.array(*told))).orderBy("position")

@@ -23,6 +23,7 @@ shuffles every column; available through ``partitions`` when measured to help).
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -106,6 +107,22 @@ def materialize(
     raise ValueError(f"unknown storage {storage!r}")
 
 
+def held_while(result: DataFrame, *frames: DataFrame) -> DataFrame:
+    """``result``, with the persisted ``frames`` it reads from kept as long as it is.
+
+    When the caller lets go of ``result`` the frames are unpersisted.  A plan
+    made from it that runs later still gives the same rows; it computes them anew.
+    """
+    weakref.finalize(result, _unpersist, frames)
+    return result
+
+
+def _unpersist(frames: tuple[DataFrame, ...]) -> None:
+    for frame in frames:
+        if frame.sparkSession.getActiveSession() is not None:  # not when all has ended
+            frame.unpersist()
+
+
 @contextmanager
 def tuned_report(
     df: DataFrame,

@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+from tillroll.session import delete_path, scratch_path
 
 
 # Rows that may go into one file, and so through one task.
 MAX_SINGLE_FILE_ROWS = 1_000_000
 
 
-def _one_partition(df: DataFrame, sort_by: list[str] | None) -> DataFrame:
-    # One output file is only sensible for small results (aggregates).  A
-    # sorted file is sorted inside its single partition.
-    df = _guarded(df)
-    if sort_by:
-        return df.repartition(1).sortWithinPartitions(*sort_by)
-    return df.coalesce(1)
+def _write_one(df: DataFrame, path: str, sort_by: list[str] | None, mode: str, write: Callable) -> None:
+    """Write ``df`` as one file, which is only sensible for small results.
 
-
-def _guarded(df: DataFrame) -> DataFrame:
-    n = df.limit(MAX_SINGLE_FILE_ROWS + 1).count()
-    if n > MAX_SINGLE_FILE_ROWS:
+    One run: the rows are counted as they are written, and no more than one
+    beyond the limit gets that far.  Too many are an error, after which ``path``
+    is empty.  A sorted file is sorted inside its single partition.
+    """
+    few = df.limit(MAX_SINGLE_FILE_ROWS + 1)
+    one = few.repartition(1).sortWithinPartitions(*sort_by) if sort_by else few.coalesce(1)
+    seen = Observation()
+    write(one.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode))
+    if seen.get["rows"] > MAX_SINGLE_FILE_ROWS:
+        delete_path(df.sparkSession, path)
         raise ValueError(f"more than {MAX_SINGLE_FILE_ROWS} rows for one file; write many files")
-    return df
 
 
 def write_csv(
@@ -38,8 +43,11 @@ def write_csv(
     meant for small aggregates; leave it off for large frames so every task
     writes its own part file in parallel.
     """
-    out = _one_partition(df, sort_by) if single_file else df
-    out.write.mode(mode).option("header", True).csv(path)
+    write = lambda w: w.option("header", True).csv(path)
+    if single_file:
+        _write_one(df, path, sort_by, mode, write)
+    else:
+        write(df.write.mode(mode))
     return path
 
 
@@ -47,8 +55,11 @@ def write_json(
     df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite"
 ) -> str:
     """Write ``df`` as JSON lines (nested columns kept)."""
-    out = _one_partition(df, None) if single_file else df
-    out.write.mode(mode).json(path)
+    write = lambda w: w.json(path)
+    if single_file:
+        _write_one(df, path, None, mode, write)
+    else:
+        write(df.write.mode(mode))
     return path
 
 
@@ -64,3 +75,14 @@ def write_parquet(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For an aggregate that one result needs several times: the input is read
+    once, and a lost executor costs a re-read.  It is deleted when the session
+    ends.
+    """
+    path = write_parquet(df, scratch_path(df.sparkSession, name))
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ data the checks and the benchmark run on.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +29,16 @@ def read_transactions(
     CSV columns are found by the names in the header, in any order, and cast to
     the declared types; schema inference costs a full extra pass over the file,
     so it is opt-in.  A cell that does not fit its type becomes NULL, or fails
-    the job when ``strict``; ``bad_cells`` counts such rows.
+    the job when ``strict``; ``bad_cells`` counts such rows.  Files of one
+    folder must have the same header: each task compares its file's with the
+    first one's and fails the job where they differ, rather than misread it.
+    Folders of different headers are read apart (``read_folders``).
     """
     reader = spark.read
     if fmt == "csv":
         if infer_schema:
             return reader.csv(path, header=True, inferSchema=True)
-        raw = reader.csv(path, header=True)
-        _check_header(raw)
+        raw = _raw_csv(spark, path)
         cast = "cast" if strict else "try_cast"
         return raw.select([
             F.expr(f"{cast}(`{f.name}` AS {f.dataType.simpleString()})").alias(f.name)
@@ -48,16 +51,25 @@ def read_transactions(
     raise ValueError(f"unknown format {fmt!r}")
 
 
-def _check_header(raw: DataFrame) -> None:
-    missing = [f.name for f in TRANSACTIONS.fields if f.name not in raw.columns]
+def read_folders(spark: SparkSession, paths: list[str], **options) -> DataFrame:
+    """The rows of several inputs, each read by its own header."""
+    parts = [read_transactions(spark, p, **options) for p in paths]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _raw_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text, named by the header that every file must have."""
+    first = spark.read.csv(path, header=True)
+    missing = [f.name for f in TRANSACTIONS.fields if f.name not in first.columns]
     if missing:
         raise ValueError(f"the header lacks {', '.join(missing)}")
+    # A task compares the names of the columns it parses, in each file it opens.
+    return spark.read.schema(first.schema).options(header=True, enforceSchema=False).csv(path)
 
 
 def bad_cells(spark: SparkSession, path: str) -> DataFrame:
     """One row: rows of the CSV, and rows with a cell that does not fit its type."""
-    raw = spark.read.csv(path, header=True)
-    _check_header(raw)
+    raw = _raw_csv(spark, path)
     bad = F.lit(False)
     for f in TRANSACTIONS.fields:
         typed = F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})")
