@@ -158,3 +158,18 @@ def test_keep_one_of_each_group(llm):
     assert got.columns == df.columns
     same([(r.doc_id, r.text) for r in got.collect()],
          [(3, near), (8, "other words here now"), (None, "only null ids"), (6, "")])
+
+
+def test_rows_with_one_id_and_one_short_hash(llm):  # noqa: F811
+    """Texts under one null id are told apart even if their 32-bit hashes agree."""
+    from pyspark.sql import functions as F
+
+    base = "the passage that occurs in both of the documents and a good deal longer than the window "
+    texts = llm.range(300_000).select(F.concat(F.lit(base), F.col("id").cast("string"), F.repeat(F.lit("x"), (
+        F.col("id") % 50).cast("int"))).alias("text")).withColumn("h", F.hash("text"))
+    pair = texts.groupBy("h").agg(F.collect_set("text").alias("t")).filter(F.size("t") > 1).first().t
+    docs = [(None, t) for t in pair] + [(5, None)]
+    same([tuple(r) for r in suffix_dedup.suffix_dedup(frame(llm, docs), depth=40).collect()],
+         [(d, n, m, s, bytearray(k)) for d, n, m, s, k in removed_bytes(docs, 40)])
+    kept = simhash.keep_one(frame(llm, docs), width=3, max_bits=2).collect()
+    assert {r.text for r in kept} <= {*pair, None}

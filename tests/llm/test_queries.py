@@ -169,7 +169,11 @@ def test_pipeline_against_brute_force(llm, tmp_path):
         want.add((d, len(ids), sha(",".join(map(str, ids)).encode()), sha(t.encode())))
     assert 10 < len(want) < len(docs) - 5
     got = corpus_pipeline.run(llm, str(tmp_path)).collect()
-    assert len(got) == len(want) and {tuple(x) for x in got} == want
+    assert len(got) == len(want)
+    assert {(x.doc_id, x.n_tokens, x.ids_sha256, x.decoded_sha256) for x in got} == want
+    left = dict(clean)
+    for x in got:
+        assert x.text == left[x.doc_id] and own.decode(x.ids) == x.text and x["key"] == "k"
 
 
 def test_stages_keep_the_columns(llm):

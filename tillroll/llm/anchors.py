@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import apart, by_bytes
+from tillroll.llm.common import apart, by_bytes, text_id
 
 #: Odd multipliers of the polynomials (fixed values).
 _GRAM_BASE, _TEXT_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -130,13 +130,13 @@ def word_symbols(batch_texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return Substrings(data).hashes(starts, stops), np.searchsorted(starts, text_ends)
 
 
-RUN_FIELDS = "tid int, start int, n int, offset int, key long, content long"
+RUN_FIELDS = "tid binary, start int, n int, offset int, key long, content long"
 
 
 def runs(rows: DataFrame, symbols: Callable, depth: int, gram: int) -> DataFrame:
     """(doc_id, RUN_FIELDS) of every run of ``rows`` (doc_id, text).
 
-    ``tid`` is a hash of the text: it tells rows with one doc_id apart.
+    ``tid`` is the text's :func:`text_id`: it tells rows with one doc_id apart.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -150,7 +150,7 @@ def runs(rows: DataFrame, symbols: Callable, depth: int, gram: int) -> DataFrame
                  *(pa.array(found[k].view(np.int64)) for k in ("key", "content"))],
                 names=["doc_id", "tid", "start", "n", "offset", "key", "content"])
 
-    return rows.withColumn("tid", F.hash("text")).mapInArrow(scan, f"doc_id {kind}, {RUN_FIELDS}")
+    return rows.withColumn("tid", text_id(F.col("text"))).mapInArrow(scan, f"doc_id {kind}, {RUN_FIELDS}")
 
 
 def in_groups(rows: DataFrame, groups: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
@@ -166,7 +166,7 @@ def in_groups(rows: DataFrame, groups: DataFrame, *keys: str, how: str = "inner"
 
 def with_texts(rows: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
     """``rows`` (doc_id, text) joined with one row per document (doc_id, tid, ...)."""
-    left = rows.withColumn("tid", F.hash("text"))
+    left = rows.withColumn("tid", text_id(F.col("text")))
     right = per_doc.withColumnsRenamed({"doc_id": "_d", "tid": "_t"})
     return left.join(
         right, (F.col("tid") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")), how,

@@ -32,8 +32,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import texts
-
 #: Bytes of text whose distinct words are encoded together.
 BLOCK_BYTES = 8 << 20
 
@@ -66,14 +64,19 @@ def _class_ranges(kind: str) -> str:
     """
     import tiktoken
 
-    every = "".join(map(chr, (*range(0x870, 0xD800), *range(0xE000, 0x110000))))
     single = tiktoken.Encoding(
         "class", pat_str=kind, mergeable_ranks={bytes([i]): i for i in range(256)},
         special_tokens={})
-    points = np.array(list(map(ord, bytes(single.encode_ordinary(every)).decode())))
-    first = points[np.r_[True, np.diff(points) > 1]]
-    last = points[np.r_[np.diff(points) > 1, True]]
-    return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in zip(first.tolist(), last.tolist()))
+    ranges: list[list[int]] = []
+    for low in range(0x870, 0x110000, 1 << 12):  # a few thousand points at a time
+        some = "".join(chr(c) for c in range(low, min(low + (1 << 12), 0x110000))
+                       if not 0xD800 <= c < 0xE000)
+        for c in map(ord, bytes(single.encode_ordinary(some)).decode()):
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+    return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges)
 
 
 @lru_cache(maxsize=4)
@@ -169,8 +172,8 @@ def _blocks(batches, limit: int, ranks: dict[bytes, int]):
         coded = coded.combine_chunks().dictionary_encode()
         ends = np.cumsum([0, *(n for x in lists for n in pc.list_value_length(x).to_pylist())])
         index = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), coded.indices)
-        ids = pa.concat_arrays([b.column("doc_id") for b in held])
-        docs = pa.StructArray.from_arrays([ids, index], names=["doc_id", "index"])
+        ids, rest = (pa.concat_arrays([b.column(c) for b in held]) for c in ("doc_id", "rest"))
+        docs = pa.StructArray.from_arrays([ids, rest, index], names=["doc_id", "rest", "index"])
         words = coded.dictionary
         long = pc.greater(pc.binary_length(words), LONG_WORD)
         ids = [merge_with_heap(w.encode(), ranks) if far else None
@@ -205,29 +208,38 @@ def bpe_encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     block_bytes: int = BLOCK_BYTES,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per document: doc_id, ids (array<int>)."""
+    """One row per document: doc_id, ids (array<int>), and the columns ``keep``."""
     if any(bytes([b]) not in ranks for b in range(256)):
         raise ValueError("a byte-level vocabulary has a rank for every byte")
-    rows = texts(docs, id_col=id_col, text_col=text_col)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    words = rows.select("doc_id", F.regexp_extract_all(
-        "text", F.lit(java_pattern(pattern)), F.lit(0)).alias("words"))
+    words = docs.select(
+        docs[id_col].alias("doc_id"), F.struct(F.lit(0).alias("_"), *(docs[c] for c in keep)).alias("rest"),
+        F.regexp_extract_all(
+            F.coalesce(docs[text_col], F.lit("")), F.lit(java_pattern(pattern)), F.lit(0)).alias("words"))
+    kind, rest = (words.schema[c].dataType.simpleString() for c in ("doc_id", "rest"))
     sent = docs.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary file's bounded size
     blocks = words.mapInArrow(
         lambda batches: _blocks(batches, block_bytes, sent.value),
-        f"docs array<struct<doc_id: {kind}, index: array<int>>>, "
+        f"docs array<struct<doc_id: {kind}, rest: {rest}, index: array<int>>>, "
         "words array<struct<word: string, ids: array<int>>>")
-    table = _rank_table(ranks)
     latin = F.transform("words", lambda w: F.struct(
         F.decode(F.encode(w.word, "UTF-8"), "ISO-8859-1").alias("word"), w.ids.alias("ids")))
-    coded = F.transform(
-        latin, lambda w: F.when(w.ids.isNotNull(), w.ids).otherwise(encode_word(w.word, table)))
-    # One lambda holds the codes, so that they are computed once for a block.
-    whole = F.get(F.transform(F.array(coded), lambda code: F.transform("docs", lambda d: F.struct(
-        d.doc_id.alias("doc_id"),
-        F.flatten(F.transform(d["index"], lambda i: F.get(code, i))).alias("ids")))), F.lit(0))
-    return blocks.select(F.inline(whole))
+
+    def coded(table):
+        return F.transform(
+            latin, lambda w: F.when(w.ids.isNotNull(), w.ids).otherwise(encode_word(w.word, table)))
+
+    def whole(code):
+        return F.transform("docs", lambda d: F.struct(
+            d.doc_id.alias("doc_id"),
+            F.flatten(F.transform(d["index"], lambda i: F.get(code, i))).alias("ids"), d.rest.alias("rest")))
+
+    # A lambda's variable holds the rank table, so that it is in the plan once,
+    # and another the codes, so that they are computed once for a block.
+    codes = F.transform(F.array(_rank_table(ranks)), coded)
+    found = blocks.select(F.inline(F.get(F.transform(codes, whole), F.lit(0))))
+    return found.select("doc_id", "ids", *(F.col("rest")[c].alias(c) for c in keep))
 
 
 def decode_ids(ids: Column, ranks: dict[bytes, int]) -> Column:

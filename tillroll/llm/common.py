@@ -48,6 +48,11 @@ def texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def text_id(text: Column) -> Column:
+    """128 bits of a text (binary), to tell rows apart that share a doc_id."""
+    return F.unhex(F.md5(text))
+
+
 def by_bytes(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES
 ) -> Iterator[pa.RecordBatch]:

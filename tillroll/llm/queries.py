@@ -98,21 +98,38 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-def bpe_round_trip(docs: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the ids and of the bytes they decode to."""
+def bpe_round_trip(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_tokens, SHA-256 of the ids and of the bytes they decode to, ids,
+    the text they decode to, and the columns ``keep``."""
     import public_tokenizers
 
     ranks = bpe.read_ranks(_tokenizer("byte_bpe_multi_50k.tiktoken"))
-    coded = bpe.bpe_encode(docs, ranks, public_tokenizers.PATTERN)
-    return coded.select(
+    coded = bpe.bpe_encode(docs, ranks, public_tokenizers.PATTERN, keep=keep)
+    back = F.transform(F.array(bpe.decode_ids(F.col("ids"), ranks)), lambda raw: F.struct(
+        F.sha2(raw, 256).alias("sha256"), F.decode(raw, "UTF-8").alias("text")))
+    return coded.withColumn("_back", F.get(back, F.lit(0))).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode_ids(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+        F.col("_back.sha256").alias("decoded_sha256"), "ids", F.col("_back.text").alias("text"), *keep)
+
+
+#: Columns that the encoding adds; the documents' own of these names give way.
+CODED = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+
+
+def token_ids(docs: DataFrame) -> DataFrame:
+    """The documents with their token ids: all their columns, and CODED.
+
+    ``text`` is what the ids decode to: an empty string for a null.
+    """
+    keep = tuple(c for c in docs.columns if c not in ("doc_id", "text", *CODED))
+    own = [c for c in docs.columns if c not in CODED]
+    return bpe_round_trip(docs, keep).select(*(F.col(f"`{c}`") for c in own), *CODED)
 
 
 def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_round_trip(_table(spark, sf_dir, "documents"))
+    return bpe_round_trip(_table(spark, sf_dir, "documents")).drop("ids", "text")
 
 
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import apart, arrow_map, materialize, release, texts
+from tillroll.llm.common import apart, arrow_map, materialize, release, text_id, texts
 from tillroll.llm.components import components
 
 SEED = 42
@@ -59,8 +59,8 @@ def fingerprint(text: str, width: int) -> int:
 
 def fingerprints(docs: DataFrame, width: int = 3, *, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """(doc_id, tid, fp): the fingerprint as a signed long; tid is a hash of the text."""
-    rows = texts(docs, id_col=id_col, text_col=text_col).withColumn("tid", F.hash("text"))
+    """(doc_id, tid, fp): the fingerprint as a signed long; tid is the text's 128 bits."""
+    rows = texts(docs, id_col=id_col, text_col=text_col).withColumn("tid", text_id(F.col("text")))
 
     def hashed(batch):
         found = [fingerprint(t, width) for t in batch.column("text").to_pylist()]
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, width: int = 3, *, id_col: str = "doc_id",
                 "fp": np.array(found, np.uint64).view(np.int64)}
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return arrow_map(rows, "text", hashed, f"doc_id {kind}, tid int, fp long")
+    return arrow_map(rows, "text", hashed, f"doc_id {kind}, tid binary, fp long")
 
 
 def _halves(fp: Column) -> list[Column]:
@@ -189,7 +189,7 @@ def simhash_components(
 def keep_one(docs: DataFrame, *, width: int = 3, max_bits: int = 3) -> DataFrame:
     """One document of each component, with all columns: that of the smallest id.
 
-    Of rows with one id, that of the smallest text hash; of repeated rows, one.
+    Of rows with one id, that of the smallest text_id; of repeated rows, one.
     """
     groups = simhash_components(docs, width=width, max_bits=max_bits)
     # A null id sorts last, so it stays only where its component has no other.
@@ -198,7 +198,7 @@ def keep_one(docs: DataFrame, *, width: int = 3, max_bits: int = 3) -> DataFrame
                          F.when(F.col("component_id").isNull(), F.col("fp")).alias("f"))
     chosen = one.agg(F.min(pick).alias("one")).select(
         F.col("one.doc_id").alias("_keep_id"), F.col("one.tid").alias("_keep_text")).distinct()
-    row = docs.select("doc_id", F.hash(F.coalesce("text", F.lit(""))).alias("_tid"),
+    row = docs.select("doc_id", text_id(F.coalesce("text", F.lit(""))).alias("_tid"),
                       F.struct("*").alias("_row"))
     kept = row.join(
         chosen, (F.col("_tid") == F.col("_keep_text")) & F.col("doc_id").eqNullSafe(F.col("_keep_id")),

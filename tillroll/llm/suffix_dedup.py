@@ -99,7 +99,7 @@ def _contexts(rows: DataFrame, groups: DataFrame, depth: int) -> DataFrame:
 
     joined = anchors.with_texts(rows, per_doc, "inner").select("doc_id", "tid", "text", "runs")
     return joined.mapInArrow(
-        cut, f"doc_id {kind}, tid int, key long, start int, offset int, n int, "
+        cut, f"doc_id {kind}, tid binary, key long, start int, offset int, n int, "
              "open boolean, bytes binary").withColumn("run", F.xxhash64("doc_id", "tid", "start"))
 
 
@@ -174,7 +174,7 @@ def _split_windows(runs: DataFrame, depth: int) -> list[tuple[DataFrame, str]]:
 def repeated_spans(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(doc_id, tid, spans) of the documents with repeated windows, from (doc_id, text).
 
-    Spans may overlap; ``tid`` is the hash of the text.
+    Spans may overlap; ``tid`` tells rows of one doc_id apart.
     """
     spark = rows.sparkSession
     found, found_path = _candidates(rows, depth)
