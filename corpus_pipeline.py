@@ -39,9 +39,9 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, encoded and decoded again."""
+    """What is left with its token ids, encoded and decoded again."""
     ship(spark)
-    return queries.bpe_round_trip(docs)
+    return queries.token_ids(docs)
 
 
 STAGES = [
