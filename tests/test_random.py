@@ -30,7 +30,6 @@ STEPS = {
     "payment_day_grid": compare.payment_day_grid,
     "daily_sales": compare.daily_sales,
     "payment_summary": compare.payment_summary,
-    "column_types": report.column_types,
 }
 MONEY = {"total_revenue", "avg_transaction", "avg_discount", "revenue", "avg_age",
          "avg_spend", "total_spend", "avg_amount", "total_amount"}
