@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_helpers import frame, llm, make_docs, same  # noqa: F401
-from tillroll.llm import bpe, context_tree, decontaminate, queries
+from tillroll.llm import bpe, context_tree, decontaminate, html_text, queries
 
 
 def edit_search(pattern, text):
@@ -227,3 +227,49 @@ def test_item_blocks_are_bounded(llm, monkeypatch):
     same(found.collect(), [(1, i, 0, 0) for i in range(30)])
     assert sum(map(len, sent)) == 22
     assert all(len(b) == 1 or sum(len(t.encode()) for _, t in b) <= 100 for b in sent)
+
+
+PROSE = "<p>" + "A paragraph of the article, with text enough to count. " * 6 + "</p>"
+
+
+@pytest.mark.parametrize("page,first", [
+    ('<svg class="i"/><article><h1>Title</h1>{}</article>', "Title A"),
+    ("<form><nav><a>Home</a> Menu</nav><article><h1>Title</h1>{}</article><footer>foot</footer></form>", "Title A"),
+    ('<form action="/"><div id="c"><h1>Title</h1>{}</div><footer>foot</footer></form>', "Title A"),
+    ("<header>Site</header><article><header><h1>Title</h1></header>{}</article>", "Title A"),
+    ('<article><div class="post-header"><h1>Title</h1></div>{}<div class="share-buttons">Share</div></article>', "Title A"),
+    ('<article><header><a>One</a> <a>Two</a></header>{}<div class="comments"><p>Nice!</p></div></article>', "A"),
+    ('<article><h1>Title</h1><section class="market-share">{}</section><aside>Also</aside></article>', "Title A"),
+    ('<article><img alt="a > b" src=x><h1>Title</h1>{}</article><div class="sidebar-left">x</div>', "Title A"),
+])
+def test_html_keeps_the_whole_article(page, first):
+    text = html_text.extract(f"<html><body>{page.format(PROSE)}</body></html>", None)
+    assert text.startswith(first + " paragraph") and text.endswith("to count.") and text.count("count") == 6
+
+
+@pytest.mark.parametrize("part", ["<a ", '<a "', '<a ">', "<a '\">", "<", "<!--", "<svg ", "<script>", "<form><p>x", "<div>t", "</div>"])
+def test_html_broken_markup_takes_linear_time(part):
+    import time
+
+    took = []
+    for size in (1 << 16, 1 << 20):
+        start = time.perf_counter()
+        html_text.extract(part * (size // len(part)) + ">", None)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 60 * took[0] + 1
+
+
+def test_html_large_host_table_is_joined_by_salts(llm, monkeypatch):  # noqa: F811
+    rows = [(i, f"http://h{i % 3}.org/x", f"<body><div class='c{i % 2}'>{PROSE} {i}</div></body>") for i in range(12)]
+    rows += [(None, None, None), (5, "", ""), (5, "", "")]
+    df = llm.createDataFrame(rows, "page_id long, url string, html string")
+    whole = html_text.extract_text(df).collect()
+    monkeypatch.setattr(html_text, "MAX_BROADCAST_BYTES", -1)
+    same(html_text.extract_text(df).collect(), whole)
+    assert len(whole) == len(rows) and sum(bool(r.text) for r in whole) == 12
+
+
+def test_html_is_not_shuffled_for_few_hosts(llm):  # noqa: F811
+    df = llm.createDataFrame([(1, "http://a.b/", f"<body>{PROSE}</body>")], "page_id long, url string, html string")
+    plan = html_text.extract_text(df)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan

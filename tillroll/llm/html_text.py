@@ -9,8 +9,14 @@ path, widened likewise where this page has text around it.  A page without an
 element on that path falls back on its own best container.
 
 Votes are summed per task before the shuffle, so a hot host costs no more than
-another.  For the join with the winners, pages are dealt by host and a salt, and
-each winner, one short row per host, is repeated for every salt.
+another.  The winners, one short row per host, are written to the shared folder;
+if they are few bytes they are broadcast and no page is shuffled.  Else pages are
+dealt by host and a salt, and each winner is repeated for every salt.
+
+Chrome is what its tag, role or name says, with three exceptions: a container
+that wraps the page (a form around everything) is none; a header within an
+article or main is the article's own, unless most of its text is links; and
+within an article a name with other words than plain ones is a name of content.
 
 Defined results: null or empty html gives an empty text.  A URL without a host
 votes among the other such pages.  Repeated rows are extracted row by row;
@@ -26,17 +32,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import by_bytes
+from tillroll.llm.common import by_bytes, materialize
 from tillroll.llm.url_filter import host_path
+from tillroll.operators.joins import MAX_BROADCAST_BYTES, planned_bytes
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>""",
-    re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_ATTRS = re.compile(r"""(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>""")
 _ATTR = re.compile(
     r"""\b(class|id|role|style|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
-#: Tasks over which the pages of one host are spread.
+#: Characters within which a tag's quotes must close, else it ends at the next ``>``.
+_WINDOW = 1 << 14
+
+#: Nested containers beyond which a path grows no longer.
+_DEEP = 256
+
+#: Tasks over which the pages of one host are spread where winners are not broadcast.
 _SALTS = 32
 
 #: Elements whose content is not markup, or never article text.
@@ -67,41 +78,86 @@ _MENTIONS = frozenset("with without has no".split())
 #: Elements that names alone never make chrome.
 _CORE_TAGS = frozenset("html body main article".split())
 
+#: Words that say nothing about what a container holds.
+_PLAIN_WORDS = frozenset(
+    "area bar block body bottom box btn button buttons card cell col column container content entry "
+    "form google grid group heading icon icons inline inner item items label left link links list "
+    "main outer page panel post region right row section site slot space text title top unit user "
+    "users wrap wrapper article story".split())
+#: Names of an article's own header.
+_HEADER_WORDS = frozenset("header masthead banner".split())
+#: Containers that are chrome however much text they hold.
+_NEVER_WRAP = frozenset("nav header footer aside menu dialog".split())
+
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _DIGITS = re.compile(r"\d+")
 _NAME_PART = re.compile(r"[a-z]+")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "parent", "chrome")
+    """A container.  ``mark``: it is chrome itself; ``soft``: only if most of its text
+    is links; ``prose``: it holds paragraphs of its own."""
 
-    def __init__(self, tag, path, parent, chrome):
-        self.tag, self.path, self.parent, self.chrome = tag, path, parent, chrome
+    __slots__ = ("tag", "path", "parent", "depth", "mark", "soft", "prose", "chrome")
 
+    def __init__(self, tag, path, parent, mark, soft=False):
+        self.tag, self.path, self.parent, self.mark, self.soft = tag, path, parent, mark, soft
+        self.depth = parent.depth + 1 if parent else 0
+        self.prose, self.chrome = tag in ("article", "main"), None
 
-def _named_chrome(name: str) -> bool:
-    """Whether one class or id name stands for chrome; camelCase and - _ part words."""
-    words = _NAME_PART.findall(_HUMP.sub(" ", name).lower())
-    return _MENTIONS.isdisjoint(words) and not _CHROME_WORDS.isdisjoint(words)
 
+def _named_chrome(name: str, inside: bool) -> tuple[bool, bool]:
+    """(whether one class or id name stands for chrome, whether only for a header).
 
-def _step(tag: str, attrs: str) -> tuple[str, bool]:
-    """(generalised path step, whether it is chrome) of a start tag."""
-    chrome, classes = tag in _CHROME_TAGS, ""
+    camelCase and - _ part words.  Outside an article one such word suffices;
+    inside, all others must be plain, so that "market-share" is text.
+    """
+    words = _NAME_PART.findall(_HUMP.sub(" ", name).lower())
+    found = _CHROME_WORDS.intersection(words)
+    if not found or not _MENTIONS.isdisjoint(words):
+        return False, False
+    if inside and any(w not in _CHROME_WORDS and w not in _PLAIN_WORDS for w in words):
+        return False, False
+    return True, found <= _HEADER_WORDS
+
+
+def _step(tag: str, attrs: str, inside: bool) -> tuple[str, bool, bool]:
+    """(generalised path step, whether it is chrome, whether it is so as a header
+    within an article) of a start tag."""
+    hard, header, classes = tag in _CHROME_TAGS and tag != "header", tag == "header", ""
     for m in _ATTR.finditer(attrs) if attrs else ():
         kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if kind == "role":
-            chrome = chrome or value.lower() in _CHROME_ROLES
+            hard = hard or value.lower() in _CHROME_ROLES
         elif kind == "style":
-            chrome = chrome or "display:none" in value.lower().replace(" ", "")
+            hard = hard or "display:none" in value.lower().replace(" ", "")
         elif kind == "aria-hidden":
-            chrome = chrome or value.lower() == "true"
+            hard = hard or value.lower() == "true"
         else:
             names = value.split()
-            chrome = chrome or tag not in _CORE_TAGS and any(map(_named_chrome, names))
+            for chrome, only in (_named_chrome(n, inside) for n in names if tag not in _CORE_TAGS):
+                header, hard = header or (chrome and only), hard or (chrome and not only)
             if kind == "class":
                 classes = "".join("." + _DIGITS.sub("#", c.lower()) for c in sorted(names))
-    return tag + classes, chrome
+    return tag + classes, hard or header, inside and not hard
+
+
+def _next_tag(html: str, at: int) -> tuple[int, int, bool, str, str] | None:
+    """(start, stop, is an end tag, name, attributes) of the first tag from ``at``.
+
+    Comments and declarations have no name.  None if no tag ends any more.
+    """
+    while (i := html.find("<", at)) >= 0:
+        if html.startswith(("<!", "<?"), i):
+            mark = "-->" if html.startswith("<!--", i) else ">"
+            stop = html.find(mark, i + 2 * len(mark) - 2)
+            return i, len(html) if stop < 0 else stop + len(mark), False, "", ""
+        if m := _NAME.match(html, i):
+            attrs = _ATTRS.match(html, m.end(), i + _WINDOW)
+            stop = attrs.end() if attrs else html.find(">", m.end()) + 1
+            return (i, stop, bool(m[1]), m[2].lower(), html[m.end():stop - 1]) if stop else None
+        at = i + 1
+    return None
 
 
 def parse(html: str) -> list[tuple[_Element, str, bool]]:
@@ -110,50 +166,99 @@ def parse(html: str) -> list[tuple[_Element, str, bool]]:
     A block's end is a piece of its own with the text ``"\\n"``.
     """
     root = _Element("", "", None, False)
-    here, pieces, at, link = root, [], 0, False
+    here, pieces, at, link, inside = root, [], 0, False, 0
+    open_tags: dict[str, int] = {}
     while True:
-        m = _TOKEN.search(html, at)
-        raw = html[at:m.start()] if m else html[at:]
-        if raw and not here.chrome:
+        found = _next_tag(html, at)
+        raw = html[at:found[0]] if found else html[at:]
+        if raw:
             pieces.append((here, unescape(raw) if "&" in raw else raw, link))
-        if not m:
-            return pieces
-        at = m.end()
-        if not m["tag"]:
+        if not found:
+            break
+        _, at, end, tag, attrs = found
+        if not tag:
             continue
-        tag = m["tag"].lower()
-        if tag in _RAW and not m["end"]:
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*+>", re.I).search(html, at)
-            at = close.end() if close else len(html)
+        if tag in _RAW and not end:
+            if not attrs.endswith("/"):
+                close = re.compile(rf"</{re.escape(tag)}\b[^>]*+>", re.I).search(html, at)
+                at = close.end() if close else len(html)
         elif tag == "a":
-            link = not m["end"]
+            link = not end
         elif tag in _CONTAINERS:
             pieces.append((here, "\n", False))
             link = False
-            if not m["end"]:
-                if not m["attrs"].endswith("/"):
-                    step, chrome = _step(tag, m["attrs"])
-                    here = _Element(tag, f"{here.path}>{step}", here, here.chrome or chrome)
-            else:
-                up = here
-                while up is not root and up.tag != tag:
-                    up = up.parent
-                if up is not root:
-                    here = up.parent
+            if not end:
+                if not attrs.endswith("/"):
+                    step, mark, soft = _step(tag, attrs, inside > 0)
+                    here = _Element(tag, f"{here.path}>{step}" if here.depth < _DEEP else here.path, here, mark, soft)
+                    inside += tag in ("article", "main")
+                    open_tags[tag] = open_tags.get(tag, 0) + 1
+            elif open_tags.get(tag):
+                stop = False
+                while not stop:
+                    stop = here.tag == tag
+                    inside -= here.tag in ("article", "main")
+                    open_tags[here.tag] -= 1
+                    here = here.parent
             pieces.append((here, "\n", False))
         elif tag in _BLOCKS:
             pieces.append((here, "\n", False))
             link = False
+            here.prose = here.prose or tag == "p"
+    _judge(pieces, root)
+    return [p for p in pieces if not p[0].chrome]
+
 
+def _judge(pieces, root: _Element) -> None:
+    """Decide ``chrome`` of every container that holds a piece.
 
-def text_sizes(pieces) -> dict[_Element, int]:
-    """Characters of text that is in no link, of every container that holds any."""
+    A mark is void on a container that wraps the page: one with paragraphs in it
+    and four fifths of all text that is in no link.  A header's mark within an
+    article holds only if most of the text is links.
+    """
+    plain, linked, prose = text_sizes(pieces), text_sizes(pieces, links=True), set()
+    for element, _, _ in pieces:
+        above = element if element.prose else None
+        while above is not None and above not in prose:
+            prose.add(above)
+            above = above.parent
+    total = plain.get(root, 0)
+
+    def marked(e):
+        if not e.mark:
+            return False
+        if e.soft:
+            return linked.get(e, 0) > plain.get(e, 0)
+        return e.tag in _NEVER_WRAP or e not in prose or not 5 * plain.get(e, 0) >= 4 * total > 0
+
+    root.chrome = False
+    for element, _, _ in pieces:
+        chain = []
+        while element.chrome is None:
+            chain.append(element)
+            element = element.parent
+        for e in reversed(chain):
+            e.chrome = e.parent.chrome or marked(e)
+
+
+def text_sizes(pieces, links: bool = False) -> dict[_Element, int]:
+    """Characters of text that is in no link (or in links), of every container that
+    holds any."""
     held: dict[_Element, int] = {}
     for element, text, link in pieces:
-        size = 0 if link else len(text.strip())
-        while size and element is not None:
+        if link == links and (size := len(text.strip())):
             held[element] = held.get(element, 0) + size
-            element = element.parent
+    # From the deepest up, so that each container is added to its parent once.
+    deepest = sorted(held, key=lambda e: e.depth, reverse=True)
+    levels: dict[int, list[_Element]] = {}
+    for e in deepest:
+        levels.setdefault(e.depth, []).append(e)
+    for depth in range(max(levels, default=0), 0, -1):
+        for e in levels.get(depth, ()):
+            if e.parent not in held:
+                held[e.parent] = 0
+                levels.setdefault(depth - 1, []).append(e.parent)
+            held[e.parent] += held[e]
     return held
 
 
@@ -178,10 +283,9 @@ def best_container(pieces) -> tuple[_Element | None, int]:
     if not held:
         return None, 0
     total = max(held.values())
-    # Along a chain of ancestors the deepest has the longest path; four fifths
-    # can be held by one chain only.
+    # Four fifths can be held by one chain of ancestors only.
     rich = [e for e, n in held.items() if 5 * n >= 4 * total]
-    best = widened(max(rich, key=lambda e: e.path.count(">")), held)
+    best = widened(max(rich, key=lambda e: e.depth), held)
     return best, held[best]
 
 
@@ -190,9 +294,13 @@ def text_under(pieces, inside) -> str:
     known: dict[_Element | None, bool] = {None: False}
 
     def within(element):
-        if element not in known:
-            known[element] = inside(element) or within(element.parent)
-        return known[element]
+        chain = []
+        while element not in known:
+            chain.append(element)
+            element = element.parent
+        for e in reversed(chain):
+            known[e] = known[e.parent] or inside(e)
+        return known[chain[0] if chain else element]
 
     return " ".join("".join(text for element, text, _ in pieces if within(element)).split())
 
@@ -230,14 +338,11 @@ def extract_text(
                  pa.array([n for _, n in found], pa.int64())], names=["host", "path", "weight"])
 
     votes = rows.select("host", "html").mapInArrow(vote, "host string, path string, weight long")
-    winners = (
+    winners, _ = materialize(
         votes.filter("path IS NOT NULL")
         .groupBy("host", "path").agg(F.sum("weight").alias("weight"))
         .groupBy("host").agg(F.max(F.struct("weight", "path")).alias("best"))
-        .select(F.col("host").alias("h"), F.col("best.path").alias("path"),
-                F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("s"))
-    )
-    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(_SALTS)).cast("int")
+        .select(F.col("host").alias("h"), F.col("best.path").alias("path")), "host-paths")
 
     def read(batches):
         for batch in by_bytes(batches, "html"):
@@ -247,7 +352,12 @@ def extract_text(
                 [batch.column("page_id"), batch.column("url"), pa.array(found, pa.string())],
                 names=["page_id", "url", "text"])
 
-    routed = rows.withColumn("salt", salt).join(
-        winners, (F.col("host") == F.col("h")) & (F.col("salt") == F.col("s")), "left")
+    if planned_bytes(winners) <= MAX_BROADCAST_BYTES:
+        routed = rows.join(F.broadcast(winners), F.col("host") == F.col("h"), "left")
+    else:
+        salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(_SALTS)).cast("int")
+        each = winners.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        routed = rows.withColumn("salt", salt).join(
+            each, (F.col("host") == F.col("h")) & (F.col("salt") == F.col("s")), "left")
     return routed.select("page_id", "url", "html", "path").mapInArrow(
         read, f"page_id {kind}, url string, text string")
