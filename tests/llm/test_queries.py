@@ -123,7 +123,7 @@ def test_op9_finds_all_whole_items(results):
 def test_op3_learns(results):
     held = [r for r in results["op3_lm_scoring"] if r.held_out]
     assert held and sum(r.score for r in held) < 0
-    assert sum(r.score for r in held) > 0.9 * sum(r.base_score for r in held) * 2
+    assert sum(r.score for r in held) > 1.13 * sum(r.base_score for r in held)  # 1.116 when measured
 
 
 def test_pipeline_against_brute_force(llm, tmp_path):

@@ -1,5 +1,6 @@
 """Decontamination, byte-level BPE and language-model scoring."""
 
+import functools
 import math
 import random
 import re
@@ -113,7 +114,7 @@ def test_bpe_refuses_a_vocabulary_without_all_bytes(llm):
         bpe.bpe_encode(frame(llm, []), {b"a": 0}, ".")
 
 
-def brute_scores(docs):
+def brute_scores(docs, depth=3):
     def held(d):
         return zlib.crc32(("" if d is None else str(d)).encode()) % 5 == 1
 
@@ -121,27 +122,28 @@ def brute_scores(docs):
         return re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()) + [b""]
 
     def decisions(t):
-        raw = bytes(3) + (t or "").encode()
-        for i in range(3, len(raw)):
+        raw = bytes(depth) + (t or "").encode().lower() + b"\xff"
+        for i in range(depth, len(raw)):
             for j in range(8):
-                yield raw[i - 3:i], 1 << j | raw[i] >> 8 - j, raw[i] >> 7 - j & 1
+                yield raw[i - depth:i], 1 << j | raw[i] >> 8 - j, raw[i] >> 7 - j & 1
 
     count, n, longer = Counter(), defaultdict(lambda: [0, 0]), defaultdict(set)
     for d, t in docs:
         if not held(d):
             count.update(tokens(t))
             for context, node, bit in decisions(t):
-                for k in range(4):
-                    n[context[3 - k:], node][bit] += 1
+                for k in range(depth + 1):
+                    n[context[depth - k:], node][bit] += 1
                     if k:
-                        longer[context[4 - k:], node].add(context[3 - k:])
+                        longer[context[depth + 1 - k:], node].add(context[depth - k:])
 
     def alone(key):
         a, b = n[key]
         return math.lgamma(a + .5) + math.lgamma(b + .5) - math.lgamma(a + b + 1) - math.log(math.pi)
 
-    def weighted(key, memo={}):
-        if len(key[0]) == 3:
+    @functools.lru_cache(maxsize=None)
+    def weighted(key):
+        if len(key[0]) == depth:
             return alone(key)
         rest = sum(weighted((c, key[1])) for c in longer[key])
         return math.log(0.5) + max(alone(key), rest) + math.log1p(math.exp(-abs(alone(key) - rest)))
@@ -149,12 +151,12 @@ def brute_scores(docs):
     known = {k: (alone(k), weighted(k)) for k in list(n)}
 
     def one(context, node, k=0):
-        key = context[3 - k:], node
+        key = context[depth - k:], node
         if key not in known:
             return 0.5
         a, b = n[key]
         here = (b + .5) / (a + b + 1)
-        if k == 3:
+        if k == depth:
             return here
         stop = math.exp(math.log(0.5) + known[key][0] - known[key][1])
         return stop * here + (1 - stop) * one(context, node, k + 1)
@@ -177,6 +179,22 @@ def test_scores(llm, monkeypatch, shares):
     same([(*r[:5], round(r[5], 6), round(r[6], 6)) for r in got], brute_scores(docs))
 
 
+def test_scores_at_the_depth_of_the_query(llm):
+    docs = make_docs(4, size=18) + [(400, "ÄB Ab\x0bab"), (401, None)]
+    got = context_tree.score_texts(frame(llm, docs), depth=queries.LM_DEPTH).collect()
+    same([(*r[:5], round(r[5], 6), round(r[6], 6)) for r in got], brute_scores(docs, queries.LM_DEPTH))
+
+
+def test_probabilities_of_all_texts_add_up(llm):
+    """The end is coded, so longer texts are less likely: the sum over all texts of
+    up to two bytes of a two-letter world stays below one, and the empty text's
+    probability is what it was seen to be."""
+    docs = [(0, "a"), (2, "b"), (3, ""), (5, "ab"), (7, None)]
+    got = {(r.doc_id): r.score for r in context_tree.score_texts(frame(llm, docs), depth=2).collect()}
+    assert got[3] == got[7] < 0
+    assert sum(10 ** got[i] for i in (0, 2, 3, 5)) < 1
+
+
 def test_scores_of_nothing(llm):
     assert context_tree.score_texts(frame(llm, [])).collect() == []
 

@@ -1,7 +1,7 @@
 """Language-model scoring by context-tree weighting over bytes.
 
-The model predicts a text's bytes, each as eight binary decisions, in the
-context of the ``depth`` bytes before it.  Every context of every length from 0
+The model predicts a text's bytes (A-Z in lower case) and then its end, each as
+eight binary decisions, in the context of the ``depth`` bytes before it.  Every context of every length from 0
 to ``depth`` has an estimator for every decision (Krichevsky-Trofimov: counts
 plus one half).  Context-tree weighting mixes the estimates of all depths: at
 each context, the share of "stop here" against "look one byte further back" is
@@ -19,7 +19,7 @@ Scoring moves no text.  What occurs at least once in every ``GRAM_SHARE`` bytes
 entries, whatever the corpus.  Everything rarer is listed per document, joined
 with the full tables and added up; a rare key is never a hot one.
 
-Defined results: a null or empty text has one token (the end) and score 0.  A
+Defined results: a null or empty text is its end alone, one token and one byte.  A
 null id counts as the empty string when documents are dealt to training and
 held-out.  Repeated rows are separate documents.  Extra columns are left out.
 """
@@ -54,7 +54,10 @@ _ROWS = 1 << 18
 END = b""
 
 #: Distinct entries that a counting task holds before it passes them on.
-_HELD = 1 << 19
+_HELD = 1 << 20
+
+#: The byte that ends every document: UTF-8 has no such byte.
+_STOP = b"\xff"
 
 _HALF = math.log(0.5)
 
@@ -72,10 +75,11 @@ def tokens(text: str) -> list[bytes]:
 def byte_grams(batch_texts: list[str], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     """(gram of every byte, its document): ``depth`` context bytes, then the byte.
 
-    Before a document's start the context is filled up with zeros.
+    Before a document's start the context is filled up with zeros; its end is
+    coded as one more byte.
     """
     pad = bytes(depth)
-    raw = [pad + t.encode() for t in batch_texts]
+    raw = [pad + t.encode().lower() + _STOP for t in batch_texts]
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
     grams = np.zeros(max(0, len(data) - depth), np.int64)
     for i in range(depth + 1):
@@ -374,14 +378,18 @@ def score_texts(
     counts, count_path = materialize(
         _counted(rows, depth).groupBy("gram", "word").agg(
             F.sum("train").alias("train"), F.sum("seen").alias("seen")), "counts")
-    word_counts = counts.filter("word IS NOT NULL").select("word", "train", "seen")
+    word_counts, _ = materialize(
+        counts.filter("word IS NOT NULL").select("word", "train", "seen"), "word-counts")
     n_train, n_distinct, n_tokens = (x or 0 for x in word_counts.agg(
         F.sum("train"), F.count_if(F.col("train") > 0), F.sum("seen")).first())
     grams = counts.filter("gram IS NOT NULL").select("gram", "train", "seen")
     n_bytes = grams.agg(F.sum("seen")).first()[0] or 0
 
     tree = _tree(grams, depth, top)
-    scored, scored_path = materialize(_gram_scores(grams, [t for t, _ in tree], depth), "gram-scores")
+    scored, _ = materialize(_gram_scores(grams, [t for t, _ in tree], depth), "gram-scores")
+    paths = [count_path, *(path for _, path in tree)]
+    del counts, grams, tree
+    release(spark, *paths)
     unit = n_train + 0.5 * (n_distinct + 1)
     # At most GRAM_SHARE and WORD_SHARE entries can hold such a share each.
     often = scored.filter(F.col("seen") * GRAM_SHARE >= n_bytes).select("gram", "score").toArrow()
@@ -402,7 +410,6 @@ def score_texts(
     word_rest = rest("words", word_counts.select("word", "train"), "word",
                      [F.sum(F.col("n") * unigram).alias("more_base"),
                       F.sum(F.when(F.col("train") > 0, F.col("n")).otherwise(0)).alias("more_known")])
-    release(spark, *(path for _, path in tree))
     zero = F.lit(0)
     return (
         found.drop("grams", "words").join(gram_rest, "uid", "left").join(word_rest, "uid", "left")
