@@ -54,7 +54,7 @@ _ROWS = 1 << 18
 END = b""
 
 #: Distinct entries that a counting task holds before it passes them on.
-_HELD = 1 << 20
+_HELD = 1 << 19
 
 #: The byte that ends every document: UTF-8 has no such byte.
 _STOP = b"\xff"
