@@ -182,8 +182,85 @@ LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
 """
 
+# Bytes as two hex digits each; windows are cut from slices of 600 bytes, since
+# cutting them from a long text would walk it from its start.
+SUFFIX_ARRAY_DEDUP = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+piece AS (
+  SELECT rid, len(h) // 2 AS n, base, h[2 * base + 1:2 * base + 1200] AS part
+  FROM (SELECT rid, h, unnest(generate_series(0, len(h) // 2 - 200, 400)) AS base FROM d)),
+win AS (
+  SELECT rid, base + o AS s, md5(part[2 * o + 1:2 * o + 400]) AS k
+  FROM (SELECT rid, base, part, unnest(generate_series(0, least(399, n - 200 - base))) AS o FROM piece)),
+hit AS (SELECT rid, s FROM (SELECT rid, s, count(*) OVER (PARTITION BY k) AS n FROM win) WHERE n > 1),
+step AS (SELECT rid, s, s - lag(s) OVER (PARTITION BY rid ORDER BY s) <= 200 AS joined FROM hit),
+run AS (
+  SELECT rid, s, count(*) FILTER (joined IS NOT TRUE) OVER (PARTITION BY rid ORDER BY s) AS r FROM step),
+span AS (SELECT rid, min(s) AS a, max(s) + 200 AS b FROM run GROUP BY rid, r),
+gap AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS f FROM span),
+cut AS (
+  SELECT rid, sum(b - a) AS n_removed, count(*) AS n_spans,
+         string_agg(h[2 * f + 1:2 * a], '' ORDER BY a) || any_value(h)[2 * max(b) + 1:] AS body
+  FROM gap JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(body, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (rid)
+"""
+
+# Repeats of 3 and of 10 words by grouping windows; the longest repeat by
+# doubling, then halving, over the positions whose windows still repeat.
+QUALITY_RULES = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+win AS (
+  SELECT rid, width, s, md5(array_to_string(words[s:s + width - 1], ' ')) AS k
+  FROM (SELECT rid, words, width, unnest(generate_series(1, len(words) - width + 1)) AS s
+        FROM d, (VALUES (3), (10)) w(width))),
+hit AS (
+  SELECT rid, width, s FROM (
+    SELECT rid, width, s, count(*) OVER (PARTITION BY rid, width, k) AS n FROM win) WHERE n > 1),
+cover AS (
+  SELECT rid, sum(own) FILTER (width = 3) AS three, sum(own) FILTER (width = 10) AS ten
+  FROM (SELECT rid, width,
+               least(width, coalesce(lead(s) OVER (PARTITION BY rid, width ORDER BY s) - s, width)) AS own
+        FROM hit) GROUP BY rid),
+search AS (
+  SELECT rid, unnest(generate_series(1, len(words))) AS s, 0::BIGINT AS lo, NULL::BIGINT AS hi FROM d
+  UNION ALL
+  SELECT rid, s, CASE WHEN twice THEN mid ELSE lo END, CASE WHEN twice THEN hi ELSE mid END
+  FROM (
+    SELECT *, bool_or(n > 1) OVER (PARTITION BY rid) AS twice
+    FROM (
+      SELECT *, CASE WHEN k IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY rid, k) END AS n
+      FROM (
+        SELECT rid, s, lo, hi, mid,
+               CASE WHEN s + mid <= len(words) + 1 THEN md5(array_to_string(words[s:s + mid - 1], ' ')) END AS k
+        FROM (SELECT *, CASE WHEN hi IS NULL THEN greatest(1, 2 * lo) ELSE (lo + hi) // 2 END AS mid
+              FROM search WHERE hi IS NULL OR hi - lo > 1) JOIN d USING (rid))))
+  WHERE n > 1 OR NOT twice),
+longest AS (SELECT rid, max(lo) AS n FROM search GROUP BY rid),
+told AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         CAST(coalesce(three, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(ten, 0) AS BIGINT) AS covered_words, coalesce(longest.n, 0) AS longest_repeat
+  FROM d LEFT JOIN longest USING (rid) LEFT JOIN cover USING (rid)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM told)
+SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+       n_repeat_words, covered_words, longest_repeat, base_failed,
+       NOT (base_failed OR 100 * covered_words > 30 * n_words
+            OR (longest_repeat >= 10 AND 100 * longest_repeat > 20 * n_words)) AS kept
+FROM judged
+"""
+
 ORACLE_SQL = {
+    "op1_suffix_array_dedup": SUFFIX_ARRAY_DEDUP,
     "op2_url_filter": URL_FILTER,
+    "op4_quality_rules": QUALITY_RULES,
     "op7_substring_dedup": SUBSTRING_DEDUP,
     "op11_source_divergence": SOURCE_DIVERGENCE,
     "op12_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
