@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tillroll.llm.simhash_sql import SIMHASH_NEAR_DEDUP
+
 URL_FILTER = """
 WITH cut AS (
   SELECT page_id,
@@ -261,6 +263,7 @@ ORACLE_SQL = {
     "op1_suffix_array_dedup": SUFFIX_ARRAY_DEDUP,
     "op2_url_filter": URL_FILTER,
     "op4_quality_rules": QUALITY_RULES,
+    "op6_simhash_near_dedup": SIMHASH_NEAR_DEDUP,
     "op7_substring_dedup": SUBSTRING_DEDUP,
     "op11_source_divergence": SOURCE_DIVERGENCE,
     "op12_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
