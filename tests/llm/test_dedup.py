@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -62,7 +63,7 @@ def removed_words(docs, depth):
     return out
 
 
-@pytest.mark.parametrize("seed,depth,hot", [(3, 20, 1 << 18), (4, 12, 100)])
+@pytest.mark.parametrize("seed,depth,hot", [(3, 20, 1 << 18), (4, 12, 100), (7, 20, 400), (8, 24, 1)])
 def test_substring_dedup(llm, monkeypatch, seed, depth, hot):
     monkeypatch.setattr(substring_dedup, "HOT_WORDS", hot)
     monkeypatch.setattr(substring_dedup, "GROUP_WORDS", 2000)
@@ -71,6 +72,21 @@ def test_substring_dedup(llm, monkeypatch, seed, depth, hot):
          removed_words(docs, depth))
 
 
+def test_suffix_order_and_common_prefixes():
+    r = random.Random(9)
+    runs = [[r.randint(0, 1) for _ in range(n)] for n in (1, 40, 7, 0, 33)] + [[1] * 20] * 2
+    flat = np.array([x for run in runs for x in run])
+    ranks = substring_dedup.suffix_order(flat, np.array([len(x) for x in runs]))
+    ends = [run + [2 + i] for i, run in enumerate(runs)]
+    suffixes = [run[i:] for run in ends for i in range(len(run))]
+    assert np.argsort(ranks[-1]).tolist() == sorted(range(len(suffixes)), key=suffixes.__getitem__)
+    a, b = (np.array([r.randrange(len(suffixes)) for _ in range(2000)]) for _ in "ab")
+    a, b = a[a != b], b[a != b]
+    want = [next(i for i, (x, y) in enumerate(zip(suffixes[p], suffixes[q])) if x != y)
+            for p, q in zip(a, b)]
+    assert substring_dedup.common_prefix(ranks, a, b).tolist() == want
+
+
 def test_substring_dedup_of_nothing(llm):
     assert substring_dedup.substring_dedup(frame(llm, [])).collect() == []
 
