@@ -26,13 +26,30 @@ def removed_bytes(docs, depth):
     return out
 
 
-@pytest.mark.parametrize("seed,depth", [(1, 40), (2, 7)])
-def test_suffix_dedup(llm, seed, depth):
+@pytest.mark.parametrize("seed,depth,hot", [
+    (1, 40, 1 << 21), (2, 7, 1 << 21), (1, 90, 1), (2, 40, 1000), (3, 9, 4000)])
+def test_suffix_dedup(llm, monkeypatch, seed, depth, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", hot)
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 5000)
     docs = make_docs(seed)
     got = suffix_dedup.suffix_dedup(frame(llm, docs), depth).collect()
     same([(r[0], r[1], r[2], r[3], bytes(r[4])) for r in got], removed_bytes(docs, depth))
 
 
+@pytest.mark.parametrize("depth", [1, 7, 8, 9, 20])
+def test_equal_windows(depth):
+    r = random.Random(depth)
+    data = bytes(r.choice(b"a\x00\xff") for _ in range(60)) * 3 + bytes(400)
+    place = np.array([p for p in range(len(data) - depth + 1) if r.random() < 0.8])
+    found, edge = suffix_dedup.equal_windows(np.frombuffer(data, np.uint8), place, depth)
+    windows = [data[p:p + depth] for p in place]
+    count = Counter(windows)
+    got = [windows[i] for i in found]
+    assert got == sorted(w for w in windows if count[w] > 1)
+    assert len(set(found.tolist())) == len(found)
+    assert edge.tolist() == [i for i, w in enumerate(got) if not i or w != got[i - 1]]
+
+
 def test_suffix_dedup_of_nothing(llm):
     assert suffix_dedup.suffix_dedup(frame(llm, [])).collect() == []
 

@@ -6,19 +6,22 @@ no repeat and drops out, and the groups equal through all digits are exactly the
 windows of ``depth`` bytes that occur more than once.  Every byte that such a
 window covers is removed.
 
-A row for each suffix could not be moved, so suffixes travel in runs (see
-``anchors``) and the digits are taken in another order, which a radix sort may:
+A row for each suffix could not be moved, so suffixes travel in runs that share
+an anchor (see ``anchors``); equal windows have equal anchors:
 
-1. the anchor of the window: runs with an anchor of their own drop out;
-2. the whole run: equal runs repeat in all their windows, and go on as one;
-3. for what is left, the windows of a run in blocks of 64, 16, 4 and 1 offsets:
-   the digit is what all windows of a block share.  Blocks that share it with
-   no other drop out, blocks that also agree on all their windows are done, and
-   the others are split for the next pass.
+1. runs with an anchor of their own hold no repeat and drop out;
+2. runs that are equal as a whole repeat in all their windows, and one goes on;
+3. the anchors left are packed into groups that fit a task, and each group's
+   suffixes are radix-sorted, eight bytes a pass from the window's start on.
 
-Every pass is an aggregation and joins that can split a hot group; a group is
-never gathered in one task.  Intermediate tables live in the shared folder and
-are deleted when a later one replaces them.
+An anchor with more bytes than a task should hold is split first, in steps, by
+what neighbouring windows share beyond it, and the parts that fit are sorted
+like the others.  The last step is a whole window: all that share it are
+equal, however many, and are counted by an aggregation (two 64-bit hashes
+together).  So a group is never larger than a task holds.
+
+Intermediate tables live in the shared folder and are deleted when a later one
+replaces them.
 
 Defined results: null and empty texts, and texts shorter than ``depth``, lose
 nothing.  A repeated row is a document of its own, so both lose what they share.
@@ -26,10 +29,12 @@ nothing.  A repeated row is a document of its own, so both lose what they share.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +43,15 @@ from tillroll.llm.common import by_bytes, materialize, release, texts
 
 DEPTH = 200
 
+#: Bytes of runs that one task should sort.
+GROUP_BYTES = 1 << 22
+
+#: Bytes of the runs of one anchor beyond which it is split.
+HOT_BYTES = 1 << 21
+
+#: Neighbouring windows whose shared bytes split an anchor, step by step; then one.
+STEPS = (64, 16, 4)
+
 RUN_KEY = ("key", "content", "offset", "n")
 
 
@@ -61,19 +75,21 @@ def _repeated_runs(found: DataFrame, groups: DataFrame, depth: int) -> DataFrame
 
 
 def _contexts(rows: DataFrame, groups: DataFrame, depth: int) -> DataFrame:
-    """(doc_id, tid, key, start, offset, n, open, bytes, run) of one run of each
-    content, for the anchors that have several contents.
+    """(doc_id, tid, key, size, start, offset, n, open, bytes, part) of one run of
+    each content, for the anchors that have several contents.
 
-    ``open`` marks the runs whose windows are still to be decided.  ``run`` is a
-    hash; were two runs to share one, each would look at the other's blocks too,
-    to no effect.  A run of a repeated row comes once for each row, but is never
-    open, and what it shares with itself alone decides nothing.
+    ``open`` marks the runs whose windows are still to be decided, ``size`` is the
+    number of bytes of all runs of a ``part``, here of an anchor.  A run of a
+    repeated row comes once for each row, but is never open, and what it shares
+    with itself alone decides nothing.
     """
-    several = groups.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    left = anchors.in_groups(groups, several, "key", how="left_semi").select(
-        "key", "offset", "n", (F.col("copies") == 1).alias("open"), "one.*")
+    several = groups.groupBy("key").agg(
+        F.count("*").alias("c"), F.sum(F.col("n") + (depth - 1)).alias("size")).filter(
+        "c > 1").select("key", "size")
+    left = anchors.in_groups(groups, several, "key").select(
+        "key", "size", "offset", "n", (F.col("copies") == 1).alias("open"), "one.*")
     per_doc = left.groupBy("doc_id", "tid").agg(
-        F.collect_list(F.struct("key", "start", "offset", "n", "open")).alias("runs"))
+        F.collect_list(F.struct("key", "size", "start", "offset", "n", "open")).alias("runs"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):
@@ -92,83 +108,132 @@ def _contexts(rows: DataFrame, groups: DataFrame, depth: int) -> DataFrame:
             at = pa.array(doc, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(at), batch.column("tid").take(at),
-                 pa.array([r["key"] for r in flat], pa.int64()),
+                 *(pa.array([r[k] for r in flat], pa.int64()) for k in ("key", "size")),
                  *(pa.array([r[k] for r in flat], pa.int32()) for k in ("start", "offset", "n")),
                  pa.array([r["open"] for r in flat], pa.bool_()), pa.array(raw, pa.binary())],
-                names=["doc_id", "tid", "key", "start", "offset", "n", "open", "bytes"])
+                names=["doc_id", "tid", "key", "size", "start", "offset", "n", "open", "bytes"])
 
     joined = anchors.with_texts(rows, per_doc, "inner").select("doc_id", "tid", "text", "runs")
     return joined.mapInArrow(
-        cut, f"doc_id {kind}, tid binary, key long, start int, offset int, n int, "
-             "open boolean, bytes binary").withColumn("run", F.xxhash64("doc_id", "tid", "start"))
-
+        cut, f"doc_id {kind}, tid binary, key long, size long, start int, offset int, n int, "
+             "open boolean, bytes binary").withColumn("part", F.col("key"))
 
-def _hash(low: Column, high: Column) -> Column:
-    """Hash of the bytes [low, high) of a run."""
-    return F.xxhash64(
-        "block", F.substring(F.col("bytes"), low.cast("int") + 1, (high - low).cast("int")))
 
+def equal_windows(data: np.ndarray, place: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of ``depth`` bytes at ``place`` that are equal to another one.
 
-def _pass(runs: DataFrame, blocks: DataFrame | None, width: int, depth: int) -> DataFrame:
-    """(run columns, block, core, whole): the digits of the blocks of one pass.
-
-    ``blocks`` holds the blocks of the pass before that are to be split, or is
-    None for all.  An offset o belongs to block o // width.
+    Returns their indices in ``place``, sorted by the windows' bytes, and where in
+    that order each group of equal ones begins.  A most-significant-digit radix
+    sort: digits are eight bytes, from the window's start on; after each pass,
+    groups of one member drop out, and groups that agree need no sorting.
     """
-    low, high = F.col("offset") - F.col("n") + 1, F.col("offset")
-    if blocks is None:
-        rows = runs.withColumn(
-            "block", F.explode(F.sequence(F.floor(low / width), F.floor(high / width))))
-    else:
-        rows = runs.join(blocks, "run").withColumn(
-            "block", F.explode(F.flatten(F.transform("blocks", lambda b: F.sequence(
-                b * 4, b * 4 + 3))))).filter(
-            (F.col("block") * width <= high) & (F.col("block") * width + (width - 1) >= low))
-    first = F.col("block") * width
-    last = first + (width - 1)
-    # What every window of the block holds, and what they hold together.
-    core = _hash(F.col("offset") - first, F.col("offset") - last + depth)
-    inside = (first >= low) & (last <= high)
-    whole = F.when(inside, _hash(F.col("offset") - last, F.col("offset") - first + depth))
-    return rows.select("doc_id", "tid", "run", "start", "offset", "key", "open", "block",
-                       core.alias("core"), whole.alias("whole"))
-
-
-def _split_windows(runs: DataFrame, depth: int) -> list[tuple[DataFrame, str]]:
-    """Passes 3 and on: tables of the spans of repeated windows of open runs."""
-    spark = runs.sparkSession
-    widths = [4 ** k for k in range(8) if 4 ** k <= max(1, depth // 3)][::-1]
-    spans, blocks, old = [], None, None
-    for width in widths:
-        rows, path = materialize(_pass(runs, blocks, width, depth), "blocks")
-        if old:
-            release(spark, old)
-        first = F.col("block") * width
-        span = [(F.col("start") + F.col("offset") - first - (width - 1)).cast("int").alias("start"),
-                (F.col("start") + F.col("offset") - first + depth).cast("int").alias("stop")]
-        shared = rows.groupBy("core", "key").agg(
-            F.count("*").alias("c")).filter("c > 1").select("core", "key")
-        live = anchors.in_groups(rows, shared, "core", "key", how="left_semi")
-        if width == 1:
-            spans.append(materialize(
-                live.filter("open").select("doc_id", "tid", *span), "spans"))
-            release(spark, path)
+    padded = np.concatenate([data, np.zeros(7, np.uint8)])
+    digits = np.zeros(len(data), np.uint64)
+    for i in range(8):
+        digits = digits << np.uint64(8) | padded[i:i + len(data)]
+    alive, edge = np.arange(len(place)), np.zeros(min(1, len(place)), np.int64)
+    for at in range(0, depth, 8):
+        if not len(alive):
             break
-        agreed = live.filter("whole IS NOT NULL").groupBy("whole", "key").agg(
-            F.count("*").alias("c")).filter("c > 1").select("whole", "key", F.lit(True).alias("done"))
-        judged, judged_path = materialize(
-            anchors.in_groups(live, agreed, "whole", "key", how="left"), "judged")
-        spans.append(materialize(
-            judged.filter("done AND open").select("doc_id", "tid", *span), "spans"))
-        # A block stays while some member of its group is undecided: those done
-        # still are what the others are compared with.
-        undecided = judged.filter("done IS NULL AND open").select("core", "key").distinct()
-        blocks, old = materialize(
-            anchors.in_groups(judged, undecided, "core", "key", how="left_semi")
-            .groupBy("run").agg(F.collect_set("block").alias("blocks")), "split")
-        del rows, shared, live, agreed, judged, undecided
-        release(spark, path, judged_path)
-    return spans
+        digit = digits[place[alive] + at] >> np.uint64(8 * max(0, 8 - (depth - at)))
+        group = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(alive))))
+        mixed = np.logical_or.reduceat(digit != digit[edge][group], edge)
+        todo = np.flatnonzero(mixed[group])
+        order = todo[np.lexsort((digit[todo], group[todo]))]
+        alive[todo], digit[todo] = alive[order], digit[order]
+        edge = np.flatnonzero(np.concatenate(
+            [[True], (group[1:] != group[:-1]) | (digit[1:] != digit[:-1])]))
+        sizes = np.diff(np.append(edge, len(alive)))
+        alive, sizes = alive[np.repeat(sizes > 1, sizes)], sizes[sizes > 1]
+        edge = np.cumsum(sizes) - sizes
+    return alive, edge
+
+
+def _sorted_spans(table: pa.Table, depth: int) -> pa.Table:
+    """(doc_id, tid, start, stop): the repeated windows of the open runs of a group."""
+    raw = table.column("bytes").to_pylist()
+    sizes = np.array([len(r) for r in raw])
+    n = sizes - (depth - 1)
+    run = np.repeat(np.arange(len(n)), n)
+    within = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+    found, _ = equal_windows(np.frombuffer(b"".join(raw), np.uint8),
+                             (np.cumsum(sizes) - sizes)[run] + within, depth)
+    undecided = np.array(table.column("open").to_pylist(), bool)
+    hit = np.sort(found[undecided[run[found]]])
+    # Neighbouring windows of a run make one span.
+    new = np.concatenate([[True], (np.diff(hit) != 1) | (np.diff(run[hit]) != 0)])[:len(hit)]
+    low, high = hit[new], hit[np.concatenate([new[1:], [True]])[:len(hit)]]
+    start = table.column("start").to_numpy()[run] + within
+    return table.select(["doc_id", "tid"]).take(pa.array(run[low])).append_column(
+        "start", pa.array(start[low], pa.int32())).append_column(
+        "stop", pa.array(start[high] + depth, pa.int32()))
+
+
+def _sorted(runs: DataFrame, total: int, depth: int) -> DataFrame:
+    """The spans of :func:`_sorted_spans`, of ``runs`` with ``total`` bytes in all."""
+    kind = runs.schema["doc_id"].dataType.simpleString()
+    groups = F.pmod(F.xxhash64("part"), F.lit(math.ceil(total / GROUP_BYTES)))
+    return runs.select("doc_id", "tid", "start", "open", "bytes", groups.alias("group")).groupBy(
+        "group").applyInArrow(lambda table: _sorted_spans(table, depth),
+                              f"doc_id {kind}, tid binary, start int, stop int")
+
+
+def _longer(runs: DataFrame, width: int, depth: int) -> DataFrame:
+    """``runs`` cut into ``width`` windows or fewer, with a new ``part`` for each.
+
+    Windows are dealt by where in them the anchor is, in blocks of ``width``
+    places; the part is what all windows of a block hold: one window for a width
+    of one.
+    """
+    n = F.length("bytes") - (depth - 1)
+    ahead = F.col("offset") - F.col("block") * width
+    low = F.greatest(F.lit(0), ahead - (width - 1)).cast("int")
+    high = F.least(n - 1, ahead).cast("int")
+    return runs.withColumn("block", F.explode(F.sequence(
+        F.floor((F.col("offset") - n + 1) / width), F.floor(F.col("offset") / width)))).select(
+        "doc_id", "tid", "key", "open", (F.col("start") + low).alias("start"),
+        (F.col("offset") - low).alias("offset"),
+        F.xxhash64("part", "block", F.substring(
+            F.col("bytes"), ahead.cast("int") + 1, F.lit(depth - width + 1))).alias("part"),
+        F.substring(F.col("bytes"), low + 1, high - low + depth).alias("bytes"))
+
+
+def _split(runs: DataFrame, width: int, depth: int) -> DataFrame:
+    """The parts of :func:`_longer` with several members, one open, with their size."""
+    rows = _longer(runs, width, depth)
+    parts = rows.groupBy("part").agg(
+        F.sum(F.length("bytes")).alias("size"), F.count("*").alias("c"),
+        F.bool_or("open").alias("o")).filter("c > 1 AND o").select("part", "size")
+    return anchors.in_groups(rows, parts, "part")
+
+
+def _whole_windows(runs: DataFrame, depth: int) -> DataFrame:
+    """The spans of what only whole windows split."""
+    rows = _longer(runs, 1, depth).drop("bytes")
+    again = rows.groupBy("part", "key").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
+    return anchors.in_groups(
+        rows.filter("open"), again, "part", "key", how="left_semi").select(
+        "doc_id", "tid", "start", (F.col("start") + depth).alias("stop"))
+
+
+def _open_spans(runs: DataFrame, depth: int) -> tuple[list[DataFrame], list[str]]:
+    """Spans (doc_id, tid, start, stop) of repeated windows of open runs, and the
+    tables that they read."""
+    spans, paths = [], []
+    steps = [w for w in STEPS if w < depth]
+    while True:
+        total, hot = runs.agg(
+            F.sum(F.when(F.col("size") <= HOT_BYTES, F.length("bytes"))),
+            F.count_if(F.col("size") > HOT_BYTES)).first()
+        if total:
+            spans.append(_sorted(runs.filter(F.col("size") <= HOT_BYTES), total, depth))
+        if not hot:
+            return spans, paths
+        many = runs.filter(F.col("size") > HOT_BYTES)
+        if not steps:
+            return [*spans, _whole_windows(many, depth)], paths
+        runs, path = materialize(_split(many, steps.pop(0), depth), "longer")
+        paths.append(path)
 
 
 def repeated_spans(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -182,16 +247,17 @@ def repeated_spans(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
         found.groupBy(*RUN_KEY).agg(
             F.count("*").alias("copies"), F.min(F.struct("doc_id", "tid", "start")).alias("one")),
         "groups")
-    spans = [materialize(_repeated_runs(found, groups, depth), "spans")]
+    whole, whole_path = materialize(_repeated_runs(found, groups, depth), "spans")
     runs, run_path = materialize(_contexts(rows, groups, depth), "contexts")
     del found, groups
     release(spark, found_path, group_path)
-    spans += _split_windows(runs, depth)
-    out = spans[0][0]
-    for more, _ in spans[1:]:
+    spans, paths = _open_spans(runs, depth)
+    out = whole
+    for more in spans:
         out = out.union(more)
     done, _ = materialize(anchors.per_document(out), "document-spans")
-    release(spark, run_path, *(path for _, path in spans))
+    del runs, whole, spans, out
+    release(spark, run_path, whole_path, *paths)
     return done
 
 
