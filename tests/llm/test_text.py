@@ -109,6 +109,33 @@ def test_heap_merges_equal_the_fold():
         assert bpe.merge_with_heap(word.encode(), ranks) == own.encode_ordinary(word)
 
 
+def test_fold_is_compiled_and_equals_the_heap(llm):
+    """Made-up vocabularies, whose unions tie and come out of rank order."""
+    r = random.Random(6)
+    for size in (0, 30, 300):
+        pieces = {bytes([b]) for b in range(256)}
+        pieces |= {"".join(r.choice("abc") for _ in range(r.randint(2, 6))).encode() for _ in range(size)}
+        ranks = dict(zip(r.sample(sorted(pieces), len(pieces)), range(len(pieces))))
+        start, union = bpe.pair_table(ranks)
+        for a, left in ranks.items():
+            for b, right in r.sample(sorted(ranks.items()), 40):
+                entry = union[start[left] + right] ^ left << 24
+                assert (entry if entry < bpe._NONE else None) == ranks.get(a + b)
+        docs = [(i, " ".join("".join(r.choice("abcé") for _ in range(r.randint(1, 45))) for _ in range(30)))
+                for i in range(9)] + [(None, None), (9, "")]
+        coded = bpe.bpe_encode(frame(llm, docs), ranks, r"\S+|\s", block_bytes=700, keep=("key",))
+        want = [(d, sum((bpe.merge_with_heap(w.encode(), ranks) if w.encode() not in ranks else [ranks[w.encode()]]
+                         for w in re.findall(r"\S+|\s", t or "")), []), "k") for d, t in docs]
+        same(coded.collect(), want)
+    plan = coded._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
+
+
+def test_bpe_refuses_ranks_that_are_no_ids(llm):
+    with pytest.raises(ValueError):
+        bpe.bpe_encode(frame(llm, []), {bytes([b]): b // 2 for b in range(256)}, ".")
+
+
 def test_bpe_refuses_a_vocabulary_without_all_bytes(llm):
     with pytest.raises(ValueError):
         bpe.bpe_encode(frame(llm, []), {b"a": 0}, ".")

@@ -1,18 +1,20 @@
-"""Byte-level BPE encoding and decoding with Spark's higher-order functions.
+"""Byte-level BPE encoding and decoding with Spark's array functions.
 
 A text is split into words by the tokenizer's pattern, in the JVM.  Documents
 are packed into blocks of bounded bytes, and each block's distinct words are
 encoded once: a fold over the word's bytes merges, step by step, the
 neighbouring pieces whose union has the lowest rank (the leftmost of equals),
-just as the reference algorithm does.  The ranks are one literal in the plan,
-an array of small maps addressed by a hash of the piece, because a Spark map
-is searched from its start.  Decoding concatenates the pieces of the ids.
-
-The fold is quadratic in the word, which is no matter for words; a run of
-letters longer than ``LONG_WORD`` bytes is merged with a heap in the worker that
-packs the block, to the same ids.  Bytes are held as Latin-1 strings, one
-character per byte, which Spark can split, concatenate and look up.  Nothing is
-shuffled.
+just as the reference algorithm does.  The fold's steps are projections one
+after another, without lambdas, whose bodies Spark interprets; these it compiles.
+Pieces are held as their ids.  Which two ids have a union, and its rank, is a table
+of rows laid over one another in an array (``pair_table``), so that a pair costs
+two array accesses; it travels with each block.  A block's words leave the fold
+in their order, the last one with the block's documents, whose ids are then put
+together.  Decoding concatenates the pieces of the ids.
+
+The fold has a step per byte; a word longer than ``LONG_WORD`` bytes is merged with
+a heap in the worker that packs the block, to the same ids, and a word that is a
+piece itself is looked up there.  Nothing is shuffled.
 
 Defined results: a null or empty text has no ids and decodes to nothing.
 Repeated rows and null ids are encoded row by row; other columns are left out.
@@ -28,25 +30,23 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text whose distinct words are encoded together.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 #: White space as the tokenizer's pattern means it (fixed values).
 _SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
 #: Bytes of a word beyond which it is merged with a heap.
-LONG_WORD = 256
+LONG_WORD = 32
 
-_BUCKETS = 1 << 14
-#: Bits for a position below a rank, and what stands for no rank.
-_PLACE = 24
-_LONGEST = (1 << _PLACE) - 1
-_NONE = (2**31 - 1) << _PLACE
-_SEED = 42  # of Spark's xxhash64
+#: A piece in the fold: 24 bits of id, 16 of its place in the word, and above them
+#: the rank of its union with the next one, or ``_NONE``.
+_ID, _PAIR = 24, 40
+_PLACES = (1 << _PAIR - _ID) - 1
+_NONE = 1 << 22
 
 
 @lru_cache(maxsize=2)
@@ -89,51 +89,88 @@ def java_pattern(pattern: str) -> str:
     return pattern.replace(r"\s", f"[{_SPACE}]").replace(r"\S", f"[^{_SPACE}]")
 
 
-def _rank_table(ranks: dict[bytes, int]) -> Column:
-    """The literal: buckets of pieces with their ranks, shifted to leave room for
-    a position."""
-    buckets: list[dict[str, int]] = [{} for _ in range(_BUCKETS)]
-    for piece, rank in ranks.items():
-        text = piece.decode("latin-1")
-        buckets[xxhash.xxh64_intdigest(text.encode(), _SEED) % _BUCKETS][text] = rank << _PLACE
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,long>>")
-
-
-def _rank(table: Column, piece: Column) -> Column:
-    bucket = F.xxhash64(piece).bitwiseAND(F.lit(_BUCKETS - 1)).cast("int")
-    return F.coalesce(F.try_element_at(F.get(table, bucket), piece), F.lit(_NONE))
-
-
-def _with(value: Column, state: Column, body) -> Column:
-    """``body(state, value)``, of the state's type, with the value computed once."""
-    return F.aggregate(F.array(value), state, body)
-
-
-def encode_word(word: Column, table: Column) -> Column:
-    """Ids of one word (a Latin-1 string of its bytes), as array<int>.
+def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(start, union): the pieces ``a`` and ``b`` have a union of rank ``r`` if
+    ``union[start[a] + b]`` is ``a << _ID | r``.
 
-    The fold's state is the array of pieces.  A step ranks all neighbouring
-    pairs; rank and position are one number, so that the smallest is the
-    leftmost pair of the lowest rank.  (Array functions that derive their type
-    anew for each value, such as concat and flatten of arrays, are avoided.)
+    The rows, one per ``a``, are moved against each other until no two entries
+    meet, those with most entries first.
+    """
+    rows: dict[int, list[tuple[int, int]]] = {}
+    for piece, rank in ranks.items():
+        for i in range(1, len(piece)):
+            left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
+            if left is not None and right is not None:
+                rows.setdefault(left, []).append((right, rank))
+    ids = max(ranks.values()) + 2  # and one that stands before and after a word
+    room = 2 * sum(map(len, rows.values())) + 1
+    free = np.ones(room + ids, bool)
+    start, union = np.zeros(ids, np.int64), np.full(room + ids, 1 << 62, np.int64)
+    draw = np.random.default_rng(0)
+    for left, row in sorted(rows.items(), key=lambda r: -len(r[1])):
+        right, rank = np.array(row).T
+        while True:
+            tried = draw.integers(0, room, 64)
+            fits = np.flatnonzero(free[tried[:, None] + right].all(1))
+            if len(fits):
+                break
+            more = room // 64 + 1  # the table grows until the row has a place
+            free, room = np.append(free, np.ones(more, bool)), room + more
+            union = np.append(union, np.full(more, 1 << 62, np.int64))
+        start[left] = tried[fits[0]]
+        union[start[left] + right] = left << _ID | rank
+        free[start[left] + right] = False
+    return start, union
+
+
+def _pieces(ids: np.ndarray, place: np.ndarray, start: np.ndarray, union: np.ndarray) -> np.ndarray:
+    """Pieces of the fold: of each id with the next one."""
+    rank = np.full(len(ids), _NONE, np.int64)
+    entry = union[start[ids[:-1]] + ids[1:]] ^ (ids[:-1] << _ID)
+    rank[:-1] = np.minimum(entry, _NONE)  # entries of other rows differ in the id above the rank
+    return rank << _PAIR | (place & _PLACES) << _ID | ids
+
+
+def fold_words(words: DataFrame, steps: int) -> DataFrame:
+    """``words`` with ``pieces`` (array<long>, between two that have no union with
+    anything) merged ``steps`` times or as long as there are unions; ``start`` and
+    ``union`` are columns as well.
+
+    A rank stands above the place in the word, so the smallest piece is the left
+    one of the leftmost pair of the lowest rank.  A step ranks the two pairs
+    anew that the merged piece is in.
     """
 
-    def merge(pieces, at):
-        left = F.filter(pieces, lambda _, i: i != at + 1)
-        return F.transform(
-            left, lambda x, i: F.when(i == at, F.concat(x, F.get(pieces, i + 1))).otherwise(x))
-
-    def step(pieces, _):
-        pairs = F.zip_with(pieces, F.slice(pieces, 2, _LONGEST), lambda a, b: F.concat(a, b))
-        lowest = F.array_min(F.transform(pairs, lambda x, i: _rank(table, x) + i))
-        return _with(lowest, pieces, lambda p, low: F.when(low >= _NONE, p).otherwise(
-            _with(low.bitwiseAND(F.lit(_LONGEST)).cast("int"), p, merge)))
-
-    chars = F.split(word, "")
-    merged = F.aggregate(F.sequence(F.lit(2), F.greatest(F.char_length(word), F.lit(2))), chars, step)
-    pieces = F.when(_rank(table, word) < _NONE, F.array(word)).otherwise(merged)
-    return F.transform(
-        pieces, lambda x: F.shiftright(_rank(table, x), _PLACE).cast("int"))
+    def long(number):
+        return F.lit(number).cast("long")
+
+    def ranked(left, right):
+        entry = F.get("union", (F.get("start", left.cast("int")) + right).cast("int"))
+        return F.shiftleft(F.least(entry.bitwiseXOR(F.shiftleft(left, _ID)), long(_NONE)), _PAIR)
+
+    def id_of(piece):
+        return piece.bitwiseAND(long((1 << _ID) - 1))
+
+    def below(piece):
+        return piece.bitwiseAND(long((1 << _PAIR) - 1))
+
+    pieces, low = F.col("pieces"), F.col("_low")
+    at = F.array_position(pieces, low).cast("int")  # counts from 1
+    new, before = F.shiftright(low, _PAIR), F.get(pieces, at - 2)
+    place = low.bitwiseAND(long(_PLACES << _ID))
+    merged = F.concat(
+        F.slice(pieces, F.lit(1), at - 2),
+        F.array(ranked(id_of(before), new) + below(before),
+                ranked(new, id_of(F.get(pieces, at + 1))) + place + new),
+        F.slice(pieces, at + 2, F.size(pieces)))
+    rest = [c for c in words.columns if c != "pieces"]
+    for _ in range(steps):
+        # Spark makes a step a method of its own, short enough to be compiled, only if
+        # the step uses all its columns twice; that is why the others are asked for nulls.
+        words = words.select(*rest, "pieces", F.array_min("pieces").alias("_low"))
+        words = words.select(*(F.when(F.col(c).isNotNull(), F.col(c)).alias(c) for c in rest),
+                             F.when(low >= _NONE << _PAIR, pieces).otherwise(merged).alias("pieces"))
+    return words
 
 
 def merge_with_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -162,9 +199,31 @@ def merge_with_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:after[i]]] for i in range(n) if alive[i]]
 
 
-def _blocks(batches, limit: int, ranks: dict[bytes, int]):
-    """Rows (docs, words) of documents as indices into a block's distinct words."""
+def _blocks(batches, limit: int, ranks: dict[bytes, int], table: tuple[np.ndarray, np.ndarray]):
+    """Rows (docs, words, start, union) of documents as indices into a block's
+    distinct words, these as pieces, and the table of pairs."""
     held, size = [], 0
+    alone = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+    around = len(table[0]) - 1
+
+    def pieces(words):
+        known = [[ranks[w]] if w in ranks else merge_with_heap(w, ranks) if len(w) > LONG_WORD else None
+                 for w in words]
+        sizes = np.array([len(w if k is None else k) for w, k in zip(words, known)], np.int64)
+        ends = np.cumsum(sizes + 2)
+        first = ends - sizes - 2
+        ids = np.full(ends[-1], around, np.int64)
+        inner = np.ones(len(ids), bool)
+        inner[first] = inner[ends - 1] = False
+        coded = np.repeat([k is not None for k in known], sizes)
+        row = np.zeros(len(coded), np.int64)
+        row[coded] = [i for k in known if k is not None for i in k]
+        row[~coded] = alone[np.frombuffer(
+            b"".join(w for w, k in zip(words, known) if k is None), np.uint8)]
+        ids[inner] = row
+        place = np.arange(len(ids)) - np.repeat(first, sizes + 2)
+        return pa.ListArray.from_arrays(
+            pa.array(np.append(0, ends), pa.int32()), _pieces(ids, place, *table))
 
     def block():
         lists = [pc.fill_null(b.column("words"), []) for b in held]
@@ -174,16 +233,12 @@ def _blocks(batches, limit: int, ranks: dict[bytes, int]):
         index = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), coded.indices)
         ids, rest = (pa.concat_arrays([b.column(c) for b in held]) for c in ("doc_id", "rest"))
         docs = pa.StructArray.from_arrays([ids, rest, index], names=["doc_id", "rest", "index"])
-        words = coded.dictionary
-        long = pc.greater(pc.binary_length(words), LONG_WORD)
-        ids = [merge_with_heap(w.encode(), ranks) if far else None
-               for w, far in zip(words.to_pylist(), long.to_pylist())] if pc.any(long).as_py() \
-            else [None] * len(words)
-        words = pa.StructArray.from_arrays(
-            [words, pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+        # One more word, so that no block is without.
+        words = pieces([*coded.dictionary.cast(pa.binary()).to_pylist(), b""])
+        parts = [docs, words, *map(pa.array, table)]
         return pa.RecordBatch.from_arrays(
-            [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (docs, words)],
-            names=["docs", "words"])
+            [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in parts],
+            names=["docs", "words", "start", "union"])
 
     for batch in batches:
         sizes = pc.list_flatten(batch.column("words")).nbytes / max(1, batch.num_rows)
@@ -200,6 +255,36 @@ def _blocks(batches, limit: int, ranks: dict[bytes, int]):
         yield block()
 
 
+def _documents(batches):
+    """Rows (doc_id, ids, rest) of documents: a block's words come in order, the
+    last one with its documents."""
+
+    def put_together(words, docs):
+        words = pa.concat_arrays(words)
+        around = np.cumsum(pc.list_value_length(words).to_numpy())
+        inner = np.ones(around[-1], bool)
+        inner[around - 1] = inner[np.append(0, around[:-1])] = False
+        ids = words.flatten().to_numpy()[inner] & ((1 << _ID) - 1)
+        ends = np.append(0, around - 2 * np.arange(1, len(around) + 1))
+        codes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+        kind, rest, index = docs.flatten()
+        at = index.flatten()
+        length = np.append(0, np.cumsum(np.diff(ends)[at.to_numpy()]))
+        word_ends = np.append(0, np.cumsum(pc.list_value_length(index).to_numpy()))
+        ids = pa.ListArray.from_arrays(pa.array(length[word_ends], pa.int32()), codes.take(at).flatten())
+        return pa.RecordBatch.from_arrays([kind, ids, rest], names=["doc_id", "ids", "rest"])
+
+    held = []
+    for batch in batches:
+        begin, docs = 0, batch.column("docs")
+        for last in np.flatnonzero(pc.list_value_length(docs).to_numpy()).tolist():
+            held.append(batch.column("pieces").slice(begin, last + 1 - begin))
+            yield put_together(held, docs.slice(last, 1).flatten())
+            held, begin = [], last + 1
+            pa.default_memory_pool().release_unused()
+        held.append(batch.column("pieces").slice(begin))
+
+
 def bpe_encode(
     docs: DataFrame,
     ranks: dict[bytes, int],
@@ -213,32 +298,26 @@ def bpe_encode(
     """One row per document: doc_id, ids (array<int>), and the columns ``keep``."""
     if any(bytes([b]) not in ranks for b in range(256)):
         raise ValueError("a byte-level vocabulary has a rank for every byte")
+    if len(set(ranks.values())) < len(ranks) or not 0 <= min(ranks.values()) <= max(ranks.values()) < _NONE:
+        raise ValueError(f"ranks are ids: each stands once, and is below {_NONE}")
     words = docs.select(
         docs[id_col].alias("doc_id"), F.struct(F.lit(0).alias("_"), *(docs[c] for c in keep)).alias("rest"),
         F.regexp_extract_all(
             F.coalesce(docs[text_col], F.lit("")), F.lit(java_pattern(pattern)), F.lit(0)).alias("words"))
     kind, rest = (words.schema[c].dataType.simpleString() for c in ("doc_id", "rest"))
-    sent = docs.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary file's bounded size
+    # A vocabulary file's bounded size.
+    sent = docs.sparkSession.sparkContext.broadcast((ranks, pair_table(ranks)))
+    packed = f"array<struct<doc_id: {kind}, rest: {rest}, index: array<int>>>"
     blocks = words.mapInArrow(
-        lambda batches: _blocks(batches, block_bytes, sent.value),
-        f"docs array<struct<doc_id: {kind}, rest: {rest}, index: array<int>>>, "
-        "words array<struct<word: string, ids: array<int>>>")
-    latin = F.transform("words", lambda w: F.struct(
-        F.decode(F.encode(w.word, "UTF-8"), "ISO-8859-1").alias("word"), w.ids.alias("ids")))
-
-    def coded(table):
-        return F.transform(
-            latin, lambda w: F.when(w.ids.isNotNull(), w.ids).otherwise(encode_word(w.word, table)))
-
-    def whole(code):
-        return F.transform("docs", lambda d: F.struct(
-            d.doc_id.alias("doc_id"),
-            F.flatten(F.transform(d["index"], lambda i: F.get(code, i))).alias("ids"), d.rest.alias("rest")))
-
-    # A lambda's variable holds the rank table, so that it is in the plan once,
-    # and another the codes, so that they are computed once for a block.
-    codes = F.transform(F.array(_rank_table(ranks)), coded)
-    found = blocks.select(F.inline(F.get(F.transform(codes, whole), F.lit(0))))
+        lambda batches: _blocks(batches, block_bytes, *sent.value),
+        f"docs {packed}, words array<array<bigint>>, start array<bigint>, union array<bigint>")
+    each = blocks.select("*", F.size("words").alias("n"), F.posexplode("words")).select(
+        # An empty array, not a null: Arrow's writer goes over a run of nulls again for each row.
+        F.when(F.col("pos") == F.col("n") - 1, F.col("docs")).otherwise(
+            F.array().cast(packed)).alias("docs"), "start", "union",
+        F.col("col").alias("pieces"))
+    found = fold_words(each, LONG_WORD - 1).select("pieces", "docs").mapInArrow(
+        _documents, f"doc_id {kind}, ids array<int>, rest {rest}")
     return found.select("doc_id", "ids", *(F.col("rest")[c].alias(c) for c in keep))
 
 
