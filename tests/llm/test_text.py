@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,6 +213,36 @@ def test_scores_at_the_depth_of_the_query(llm):
     same([(*r[:5], round(r[5], 6), round(r[6], 6)) for r in got], brute_scores(docs, queries.LM_DEPTH))
 
 
+def test_counting_merges_sorted_parts(monkeypatch):
+    """What a counting task holds is merged every few parts, and leaves it sorted."""
+    real = context_tree.by_bytes
+    monkeypatch.setattr(context_tree, "by_bytes", lambda batches, column: real(batches, column, 50))
+    monkeypatch.setattr(context_tree, "_HELD", 300)
+    docs = [(i, t or "") for i, (_, t) in enumerate(make_docs(5, size=120))]
+    batch = pa.RecordBatch.from_pydict(
+        {"text": [t for _, t in docs], "held_out": [i % 5 == 1 for i, _ in docs]})
+
+    class Rows:
+        def mapInArrow(self, fn, schema):
+            return list(fn([batch]))
+
+    seen, train, parts = Counter(), Counter(), 0
+    for out in context_tree._counted(Rows(), 3):
+        keys = out.column("gram").drop_null().to_pylist()
+        assert keys == sorted(set(keys))
+        parts += bool(keys)
+        for gram, n, m in zip(*(out.column(c).to_pylist() for c in ("gram", "train", "seen"))):
+            if gram is not None:
+                train[gram] += n
+                seen[gram] += m
+    want, learnt = Counter(), Counter()
+    for i, t in docs:
+        grams, _ = context_tree.byte_grams([t], 3)
+        want.update(grams.tolist())
+        learnt.update([] if i % 5 == 1 else grams.tolist())
+    assert parts > 1 and seen == want and +train == learnt
+
+
 def test_probabilities_of_all_texts_add_up(llm):
     """The end is coded, so longer texts are less likely: the sum over all texts of
     up to two bytes of a two-letter world stays below one, and the empty text's

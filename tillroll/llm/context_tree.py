@@ -114,18 +114,18 @@ def _counted(rows: DataFrame, depth: int) -> DataFrame:
                     yield entries("word", list(held), [0] * len(n) if out else n, n)
                     held.clear()
 
-        def gram_rows():
-            table = pd.concat(grams).groupby("gram", sort=False).sum()
-            grams[:] = [table.reset_index()]
-            if len(table) > _HELD:
-                yield from last_grams()
+        def merge_grams():
+            keys, train, seen = map(np.concatenate, zip(*grams))
+            order = np.argsort(keys, kind="stable")  # merges the parts, which are sorted
+            keys = keys[order]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            grams[:] = [(keys[first], np.add.reduceat(train[order], first),
+                         np.add.reduceat(seen[order], first))]
 
         def last_grams():
-            table = pd.concat(grams)
-            grams.clear()
-            yield entries("gram", table["gram"].to_numpy(), table["train"].to_numpy(),
-                          table["seen"].to_numpy())
+            yield entries("gram", *grams.pop())
 
+        parts = 0
         for batch in by_bytes(batches, "text"):
             held, out = batch.column("text").to_pylist(), batch.column("held_out").to_pylist()
             for text, kept in zip(held, out):
@@ -133,18 +133,18 @@ def _counted(rows: DataFrame, depth: int) -> DataFrame:
             found, owner = byte_grams(held, depth)
             distinct, code = np.unique(found, return_inverse=True)
             learn = ~np.array(out, bool)[owner]
-            grams.append(pd.DataFrame({
-                "gram": distinct,
-                "train": np.bincount(code, learn, len(distinct)).astype(np.int64),
-                "seen": np.bincount(code, minlength=len(distinct))}))
-            if len(grams) >= 32:
-                yield from gram_rows()
+            grams.append((distinct, np.bincount(code, learn, len(distinct)).astype(np.int64),
+                          np.bincount(code, minlength=len(distinct))))
+            parts += 1
+            if parts % 8 == 0:  # what is held is merged before it is passed on
+                merge_grams()
+            if parts % 32 == 0 and len(grams[0][0]) > _HELD:
+                yield from last_grams()
             if sum(map(len, words.values())) > _HELD:
                 yield from word_rows()
         yield from word_rows()
         if grams:
-            yield from gram_rows()
-        if grams:
+            merge_grams()
             yield from last_grams()
 
     return rows.mapInArrow(count, "gram long, word binary, train long, seen long")
