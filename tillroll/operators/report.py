@@ -353,7 +353,7 @@ def table_head(df: DataFrame, n: int = 3) -> DataFrame:
     return df.orderBy(*df.columns).limit(n)
 
 
-def column_types(df: DataFrame) -> DataFrame:
+def column_values(df: DataFrame) -> DataFrame:
     """(position, column_name, data_type, non_null) of the table's columns.
 
     The values are counted in one pass, and the one row of counts is unfolded.
@@ -362,3 +362,8 @@ def column_types(df: DataFrame) -> DataFrame:
     told = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(t).alias("data_type"),
                      F.col(str(i)).alias("non_null")) for i, (c, t) in enumerate(df.dtypes)]
     return counts.select(F.inline(F.array(*told))).orderBy("position")
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """(position, column_name, data_type) of the table's columns."""
+    return column_values(df).drop("non_null")

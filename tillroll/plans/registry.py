@@ -167,5 +167,5 @@ QUERIES: dict[str, Query] = {
     "payment_aliases_table": _payment_aliases_table,
     "payment_summary": _on_transactions(compare.payment_summary),
     "daily_sales": _on_transactions(compare.daily_sales),
-    "column_types": _on_transactions(report.column_types),
+    "column_types": _on_transactions(report.column_values),
 }
