@@ -243,6 +243,58 @@ def test_counting_merges_sorted_parts(monkeypatch):
     assert parts > 1 and seen == want and +train == learnt
 
 
+def test_only_what_passes_the_bound_is_listed_and_joined(llm, monkeypatch):
+    """As many grams and words are broadcast as the bound allows, the most frequent
+    first, so a document lists only what is past it."""
+    docs = [(i, t or "") for i, (_, t) in enumerate(make_docs(9, size=60))]
+    grams = Counter(context_tree.byte_grams([t for _, t in docs], 3)[0].tolist())
+    words = Counter(w for _, t in docs for w in [*t.encode().lower().split(), b""])
+    listed = []
+    real = context_tree.materialize
+
+    def keep(df, name):
+        out = real(df, name)
+        if name == "scores":
+            listed.extend(({e.key for r in out[0].collect() for e in r[c]} for c in ("grams", "words")))
+        return out
+
+    monkeypatch.setattr(context_tree, "materialize", keep)
+    for bound in (len(grams), len(grams) // 2):
+        monkeypatch.setattr(context_tree, "GRAM_SHARE", bound)
+        monkeypatch.setattr(context_tree, "WORD_SHARE", bound)
+        got = context_tree.score_texts(frame(llm, docs)).collect()
+        same([(*r[:5], round(r[5], 6), round(r[6], 6)) for r in got], brute_scores(docs))
+    least = sorted(grams.values())[-(len(grams) // 2)]
+    assert listed[0] == listed[1] == set() and len(words) < len(grams) // 2
+    assert {g for g, n in grams.items() if n < least} <= {g for g in listed[2]}
+    assert {g for g in listed[2]} <= {g for g, n in grams.items() if n <= least} and listed[3] == set()
+
+
+def test_counts_travel_packed_by_bucket():
+    """A counting task passes on a row per bucket, a few bytes per gram in it."""
+    docs = [t or "" for _, t in make_docs(5, size=400)]
+    batch = pa.RecordBatch.from_pydict({"text": docs, "held_out": [i % 5 == 1 for i in range(len(docs))]})
+
+    class Rows:
+        def mapInArrow(self, fn, schema):
+            return list(fn([batch]))
+
+    out = context_tree._counted(Rows(), 6, context_tree._dealt(6, 3), context_tree._PACKED)
+    rows = [r for b in out for r in b.to_pylist()]
+    assert len(rows) <= 2 * context_tree.BUCKETS
+    seen, said = Counter(), Counter()
+    for r in rows:
+        n = context_tree._unpack(r["seen"], r["n"]).tolist()
+        if r["grams"] is not None:
+            found = context_tree._unpack_sorted(r["grams"], r["n"])
+            assert set((found >> 32) % context_tree.BUCKETS) == {r["bucket"]}
+            seen.update(dict(zip(found.tolist(), n)))
+        else:
+            said.update(dict(zip(r["words"].split(b"\n"), n)))
+    assert seen == Counter(context_tree.byte_grams(docs, 6)[0].tolist())
+    assert said == Counter(w for t in docs for w in [*t.encode().lower().split(), b""])
+
+
 def test_probabilities_of_all_texts_add_up(llm):
     """The end is coded, so longer texts are less likely: the sum over all texts of
     up to two bytes of a two-letter world stays below one, and the empty text's

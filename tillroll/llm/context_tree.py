@@ -8,16 +8,17 @@ each context, the share of "stop here" against "look one byte further back" is
 set by how well either has coded the training text.  The result is a code
 length per byte, that is, the log probability of a text.
 
-Training counts come from all training documents.  The tree is built bottom up
-and read top down.  Up to ``TABLE_DEPTH`` bytes of context that is one aggregation
-and one join per depth, with a row per context and decision seen.  The contexts
-that continue one of ``TABLE_DEPTH`` bytes are few (two more bytes at most), so
-the grams are dealt by it and the deeper levels worked out group by group.
-
-Scoring moves no text.  What occurs at least once in every ``GRAM_SHARE`` bytes
-(or ``WORD_SHARE`` tokens) is broadcast: there are at most that many such
-entries, whatever the corpus.  Everything rarer is listed per document, joined
-with the full tables and added up; a rare key is never a hot one.
+Training counts come from all training documents.  A counting task passes on a
+packed row per bucket of grams, which are dealt by their last ``TABLE_DEPTH``
+bytes of context, and of words.  The tree is built bottom up and read top down.
+Up to ``TABLE_DEPTH`` bytes of context that is one aggregation and one join per
+depth, with a row per context and decision seen; the deeper levels are worked out
+bucket by bucket, in slices of whole contexts.
+
+Scoring moves no text.  The ``GRAM_SHARE`` most frequent grams and the
+``WORD_SHARE`` most frequent words are broadcast, whatever the corpus.  Everything
+rarer is listed per document, joined with the full tables and added up; a rare key
+is never a hot one.
 
 Defined results: a null or empty text is its end alone, one token and one byte.  A
 null id counts as the empty string when documents are dealt to training and
@@ -139,14 +140,19 @@ def _unpack_sorted(packed: bytes, n: int) -> np.ndarray:
     return np.cumsum(_unpack(packed, n))
 
 
-def _summed(parts):
-    """Parts (keys, train, seen) as one with sorted distinct keys."""
-    keys, *counts = zip(*parts)
-    keys = np.concatenate(keys)
+def _summed(parts: list) -> tuple:
+    """Parts (keys, train, seen) as one with sorted distinct keys; empties the list."""
+    columns = [list(c) for c in zip(*parts)]
+    parts.clear()
+    keys = np.concatenate(columns.pop(0))
     order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    return keys[first], *(np.add.reduceat(np.concatenate(c)[order], first) for c in counts)
+    found = [keys[first]]
+    del keys
+    while columns:  # one at a time, to hold less
+        found.append(np.add.reduceat(np.concatenate(columns.pop(0))[order], first))
+    return tuple(found)
 
 
 def _summed_words(parts):
